@@ -311,3 +311,8 @@ def topic_agg_cte_cols():
             ("ideal_dcg", "any_value(ideal_dcg)"),
             ("ap_sum", "coalesce(sum(case when isrel then k / rank end), 0)"),
             ("first_rel", "min(case when isrel then rank end)")]
+
+
+PASSAGE_QRELS = """select cast(401 + b.item_id as string) as qid, concat('T', lpad(cast(d.doc_id as string), 9, '0')) as docno,
+       cast(1 + coalesce(l.quality, 0) as bigint) as rel
+from benchmark b join documents d on contains(d.text, b.text) left join labels l on l.doc_id = d.doc_id"""

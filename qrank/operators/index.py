@@ -49,8 +49,10 @@ def map_terms(df: DataFrame, analyzer: Analyzer, keys: list[str], sum_cols: list
 def build_postings(docs: DataFrame, analyzer: Analyzer, fields=FIELDS, id_col: str = "docno") -> DataFrame:
     """(field, term, docno, tf, dl) for every token of every field."""
     toks = analyze(docs, id_col, list(fields), analyzer).withColumn("dl", F.size("tokens"))
-    raw = (toks.where(F.col("dl") > 0)
-               .select("field", F.col(id_col).alias("docno"), "dl", F.explode("tokens").alias("term"))
+    # explode_outer + null filter (not explode / dl > 0): keeps the optimizer
+    # from re-running the tokenizer inside an inferred size() > 0 filter.
+    raw = (toks.select("field", F.col(id_col).alias("docno"), "dl", F.explode_outer("tokens").alias("term"))
+               .where(F.col("term").isNotNull())
                .groupBy("field", "docno", "dl", "term").agg(F.count(F.lit(1)).alias("tf")))
     out = map_terms(raw, analyzer, ["field", "docno", "dl"], ["tf"])
     return out.select("field", "term", "docno", F.col("tf").cast("long").alias("tf"), F.col("dl").cast("long").alias("dl"))

@@ -112,3 +112,52 @@ def topics(spark: SparkSession, sf_dir: str) -> DataFrame:
                     part(1).alias("title"), part(2).alias("desc_text"),
                     F.concat(part(3), F.lit(". Reports on other matters are not relevant. Kept sentence.")).alias("narr"),
                     F.when(F.col("item_id") % 3 == 0, F.lit("during the 1990s")).otherwise(F.lit("")).alias("date_text"))
+
+
+# Fixed value: words per shingle when matching passages to documents.
+SHINGLE_WORDS = 5
+
+
+def _with_shingles(df: DataFrame, text_col: str, out: str = "sh", n: int = SHINGLE_WORDS) -> DataFrame:
+    """Add distinct hashed word n-grams of the whole text (the whole token
+    list when it is shorter than n words).  Tokens are materialised in a
+    column first so the n-gram lambda does not re-tokenize per position."""
+    df = df.withColumn("_toks", F.regexp_extract_all(F.lower(F.coalesce(F.col(text_col), F.lit(""))),
+                                                      F.lit(r"[\p{L}\p{N}]+"), 0))
+    toks = F.col("_toks")
+    grams = F.when(F.size(toks) >= n, F.transform(F.sequence(F.lit(1), F.size(toks) - (n - 1)),
+                                                   lambda i: F.array_join(F.slice(toks, i, n), " "))) \
+             .otherwise(F.array(F.array_join(toks, " ")))
+    return df.withColumn(out, F.array_distinct(F.transform(grams, lambda g: F.xxhash64(g)))).drop("_toks")
+
+
+def passage_qrels(spark: SparkSession, sf_dir: str, max_broadcast_shingles: int = 5_000_000) -> DataFrame:
+    """Topic-specific judgments: a document is relevant to a benchmark item
+    when it contains the item's whole text (graded 2 when its label says
+    good quality, else 1).
+
+    Candidates come from an equi-join on hashed word shingles (a document
+    containing the text has all of the item's shingles); every candidate is
+    then verified exactly with ``contains`` on the whole texts.
+    """
+    from ..plans.sizing import bounded_broadcast
+
+    items = table(spark, sf_dir, "benchmark").select("item_id", "text")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    # explode_outer: a plain explode makes the optimizer re-evaluate the
+    # shingle expression inside an inferred size() > 0 filter.
+    ish = (_with_shingles(items, "text").select("item_id", F.size("sh").alias("n_sh"), F.explode_outer("sh").alias("h"))
+           .where(F.col("h").isNotNull()))
+    ish = bounded_broadcast(ish, max_broadcast_shingles)
+    dsh = _with_shingles(docs, "text").select("doc_id", F.explode_outer("sh").alias("h")).where(F.col("h").isNotNull())
+    cand = (dsh.join(ish, "h").groupBy("item_id", "doc_id").agg(F.count(F.lit(1)).alias("hits"),
+                                                                   F.first("n_sh").alias("n_sh"))
+               .where(F.col("hits") == F.col("n_sh")))
+    verified = (cand.join(docs.withColumnRenamed("text", "dtext"), "doc_id")
+                    .join(items.withColumnRenamed("text", "itext"), "item_id")
+                    .where(F.col("dtext").contains(F.col("itext"))))
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    return (verified.join(labels, "doc_id", "left")
+                    .select((F.lit(401) + F.col("item_id")).cast("string").alias("qid"),
+                            _docno("doc_id", "T").alias("docno"),
+                            (F.lit(1) + F.coalesce(F.col("quality"), F.lit(0))).cast("bigint").alias("rel")))
