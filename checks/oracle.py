@@ -267,7 +267,8 @@ NDCG_CUT_CTE = ("icut", "select qid, " + ", ".join(
 
 
 def measure_query(name: str, runs: str = "runs", level: int = 1, summary: bool = True,
-                  complete: bool = False, max_docs: int | None = None, judged_only: bool = False) -> str:
+                  complete: bool = False, max_docs: int | None = None, judged_only: bool = False,
+                  digits: int = 6) -> str:
     extra_aggs, vals, kind = measure_sql_parts(name)
     ex = judged_ctes(level, run=runs, max_docs=max_docs, judged_only=judged_only)
     src = "jt"
@@ -288,7 +289,7 @@ def measure_query(name: str, runs: str = "runs", level: int = 1, summary: bool =
     ex += [agg, pt]
     fx = ["qrels", runs] if runs in FIXTURE_CTES else ["qrels"]
     head = ctes(*fx, extra=ex)
-    per = "" if kind == "gm" else "select run_id, qid, measure, round(value, 6) as value from pt"
+    per = "" if kind == "gm" else f"select run_id, qid, measure, round(value, {digits}) as value from pt"
     if not summary:
         return head + per
     if complete:
@@ -299,7 +300,7 @@ def measure_query(name: str, runs: str = "runs", level: int = 1, summary: bool =
     summ = {"avg": f"sum(value) / {nq}", "sum": "sum(value)", "num_q": f"{nq}",
             "num_rel": "(select count(*) from qrels where rel > 0)" if complete else "sum(value)",
             "gm": f"exp((sum(value) + {miss} * ln(0.00001)) / {nq})"}[kind]
-    s = f"select run_id, 'all' as qid, measure, round(cast({summ} as double), 6) as value from pt group by run_id, measure"
+    s = f"select run_id, 'all' as qid, measure, round(cast({summ} as double), {digits}) as value from pt group by run_id, measure"
     return head + (f"{per} union all {s}" if per else s)
 
 
@@ -316,3 +317,97 @@ def topic_agg_cte_cols():
 PASSAGE_QRELS = """select cast(401 + b.item_id as string) as qid, concat('T', lpad(cast(d.doc_id as string), 9, '0')) as docno,
        cast(1 + coalesce(l.quality, 0) as bigint) as rel
 from benchmark b join documents d on contains(d.text, b.text) left join labels l on l.doc_id = d.doc_id"""
+
+
+OFFICIAL = ["num_q", "num_ret", "num_rel", "num_rel_ret", "map", "gm_map", "Rprec", "bpref", "recip_rank",
+            "iprec_at_recall", "P"]
+
+
+def eval_union(names, per_topic: bool = False, **kw) -> str:
+    """Union of measure queries; summary rows only unless per_topic."""
+    parts = []
+    for n in names:
+        q = measure_query(n, **kw)
+        if per_topic:
+            parts.append(f"select * from ({q})")
+        else:
+            parts.append(f"select * from ({q}) where qid = 'all'")
+    return " union all ".join(parts)
+
+
+def judged_run_sql(**kw) -> str:
+    ex = judged_ctes(run="runs", **kw)
+    return ctes("qrels", "runs", extra=ex) + \
+        "select run_id, qid, docno, cast(rank as bigint) as rank, cast(rel as bigint) as rel from jt"
+
+
+def topic_stats_sql() -> str:
+    ex = judged_ctes()
+    return ctes("qrels", extra=ex) + """select s.qid, cast(s.num_rel as bigint) as num_rel, cast(s.num_nonrel as bigint) as num_nonrel,
+  cast(coalesce(i.ideal_n, 0) as bigint) as ideal_n, round(coalesce(i.ideal_dcg, 0), 6) as ideal_dcg
+from st s left join ist i on s.qid = i.qid"""
+
+
+def rel_levels_sql() -> str:
+    return ctes("qrels") + "select qid, rel, count(*) as n from qrels where rel >= 0 group by qid, rel"
+
+
+def relstring_sql() -> str:
+    ex = judged_ctes(run="runs")
+    ch = ("case when rel > 9 then '>' when rel >= 0 then cast(rel as varchar) when rel = -1 then '-' "
+          "when rel = -2 then '.' else '<' end")
+    return ctes("qrels", "runs", extra=ex) + \
+        f"select run_id, qid, string_agg({ch}, '' order by rank) as relstring from jt where rank <= 10 group by run_id, qid"
+
+
+def decorate_sql() -> str:
+    ex = judged_ctes(run="run")
+    return ctes("qrels", "run", extra=ex) + """select run_id, qid, cast(rank as bigint) as rank, docno, sim, cast(rel as bigint) as rel,
+  round(case when isrel then k / rank end, 6) as precision,
+  round(case when isrel and num_rel > 0 then k / num_rel end, 6) as recall from jt"""
+
+
+def zref_sql(names=("map", "P", "ndcg", "bpref")) -> str:
+    per = eval_union(names, per_topic=True, digits=15)
+    return f"""select qid, measure, round(avg(value), 6) as mean, round(coalesce(stddev_samp(value), 0), 6) as stddev
+from ({per}) where qid <> 'all' group by qid, measure"""
+
+
+def avgjg_sql() -> str:
+    """map / P / Rprec_mult per judge group, averaged over the topic's groups."""
+    jgc = [
+        ("rj", "select r.run_id, r.qid, g.jg, r.docno, r.sim from runs r join (select distinct qid, jg from qrels_jg) g on r.qid = g.qid"),
+        ("j0", """select r.run_id, r.qid, r.jg, r.docno, r.sim,
+  case when q.rel is null then -1 when q.rel < 0 then -2 else q.rel end as rel
+  from rj r left join qrels_jg q on r.qid = q.qid and r.jg = q.jg and r.docno = q.docno"""),
+        ("j", """select *, row_number() over w as rank, rel >= 1 as isrel,
+  sum(case when rel >= 1 then 1 else 0 end) over w as k from j0
+  window w as (partition by run_id, qid, jg order by sim desc, docno desc rows between unbounded preceding and current row)"""),
+        ("st", "select qid, jg, count(*) filter (where rel >= 1) as num_rel from qrels_jg group by qid, jg"),
+        ("a", "select j.run_id, j.qid, j.jg, any_value(s.num_rel) as num_rel, "
+              "coalesce(sum(case when isrel then k / rank end), 0) as ap, "
+              + ", ".join(f"count(*) filter (where isrel and rank <= {n}) as ra{n}" for n in CUTS) + ", "
+              + ", ".join(f"count(*) filter (where isrel and rank <= floor({x} * s.num_rel + 0.9)) as rm{i}"
+                          for i, x in enumerate(MULTS))
+              + " from j join st s on j.qid = s.qid and j.jg = s.jg group by j.run_id, j.qid, j.jg"),
+    ]
+    div = lambda a, b: f"case when ({b}) <> 0 then ({a}) / ({b}) else 0 end"
+    vals = [("map_avgjg", div("ap", "num_rel"))] + [(f"P_avgjg_{n}", f"ra{n} / {n}.0") for n in CUTS] + \
+        [(f"Rprec_mult_avgjg_{x:3.2f}", div(f"rm{i}", f"floor({x} * num_rel + 0.9)")) for i, x in enumerate(MULTS)]
+    pt = " union all ".join(f"select run_id, qid, '{m}' as measure, avg(cast({v} as double)) as value from a group by run_id, qid"
+                            for m, v in vals)
+    head = ctes("qrels", "runs", "qrels_jg", extra=jgc + [("pt", pt)])
+    return head + ("select run_id, qid, measure, round(value, 6) as value from pt union all "
+                   "select run_id, 'all' as qid, measure, round(sum(value) / count(*), 6) as value from pt group by run_id, measure")
+
+
+def zscores_sql(names=("map", "P", "ndcg", "bpref")) -> str:
+    per = eval_union(names, per_topic=True, digits=15)
+    return f"""with per as (select * from ({per}) where qid <> 'all'),
+zr as (select qid, measure, avg(value) as mean, coalesce(stddev_samp(value), 0) as sd from per group by qid, measure),
+z as (select p.run_id, p.qid, 'Z' || p.measure as measure,
+  case when zr.mean is null then -1000000 when zr.sd <> 0 then (p.value - zr.mean) / zr.sd
+       when abs(p.value - zr.mean) <= 1e-9 then 0 else -1000000 end as value
+  from per p left join zr on p.qid = zr.qid and p.measure = zr.measure)
+select run_id, qid, measure, round(value, 6) as value from z
+union all select run_id, 'all' as qid, measure, round(sum(value) / count(*), 6) as value from z group by run_id, measure"""

@@ -74,7 +74,7 @@ def discount_sums(ranges: DataFrame, keys: list[str], lo: str, hi: str,
     return part.groupBy(*keys).agg(F.sum("_d").alias(out))
 
 
-def topic_stats(qrels: DataFrame, opts: EvalOptions = EvalOptions()) -> DataFrame:
+def topic_stats(qrels: DataFrame, opts: EvalOptions = EvalOptions(), keys: tuple = ("qid",)) -> DataFrame:
     """Per-topic judgment counts and the ideal ranking as gain segments.
 
     Columns: qid, num_rel, num_nonrel, num_judged, num_rel_pos, max_level,
@@ -85,25 +85,26 @@ def topic_stats(qrels: DataFrame, opts: EvalOptions = EvalOptions()) -> DataFram
     """
     L = opts.level
     rel = F.col("rel")
-    counts = qrels.groupBy("qid").agg(
+    keys = list(keys)
+    counts = qrels.groupBy(*keys).agg(
         F.count_if(rel >= L).alias("num_rel"),
         F.count_if((rel >= 0) & (rel < L)).alias("num_nonrel"),
         F.count_if(rel >= 0).alias("num_judged"),
         F.count_if(rel > 0).alias("num_rel_pos"),
         F.max(F.when(rel >= 0, rel)).alias("max_level"))
 
-    levels = qrels.where(rel >= 0).groupBy("qid", "rel").agg(F.count(F.lit(1)).alias("n"))
+    levels = qrels.where(rel >= 0).groupBy(*keys, "rel").agg(F.count(F.lit(1)).alias("n"))
 
     def segments(df: DataFrame, prefix: str) -> DataFrame:
-        # df: (qid, g, n) with g > 0 -> ordered segments with cumulative ideal DCG.
-        w = Window.partitionBy("qid").orderBy(F.desc("g"))
+        # df: (keys, g, n) with g > 0 -> ordered segments with cumulative ideal DCG.
+        w = Window.partitionBy(*keys).orderBy(F.desc("g"))
         seg = (df.withColumn("end", F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0)))
                  .withColumn("start", F.col("end") - F.col("n") + 1))
-        d = discount_sums(seg, ["qid", "g"], "start", "end")
-        seg = (seg.join(d, ["qid", "g"], "left")
+        d = discount_sums(seg, keys + ["g"], "start", "end")
+        seg = (seg.join(d, keys + ["g"], "left")
                   .withColumn("contrib", F.col("g") * F.coalesce("dsum", F.lit(0.0)))
                   .withColumn("icum", F.sum("contrib").over(w.rowsBetween(Window.unboundedPreceding, 0))))
-        return seg.groupBy("qid").agg(
+        return seg.groupBy(*keys).agg(
             F.array_sort(F.collect_list(F.struct(F.col("start"), F.col("end"), F.col("g"), F.col("icum"))))
              .alias(f"{prefix}segs"),
             F.sum("n").alias(f"{prefix}ideal_n"),
@@ -111,13 +112,13 @@ def topic_stats(qrels: DataFrame, opts: EvalOptions = EvalOptions()) -> DataFram
             F.sum("contrib").alias(f"{prefix}ideal_dcg"))
 
     gained = (levels.withColumn("g", gain_expr(rel, opts.gains)).where(F.col("g") > 0)
-              .groupBy("qid", "g").agg(F.sum("n").alias("n")))
-    raw = levels.where(rel > 0).select("qid", rel.cast("double").alias("g"), "n")
-    out = (counts.join(segments(gained, ""), "qid", "left")
-                 .join(segments(raw, "l").select("qid", "lsegs"), "qid", "left"))
+              .groupBy(*keys, "g").agg(F.sum("n").alias("n")))
+    raw = levels.where(rel > 0).select(*keys, rel.cast("double").alias("g"), "n")
+    out = (counts.join(segments(gained, ""), keys, "left")
+                 .join(segments(raw, "l").select(*keys, "lsegs"), keys, "left"))
     empty = F.array().cast("array<struct<start:bigint,end:bigint,g:double,icum:double>>")
     return out.select(
-        "qid", "num_rel", "num_nonrel", "num_judged", "num_rel_pos", "max_level",
+        *keys, "num_rel", "num_nonrel", "num_judged", "num_rel_pos", "max_level",
         F.coalesce("segs", empty).alias("segs"), F.coalesce("lsegs", empty).alias("lsegs"),
         F.coalesce("ideal_n", F.lit(0)).cast("bigint").alias("ideal_n"),
         F.coalesce("ideal_gain_sum", F.lit(0.0)).alias("ideal_gain_sum"),
@@ -125,7 +126,8 @@ def topic_stats(qrels: DataFrame, opts: EvalOptions = EvalOptions()) -> DataFram
 
 
 def judge(run: DataFrame, qrels: DataFrame, opts: EvalOptions = EvalOptions(),
-          stats: DataFrame | None = None, max_topics_broadcast: int = 2_000_000) -> DataFrame:
+          stats: DataFrame | None = None, max_topics_broadcast: int = 2_000_000,
+          keys: tuple = ("qid",)) -> DataFrame:
     """Build the judged ranking with running counts.
 
     Output columns: run_id, qid, docno, sim, rank, rel (coded), gain,
@@ -133,27 +135,28 @@ def judge(run: DataFrame, qrels: DataFrame, opts: EvalOptions = EvalOptions(),
     but unjudged so far), plus every column of ``topic_stats``.  Only topics
     that have judgments are kept.  Running counts include the current row.
     """
+    keys = list(keys)
     if stats is None:
-        stats = topic_stats(qrels, opts)
+        stats = topic_stats(qrels, opts, keys)
     stats = bounded_broadcast(stats, max_topics_broadcast)
-    q = qrels.select("qid", "docno", F.col("rel").alias("_qrel"))
-    j = (run.select("run_id", "qid", "docno", "sim")
-            .join(q, ["qid", "docno"], "left")
+    q = qrels.select(*keys, "docno", F.col("rel").alias("_qrel"))
+    j = (run.select("run_id", *keys, "docno", "sim")
+            .join(q, keys + ["docno"], "left")
             .withColumn("rel", F.when(F.col("_qrel").isNull(), F.lit(NONPOOL))
                                 .when(F.col("_qrel") < 0, F.lit(UNJUDGED))
                                 .otherwise(F.col("_qrel")).cast("bigint"))
             .drop("_qrel")
-            .join(stats, "qid", "inner"))
-    j = _with_running(j, opts)
+            .join(stats, keys, "inner"))
+    j = _with_running(j, opts, keys)
     if opts.max_docs is not None:
         j = j.where(F.col("rank") <= opts.max_docs)
     if opts.judged_only:
-        j = _with_running(j.where(F.col("rel") >= 0).drop("rank", "isrel", "k", "nj", "u", "gain"), opts)
+        j = _with_running(j.where(F.col("rel") >= 0).drop("rank", "isrel", "k", "nj", "u", "gain"), opts, keys)
     return j
 
 
-def _with_running(j: DataFrame, opts: EvalOptions) -> DataFrame:
-    w = Window.partitionBy("run_id", "qid").orderBy(F.desc("sim"), F.desc("docno"))
+def _with_running(j: DataFrame, opts: EvalOptions, keys=("qid",)) -> DataFrame:
+    w = Window.partitionBy("run_id", *keys).orderBy(F.desc("sim"), F.desc("docno"))
     cum = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rel = F.col("rel")
     isrel = rel >= opts.level
@@ -165,9 +168,22 @@ def _with_running(j: DataFrame, opts: EvalOptions) -> DataFrame:
              .withColumn("u", F.sum((rel == UNJUDGED).cast("long")).over(cum)))
 
 
-def judged_topics(run: DataFrame, stats: DataFrame) -> DataFrame:
+def judged_topics(run: DataFrame, stats: DataFrame, keys=("qid",)) -> DataFrame:
     """(run_id, qid) pairs evaluated: topics of the run that have judgments."""
-    return run.select("run_id", "qid").distinct().join(stats.select("qid"), "qid", "left_semi")
+    keys = list(keys)
+    return run.select("run_id", *keys).distinct().join(stats.select(*keys), keys, "left_semi")
+
+
+def judge_groups(run: DataFrame, qrels_jg: DataFrame) -> DataFrame:
+    """Run rows repeated once per judge group of their topic (equi-join on
+    qid with the topic's distinct judge groups)."""
+    jgs = qrels_jg.select("qid", "jg").distinct()
+    return run.join(jgs, "qid")
+
+
+def judge_jg(run: DataFrame, qrels_jg: DataFrame, opts: EvalOptions = EvalOptions()) -> DataFrame:
+    """Judged ranking per (run, topic, judge group)."""
+    return judge(judge_groups(run, qrels_jg), qrels_jg, opts, keys=("qid", "jg"))
 
 
 def decorate_run(run: DataFrame, qrels: DataFrame, opts: EvalOptions = EvalOptions()) -> DataFrame:

@@ -406,8 +406,8 @@ def _disc_range(a: Column, b: Column) -> Column:
 
 # Window columns on judged rows for measures comparing each rank with the
 # ideal ranking at the same rank (G, ndcg_rel, Rndcg).
-def with_ideal_window(j: DataFrame) -> DataFrame:
-    w = (Window.partitionBy("run_id", "qid").orderBy(F.desc("sim"), F.desc("docno"))
+def with_ideal_window(j: DataFrame, keys=("qid",)) -> DataFrame:
+    w = (Window.partitionBy("run_id", *keys).orderBy(F.desc("sim"), F.desc("docno"))
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     seg = F.filter(col("segs"), lambda s: (s["start"] <= col("rank")) & (col("rank") <= s["end"]))
     ig = F.coalesce(F.try_element_at(seg, F.lit(1))["g"], F.lit(0.0))
@@ -529,8 +529,9 @@ STAT_COLS = ["num_rel", "num_nonrel", "num_judged", "num_rel_pos", "max_level",
              "ideal_n", "ideal_gain_sum", "ideal_dcg"]
 
 
-def topic_values(judged: DataFrame, measures, opts: EvalOptions = EvalOptions()) -> DataFrame:
+def topic_values(judged: DataFrame, measures, opts: EvalOptions = EvalOptions(), keys=("qid",)) -> DataFrame:
     """Per-topic measure values, wide: (run_id, qid, <measure columns>)."""
+    keys = list(keys)
     ms = resolve(measures)
     for m in ms:
         m.gains = dict(opts.gains)
@@ -542,13 +543,13 @@ def topic_values(judged: DataFrame, measures, opts: EvalOptions = EvalOptions())
         vals.extend((n, e, m) for n, e in v)
     j = judged
     if any(m.needs_window for m in ms):
-        j = with_ideal_window(j)
+        j = with_ideal_window(j, keys)
     stat = [F.any_value(c).alias(c) for c in STAT_COLS]
-    per = j.groupBy("run_id", "qid").agg(*[a.alias(k) for k, a in aggs.items()], *stat)
+    per = j.groupBy("run_id", *keys).agg(*[a.alias(k) for k, a in aggs.items()], *stat)
     per = per.withColumn("num_docs_in_coll", F.lit(int(opts.num_docs_in_coll)))
     if any(m.name == "rbp" for m in ms):
         per = _with_gain_range(per, opts)
-    return per.select("run_id", "qid", *[e.cast("double").alias(n) for n, e, _ in vals])
+    return per.select("run_id", *keys, *[e.cast("double").alias(n) for n, e, _ in vals])
 
 
 def _with_gain_range(per: DataFrame, opts: EvalOptions) -> DataFrame:
@@ -657,3 +658,47 @@ def runid(run: DataFrame) -> DataFrame:
 
 def log_min_geo(v: float) -> float:
     return math.log(max(v, MIN_GEO_MEAN))
+
+
+# ------------------------------------------------------- judge-group averages
+
+# Measures averaged over judge groups and their base measure.
+AVGJG = {"map_avgjg": "map", "P_avgjg": "P", "Rprec_mult_avgjg": "Rprec_mult"}
+QRELS_JG_SET = ["num_q", "num_ret", "num_rel", "num_rel_ret", "map_avgjg", "P_avgjg", "Rprec_mult_avgjg"]
+
+
+def _jg_name(base_name: str, avg: str, base: str) -> str:
+    # P_5 -> P_avgjg_5, map -> map_avgjg
+    return avg + base_name[len(base):]
+
+
+def evaluate_jg(run: DataFrame, qrels_jg: DataFrame, measures=("map_avgjg", "P_avgjg", "Rprec_mult_avgjg"),
+                opts: EvalOptions = EvalOptions(), per_topic: bool = True, summary: bool = True) -> DataFrame:
+    """Measures computed per judge group, then averaged over the topic's
+    judge groups (two-level aggregation)."""
+    from .judge import judge_jg
+    from .summary import summarize
+
+    names = [m if isinstance(m, str) else m[0] for m in measures]
+    base = [(AVGJG[n], None) if isinstance(m, str) else (AVGJG[n], m[1]) for n, m in zip(names, measures)]
+    ms = resolve([b if p is None else (b, p) for b, p in base])
+    j = judge_jg(run, qrels_jg, opts)
+    wide = topic_values(j, ms, opts, keys=("qid", "jg"))
+    kinds = {}
+    cols = []
+    for avg, m in zip(names, ms):
+        for n, _ in m.parts()[1]:
+            out = _jg_name(n, avg, m.name)
+            kinds[out] = "avg"
+            cols.append(F.avg(col(f"`{n}`")).alias(out))
+    per = wide.groupBy("run_id", "qid").agg(*cols)
+    long = stack_long(per, list(kinds))
+    parts = []
+    if per_topic:
+        parts.append(long)
+    if summary:
+        parts.append(summarize(long, kinds, qrels_jg, opts))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

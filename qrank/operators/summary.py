@@ -12,6 +12,9 @@ from .measures import MIN_GEO_MEAN
 
 # Fixed value: the evaluator's marker for a value without z-score reference.
 MISSING_ZSCORE = -1000000.0
+# A value equal to a zero-spread reference mean scores 0; the means come
+# from floating-point averages, so equality allows this rounding slack.
+ZSCORE_EQ_TOL = 1e-9
 
 
 def summarize(long: DataFrame, kinds: dict[str, str], qrels: DataFrame,
@@ -56,13 +59,13 @@ def build_zref(eval_topics: DataFrame) -> DataFrame:
 def to_zscores(eval_topics: DataFrame, zref: DataFrame) -> DataFrame:
     """Per-topic values converted to z-scores against a reference.
 
-    stddev 0 and value == mean -> 0; no reference or stddev 0 otherwise ->
+    stddev 0 and value == mean (within 1e-9) -> 0; no reference or stddev 0 otherwise ->
     the missing marker.  Measure names get a 'Z' prefix.
     """
     z = eval_topics.where(F.col("qid") != "all").join(zref, ["qid", "measure"], "left")
     v = (F.when(F.col("mean").isNull(), F.lit(MISSING_ZSCORE))
           .when(F.col("stddev") != 0, (F.col("value") - F.col("mean")) / F.col("stddev"))
-          .when(F.col("value") == F.col("mean"), F.lit(0.0))
+          .when(F.abs(F.col("value") - F.col("mean")) <= ZSCORE_EQ_TOL, F.lit(0.0))
           .otherwise(F.lit(MISSING_ZSCORE)))
     return z.select("run_id", "qid", F.concat(F.lit("Z"), F.col("measure")).alias("measure"), v.alias("value"))
 

@@ -43,3 +43,88 @@ register("flagship_eval")(flagship)
 @register("passage_qrels", _o(lambda O: O.PASSAGE_QRELS))
 def q_passage_qrels(spark, sf_dir):
     return fx.passage_qrels(spark, sf_dir)
+
+
+from ..operators.judge import EvalOptions, decorate_run, judge, topic_stats  # noqa: E402
+from ..operators import summary as SU  # noqa: E402
+
+OFFICIAL = M.OFFICIAL
+
+
+def _eval_summary(opts: EvalOptions, measures=OFFICIAL, per_topic=False):
+    def q(spark, sf_dir):
+        ev = M.evaluate(fx.runs(spark, sf_dir), fx.qrels(spark, sf_dir), measures, opts, per_topic=per_topic)
+        return ev.select("run_id", "qid", "measure", r6("value").alias("value"))
+    return q
+
+
+register("eval_summary", _o(lambda O: O.eval_union(O.OFFICIAL)))(_eval_summary(EvalOptions()))
+register("eval_summary_complete", _o(lambda O: O.eval_union(O.OFFICIAL, complete=True)))(
+    _eval_summary(EvalOptions(complete=True)))
+register("eval_judged_only", _o(lambda O: O.eval_union(O.OFFICIAL, per_topic=True, judged_only=True)))(
+    _eval_summary(EvalOptions(judged_only=True), per_topic=True))
+register("eval_topM", _o(lambda O: O.eval_union(O.OFFICIAL, per_topic=True, max_docs=20)))(
+    _eval_summary(EvalOptions(max_docs=20), per_topic=True))
+register("eval_level2", _o(lambda O: O.eval_union(O.OFFICIAL + ["ndcg", "infAP"], per_topic=True, level=2)))(
+    _eval_summary(EvalOptions(level=2), OFFICIAL + ["ndcg", "infAP"], per_topic=True))
+
+
+@register("judged_run", _o(lambda O: O.judged_run_sql()))
+def q_judged_run(spark, sf_dir):
+    j = judge(fx.runs(spark, sf_dir), fx.qrels(spark, sf_dir))
+    return j.select("run_id", "qid", "docno", F.col("rank").cast("long"), "rel")
+
+
+@register("topic_stats", _o(lambda O: O.topic_stats_sql()))
+def q_topic_stats(spark, sf_dir):
+    st = topic_stats(fx.qrels(spark, sf_dir))
+    return st.select("qid", "num_rel", "num_nonrel", "ideal_n", r6("ideal_dcg").alias("ideal_dcg"))
+
+
+@register("rel_levels", _o(lambda O: O.rel_levels_sql()))
+def q_rel_levels(spark, sf_dir):
+    q = fx.qrels(spark, sf_dir)
+    return q.where(F.col("rel") >= 0).groupBy("qid", "rel").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("relstring", _o(lambda O: O.relstring_sql()))
+def q_relstring(spark, sf_dir):
+    return M.relstring(judge(fx.runs(spark, sf_dir), fx.qrels(spark, sf_dir)))
+
+
+@register("decorate_run", _o(lambda O: O.decorate_sql()))
+def q_decorate(spark, sf_dir):
+    return decorate_run(fx.run(spark, sf_dir), fx.qrels(spark, sf_dir))
+
+
+ZREF_MEASURES = ["map", "P", "ndcg", "bpref"]
+
+
+def _zref(spark, sf_dir):
+    per = M.evaluate(fx.runs(spark, sf_dir), fx.qrels(spark, sf_dir), ZREF_MEASURES, summary=False)
+    return SU.build_zref(per)
+
+
+@register("zref", _o(lambda O: O.zref_sql()))
+def q_zref(spark, sf_dir):
+    z = _zref(spark, sf_dir)
+    return z.select("qid", "measure", r6("mean").alias("mean"), r6("stddev").alias("stddev"))
+
+
+@register("zscores")
+def q_zscores(spark, sf_dir):
+    """Each run's per-topic values as z-scores against the three-run
+    reference, averaged per run (rows with qid='all')."""
+    z = SU.evaluate_z(fx.runs(spark, sf_dir), fx.qrels(spark, sf_dir), _zref(spark, sf_dir), ZREF_MEASURES)
+    return z.select("run_id", "qid", "measure", r6("value").alias("value"))
+
+
+@register("eval_avgjg", _o(lambda O: O.avgjg_sql()))
+def q_avgjg(spark, sf_dir):
+    ev = M.evaluate_jg(fx.runs(spark, sf_dir), fx.qrels_jg(spark, sf_dir))
+    return ev.select("run_id", "qid", "measure", r6("value").alias("value"))
+
+
+@register("zscores", _o(lambda O: O.zscores_sql()))
+def q_zscores2(spark, sf_dir):
+    return q_zscores(spark, sf_dir)
