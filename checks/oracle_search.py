@@ -117,3 +117,85 @@ def search_sql(sim: str, params: dict, sectioned: bool = False, k: int = 1000, r
     ]
     return _with(ctes) + (f"select '{run_id}' as run_id, qid, docno, cast(rank as bigint) as rank, score as sim "
                           f"from tk2 where rank <= {k}")
+
+
+def _map_sql(run: str, qrels: str) -> list[tuple[str, str]]:
+    """AP per (run_id, qid) and MAP per run for a run CTE and a qrels CTE."""
+    return [
+        ("jr", f"""select r.run_id, r.qid, r.docno, coalesce(q.rel, -1) as rel,
+  row_number() over (partition by r.run_id, r.qid order by r.sim desc, r.docno desc) as rank
+  from {run} r left join {qrels} q on r.qid = q.qid and r.docno = q.docno where r.qid in (select qid from {qrels})"""),
+        ("jk", "select *, sum(case when rel >= 1 then 1 else 0 end) over (partition by run_id, qid order by rank rows between unbounded preceding and current row) as k from jr"),
+        ("nr", f"select qid, count(*) filter (where rel >= 1) as num_rel from {qrels} group by qid"),
+        ("ap", """select jk.run_id, jk.qid, case when any_value(nr.num_rel) > 0 then coalesce(sum(case when rel >= 1 then k / rank end), 0) / any_value(nr.num_rel) else 0 end as ap
+  from jk join nr on jk.qid = nr.qid group by jk.run_id, jk.qid"""),
+        ("mp", "select run_id, sum(ap) / count(*) as map from ap group by run_id"),
+    ]
+
+
+def passage_qrels_cte() -> tuple[str, str]:
+    from .oracle import PASSAGE_QRELS
+    return ("pq", PASSAGE_QRELS)
+
+
+SIM_CASE = ("case cfg_kind when 'bm25' then ln(1 + (N - df + 0.5) / (df + 0.5)) * tf / (tf + p1 * (1 - p2 + p2 * dl / avgdl)) "
+            "when 'tfidf' then sqrt(tf) * (1 + ln((N + 1.0) / (df + 1.0))) / sqrt(dl) "
+            "when 'lmd' then greatest(ln(1 + tf / (p1 * ((cf + 1.0) / (sum_dl + 1.0)))) + ln(p1 / (dl + p1)), 0) "
+            "when 'lmj' then ln(1 + ((1 - p1) * tf / dl) / (p1 * ((cf + 1.0) / (sum_dl + 1.0)))) end")
+
+
+def _topk(src: str, keys: str = "run_id, qid", k: int = 1000) -> list[tuple[str, str]]:
+    return [("rk", f"select {keys}, docno, round(score, 6) as sim from {src} where score > 0"),
+            ("runs_t", f"select * from (select *, row_number() over (partition by {keys} order by sim desc, docno asc) as rn from rk) where rn <= {k}")]
+
+
+def sweep_similarity_sql(configs) -> str:
+    vals = ", ".join(f"('{c.name}', '{c.kind}', {float(c.p1)}, {float(c.p2)})" for c in configs)
+    ctes = index_ctes() + sectioned_queries_cte() + [
+        ("cfg", f"select * from (values {vals}) t(run_id, cfg_kind, p1, p2)"),
+        ("m", "select * from post join qt using (field, term) join dict using (field, term) join fs using (field)"),
+        ("sc", f"select c.run_id, m.qid, m.docno, sum(m.weight * ({SIM_CASE})) as score from m cross join cfg c group by c.run_id, m.qid, m.docno"),
+    ] + _topk("sc") + [passage_qrels_cte()] + _map_sql("runs_t", "pq")
+    return _with(ctes) + "select run_id, round(map, 6) as map from mp"
+
+
+def _partials(weights_uniform: bool = True) -> list[tuple[str, str]]:
+    from qrank.operators.query import UNIFORM_BOOSTS, UNIFORM_WEIGHTS
+    sq = sectioned_queries_cte(UNIFORM_WEIGHTS, UNIFORM_BOOSTS)
+    # keep the section in the query table
+    sq[-1] = ("qt", """select qid, s.section, field, term, sum(w.w) as weight from stok s join wts w on s.section = w.section
+  group by qid, s.section, field, term""")
+    bm = "ln(1 + (N - df + 0.5) / (df + 0.5)) * tf / (tf + 0.6 * (1 - 0.7 + 0.7 * dl / avgdl))"
+    return index_ctes() + sq + [
+        ("parts", f"""select qid, docno, section, field, sum(weight * ({bm})) as s
+  from post join qt using (field, term) join dict using (field, term) join fs using (field) group by qid, docno, section, field"""),
+    ]
+
+
+def sweep_weights_sql(configs) -> str:
+    vals = ", ".join(f"('{c['h']}-{c['d']}-{c['t']}', {c['h']}, {c['d']}, {c['t']})" for c in configs)
+    ctes = _partials() + [
+        ("wide", """select section, qid, docno, sum(case when field = 'headline' then s else 0 end) as s_headline,
+  sum(case when field = 'date' then s else 0 end) as s_date, sum(case when field = 'text' then s else 0 end) as s_text
+  from parts group by section, qid, docno"""),
+        ("cfg", f"select * from (values {vals}) t(name, h, d, t)"),
+        ("sc", "select section || '/' || c.name as run_id, qid, docno, c.h * s_headline + c.d * s_date + c.t * s_text as score from wide cross join cfg c"),
+    ] + _topk("sc") + [passage_qrels_cte()] + _map_sql("runs_t", "pq")
+    return _with(ctes) + "select split_part(run_id, '/', 1) as section, run_id, round(map, 6) as map from mp"
+
+
+def sweep_boosts_sql(configs) -> str:
+    from qrank.operators.query import TUNED_BOOSTS, TUNED_WEIGHTS
+    vals = ", ".join(f"('{c['ti']}-{c['de']}-{c['na']}-{c['da']}', {c['ti']}, {c['de']}, {c['na']}, {c['da']})" for c in configs)
+    wcase = "case " + " ".join(f"when section = '{s}' and field = '{f}' then {w}" for s, fw in TUNED_WEIGHTS.items()
+                               for f, w in fw.items()) + " else 0 end"
+    ctes = _partials() + [
+        ("sec", "select qid, docno, " + ", ".join(
+            f"sum(case when section = '{s}' then ({wcase}) * s else 0 end) as s_{s}" for s in ("title", "desc", "narr", "date"))
+         + " from parts group by qid, docno"),
+        ("cfg", f"select * from (values {vals}) t(name, ti, de, na, da)"),
+        ("sc", f"""select c.name as run_id, sec.qid, docno, c.ti * s_title + c.de * s_desc + c.na * s_narr
+  + (case when tp.has_date then c.da else {TUNED_BOOSTS['noDate']} end) * s_date as score
+  from sec join tp on sec.qid = tp.qid cross join cfg c"""),
+    ] + _topk("sc") + [passage_qrels_cte()] + _map_sql("runs_t", "pq")
+    return _with(ctes) + "select run_id, round(map, 6) as map from mp"

@@ -133,4 +133,4 @@ def stem(word: str) -> str:
 
 def stem_series(s):
     """Vectorised entry point for a pandas UDF (Series of str -> Series of str)."""
-    return s.map(lambda x: stem(x) if isinstance(x, str) and x.isascii() and x.isalpha() else x)
+    return s.map(lambda x: stem(x) if isinstance(x, str) else x)

@@ -30,6 +30,9 @@ def get_spark(master: str | None = None, app: str = "qrank",
         builder = builder.master(master)
     for k, v in DEFAULT_CONF.items():
         builder = builder.config(k, v)
+    if master and master.startswith("local"):
+        # Local mode runs every task in the driver JVM.
+        builder = builder.config("spark.driver.memory", "16g")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
