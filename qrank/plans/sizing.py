@@ -16,3 +16,19 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     df = df.persist()
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def sequential_index(df: DataFrame, order_col: str, out: str = "idx") -> DataFrame:
+    """1-based position of each row in ``order_col`` order, where
+    ``order_col`` comes from ``monotonically_increasing_id`` (partition id in
+    the upper bits).  Uses per-partition counts and offsets, never a
+    single-partition window over the rows."""
+    part = F.shiftright(F.col(order_col), 33)
+    d = df.withColumn("_part", part)
+    counts = d.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    from pyspark.sql import Window
+    w_all = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    offs = counts.withColumn("_off", F.coalesce(F.sum("_n").over(w_all), F.lit(0))).select("_part", "_off")
+    w = Window.partitionBy("_part").orderBy(order_col)
+    return (d.join(F.broadcast(offs), "_part")  # one row per input partition
+             .withColumn(out, F.col("_off") + F.row_number().over(w)).drop("_part", "_off"))
