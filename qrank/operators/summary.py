@@ -27,9 +27,9 @@ def summarize(long: DataFrame, kinds: dict[str, str], qrels: DataFrame,
     as 0, and as log(1e-5) in geometric means).
     """
     kind = F.create_map(*[x for n, k in kinds.items() for x in (F.lit(n), F.lit(k))])[F.col("measure")]
-    per = long.groupBy("run_id", "measure").agg(F.sum("value").alias("s"))
-    nq = long.groupBy("run_id").agg(F.countDistinct("qid").alias("n_eval"))
-    per = per.join(nq, "run_id")
+    # Every evaluated topic has exactly one row per measure, so the topic
+    # count comes out of the same aggregation (no second pass over ``long``).
+    per = long.groupBy("run_id", "measure").agg(F.sum("value").alias("s"), F.count(F.lit(1)).alias("n_eval"))
     if opts.complete:
         totals = qrels.agg(F.countDistinct("qid").alias("n_all"),
                            F.count_if(F.col("rel") > 0).alias("rel_pos"))
