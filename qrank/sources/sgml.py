@@ -8,6 +8,8 @@ extracts docno, headline, text and a year.  Collections are unioned.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -28,7 +30,7 @@ COLLECTIONS = {
 
 def read_sgml_files(spark: SparkSession, path: str) -> DataFrame:
     """(path, value) one row per file below ``path`` (recursive)."""
-    df = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
+    df = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
     return df.select(F.input_file_name().alias("path"), "value")
 
 
@@ -65,7 +67,10 @@ def ingest(docs: DataFrame, collection: str, null_text: str = "") -> DataFrame:
 def read_collection(spark: SparkSession, root: str, collection: str, null_text: str = "") -> DataFrame:
     """All documents below the sub-folders of ``root`` (files directly in
     ``root`` are not read)."""
-    files = read_sgml_files(spark, f"{root.rstrip('/')}/*/")
+    root = root.rstrip("/")
+    files = read_sgml_files(spark, root)
+    # Only files inside a sub-folder of the collection root are documents.
+    files = files.where(F.col("path").rlike(re.escape(root) + r"/[^/]+/.+$"))
     return ingest(split_docs(files), collection, null_text)
 
 

@@ -61,7 +61,7 @@ def topics_from_blocks(blocks: DataFrame, raw_col: str = "raw") -> DataFrame:
 
 
 def read_topics(spark: SparkSession, path: str) -> DataFrame:
-    files = spark.read.option("wholetext", True).text(path)
+    files = spark.read.text(path, wholetext=True)
     return parse_topics(files)
 
 
