@@ -411,3 +411,62 @@ z as (select p.run_id, p.qid, 'Z' || p.measure as measure,
   from per p left join zr on p.qid = zr.qid and p.measure = zr.measure)
 select run_id, qid, measure, round(value, 6) as value from z
 union all select run_id, 'all' as qid, measure, round(sum(value) / count(*), 6) as value from z group by run_id, measure"""
+
+
+PREFS_NONPAIR = ["prefs_num_prefs_poss", "prefs_num_prefs_ful", "prefs_num_prefs_ful_ret", "prefs_simp",
+                 "prefs_avgjg", "prefs_simp_ret", "prefs_avgjg_ret", "prefs_simp_imp", "prefs_avgjg_imp"]
+PREFS_PAIR = ["prefs_pair", "prefs_pair_ret", "prefs_pair_imp"]
+
+
+def _prefs_ctes(single_judge: bool) -> list[tuple[str, str]]:
+    qp = "select * from qrels_prefs" + (" where jg = '0'" if single_judge else "")
+    return [
+        ("qp", qp),
+        ("jd", "select distinct qid, docno from qp"),
+        ("rr", """select r.run_id, r.qid, r.docno, row_number() over (partition by r.run_id, r.qid order by r.sim desc, r.docno asc) as rank
+  from runs r where exists (select 1 from jd where jd.qid = r.qid and jd.docno = r.docno)"""),
+        ("tp", "select distinct run_id, qid from runs where qid in (select qid from qp)"),
+        ("docs", """select t.run_id, p.qid, p.jg, p.docno, p.rel_level, rr.rank from tp t join qp p on t.qid = p.qid
+  left join rr on rr.run_id = t.run_id and rr.qid = p.qid and rr.docno = p.docno"""),
+        ("pairs", """select a.run_id, a.qid, a.jg, a.rank as ra, b.rank as rb from docs a join docs b
+  on a.run_id = b.run_id and a.qid = b.qid and a.jg = b.jg and a.rel_level > b.rel_level"""),
+        ("cnt0", """select run_id, qid, jg,
+  count(*) filter (where ra is not null and rb is not null and ra < rb) as ful_ret,
+  count(*) filter (where ra is not null and rb is not null) as poss_ret,
+  count(*) filter (where ra is not null and rb is null) as ful_imp,
+  count(*) filter (where (ra is null) <> (rb is null)) as poss_imp,
+  count(*) filter (where ra is null and rb is null) as notoccur from pairs group by run_id, qid, jg"""),
+        ("cnt", """select g.run_id, g.qid, g.jg, coalesce(ful_ret, 0) as ful_ret, coalesce(poss_ret, 0) as poss_ret,
+  coalesce(ful_imp, 0) as ful_imp, coalesce(poss_imp, 0) as poss_imp, coalesce(notoccur, 0) as notoccur
+  from (select distinct run_id, qid, jg from docs) g left join cnt0 c on g.run_id = c.run_id and g.qid = c.qid and g.jg = c.jg"""),
+    ]
+
+
+def prefs_counts_sql() -> str:
+    return ctes("qrels_prefs", "runs", extra=_prefs_ctes(False)) + (
+        "select run_id, qid, jg, cast(ful_ret as bigint) as ful_ret, cast(poss_ret as bigint) as poss_ret, "
+        "cast(ful_imp as bigint) as ful_imp, cast(poss_imp as bigint) as poss_imp, "
+        "cast(notoccur as bigint) as notoccur from cnt")
+
+
+def prefs_measures_sql(pair: bool = False) -> str:
+    div = lambda a, b: f"case when ({b}) > 0 then ({a}) / ({b}) else 0 end"
+    pa = "(poss_ret + poss_imp + notoccur)"    # poss_imp: pairs with exactly one doc retrieved
+    fa = "(ful_ret + ful_imp)"
+    pi = "(poss_ret + poss_imp)"
+    per = f"""select run_id, qid, count(*) as n_jg, sum({pa}) as poss, sum({fa}) as ful, sum(ful_ret) as fr, sum(poss_ret) as pr,
+  sum({pi}) as pi, sum({div(fa, pa)}) as avg_all, sum({div('ful_ret', 'poss_ret')}) as avg_ret, sum({div(fa, pi)}) as avg_imp
+  from cnt group by run_id, qid"""
+    avg = lambda s: f"case when {s} > 0 then {s} / n_jg else 0 end"
+    exprs = {"prefs_num_prefs_poss": "poss", "prefs_num_prefs_ful": "ful", "prefs_num_prefs_ful_ret": "fr",
+             "prefs_simp": div("ful", "poss"), "prefs_avgjg": avg("avg_all"), "prefs_simp_ret": div("fr", "pr"),
+             "prefs_avgjg_ret": avg("avg_ret"), "prefs_simp_imp": div("ful", "pi"), "prefs_avgjg_imp": avg("avg_imp"),
+             "prefs_pair": div("ful", "poss"), "prefs_pair_ret": div("fr", "pr"), "prefs_pair_imp": div("ful", "pi")}
+    names = PREFS_PAIR if pair else PREFS_NONPAIR
+    pt = " union all ".join(f"select run_id, qid, '{m}' as measure, cast({exprs[m]} as double) as value from per" for m in names)
+    summed = ("prefs_num_prefs_poss", "prefs_num_prefs_ful", "prefs_num_prefs_ful_ret")
+    head = ctes("qrels_prefs", "runs", extra=_prefs_ctes(pair) + [("per", per), ("pt", pt)])
+    return head + ("select run_id, qid, measure, round(value, 6) as value from pt union all "
+                   "select run_id, 'all' as qid, measure, round(case when measure in ("
+                   + ", ".join(f"'{m}'" for m in summed) + ") then sum(value) else sum(value) / count(*) end, 6) as value "
+                   "from pt group by run_id, measure")

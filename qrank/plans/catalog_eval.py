@@ -128,3 +128,27 @@ def q_avgjg(spark, sf_dir):
 @register("zscores", _o(lambda O: O.zscores_sql()))
 def q_zscores2(spark, sf_dir):
     return q_zscores(spark, sf_dir)
+
+
+from ..operators import prefs as PR  # noqa: E402
+
+
+@register("prefs_counts", _o(lambda O: O.prefs_counts_sql()))
+def q_prefs_counts(spark, sf_dir):
+    c = PR.prefs_counts(fx.runs(spark, sf_dir), fx.qrels_prefs(spark, sf_dir))
+    return c.select("run_id", "qid", "jg", "ful_ret", "poss_ret", "ful_imp", "poss_imp", "notoccur")
+
+
+@register("m_prefs", _o(lambda O: O.prefs_measures_sql(False)))
+def q_prefs(spark, sf_dir):
+    ev = PR.evaluate_prefs(fx.runs(spark, sf_dir), fx.qrels_prefs(spark, sf_dir),
+                           [m for m in PR.PREFS_MEASURES if m not in PR.PAIR])
+    return ev.select("run_id", "qid", "measure", r6("value").alias("value"))
+
+
+@register("m_prefs_pair", _o(lambda O: O.prefs_measures_sql(True)))
+def q_prefs_pair(spark, sf_dir):
+    """Pair measures for the preferences of one judge group."""
+    one = fx.qrels_prefs(spark, sf_dir).where(F.col("jg") == "0")
+    ev = PR.evaluate_prefs(fx.runs(spark, sf_dir), one, sorted(PR.PAIR))
+    return ev.select("run_id", "qid", "measure", r6("value").alias("value"))
