@@ -186,6 +186,8 @@ def pt11_avg(params=RECALL_POINTS):
     def build(m):
         aggs, vals = _iprec_parts(m.params)
         name = "11pt_avg" if tuple(m.params) == RECALL_POINTS else "11pt_avg_" + ",".join(_short(p) for p in m.params)
+        if getattr(m, "display", None):
+            name = m.display
         total = sum((v for _, v in vals[1:]), vals[0][1])
         return aggs, [(name, total / len(vals))]
     return Measure("11pt_avg", "avg", build, tuple(params))
@@ -702,3 +704,61 @@ def evaluate_jg(run: DataFrame, qrels_jg: DataFrame, measures=("map_avgjg", "P_a
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+# ------------------------------------------------------------ measure specs
+
+GAIN_MEASURES = {"ndcg", "dcg", "ideal_dcg", "G", "ndcg_rel", "Rndcg", "rbp"}
+LONG_CUTOFFS = {"P", "recall", "relative_P", "success", "map_cut", "ndcg_cut", "unj", "P_avgjg"}
+DOUBLE_CUTOFFS = {"iprec_at_recall", "Rprec_mult", "Rprec_mult_avgjg"}
+
+
+def parse_spec(spec: str):
+    """'name' or 'name.params' -> (name, params, gains, display).
+
+    Cut-off lists are sorted (duplicates and non-positive values rejected);
+    'level=gain' pairs become a gain table; other lists keep their order.
+    """
+    if "." not in spec or spec.split(".", 1)[0] not in REGISTRY:
+        return spec, None, {}, None
+    name, raw = spec.split(".", 1)
+    items = [x for x in raw.split(",") if x != ""]
+    if name in LONG_CUTOFFS:
+        vals = sorted({int(float(x)) for x in items})
+        if any(v <= 0 for v in vals) or len(vals) != len(items):
+            raise ValueError(f"bad cut-offs in {spec}")
+        return name, tuple(vals), {}, None
+    if name in DOUBLE_CUTOFFS:
+        return name, tuple(sorted({float(x) for x in items})), {}, None
+    if name in GAIN_MEASURES and any("=" in x for x in items):
+        gains, p = {}, None
+        for x in items:
+            k, v = x.split("=", 1)
+            if k == "p":
+                p = float(v)
+            else:
+                gains[int(k)] = float(v)
+        params = (p,) if (name == "rbp" and p is not None) else None
+        return name, params, gains, f"{name}_{raw}"
+    return name, tuple(float(x) for x in items), {}, f"{name}_{raw}"
+
+
+def evaluate_specs(run: DataFrame, qrels: DataFrame, specs: list[str], opts: EvalOptions = EvalOptions(),
+                   per_topic: bool = True, summary: bool = True) -> DataFrame:
+    """Evaluate measure specs such as 'P.5,7,3' or 'ndcg.1=3,2=9': measures
+    with their own gain tables are evaluated with those gains and renamed."""
+    from dataclasses import replace
+    plain, out = [], []
+    for s in specs:
+        name, params, gains, display = parse_spec(s)
+        if gains:
+            ev = evaluate(run, qrels, [name], replace(opts, gains=gains), per_topic, summary)
+            out.append(ev.withColumn("measure", F.lit(display)))
+        else:
+            plain.append(name if params is None else (name, params))
+    if plain:
+        out.insert(0, evaluate(run, qrels, plain, opts, per_topic, summary))
+    res = out[0]
+    for x in out[1:]:
+        res = res.unionByName(x)
+    return res
