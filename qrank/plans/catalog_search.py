@@ -75,3 +75,37 @@ register("search_multifield", _oracle("search_sql", "bm25", {"k1": 0.6, "b": 0.7
     _search(lambda: S.bm25(0.6, 0.7), "mf", sectioned=True))
 # Full analyzer (Porter stemming + folding): no SQL equivalent offline.
 register("search_stemmed")(_search(lambda: S.bm25(0.6, 0.7), "stem", sectioned=True, analyzer=FULL))
+
+
+# Query-side analyzer of the expanded-query search: no ASCII folding, while
+# the index is built with the full chain (as in the original setup).
+EXPANDED_QUERY = Analyzer("standard", ("lowercase", "stop", "porterstem"))
+
+
+@register("search_expanded")
+def q_search_expanded(spark, sf_dir):
+    """Numbered query list (one line per benchmark item) searched in every
+    field with weight 1, default BM25 (1.2, 0.75), top 1000."""
+    from .catalog_sources import q_numbered
+    queries = q_numbered(spark, sf_dir)
+    idx = plain_index(spark, sf_dir, FULL)
+    qt = Q.flat_query_terms(queries, EXPANDED_QUERY)
+    return SE.search(qt, idx, S.bm25(*S.BM25_DEFAULT), k=1000, run_id="expanded")
+
+
+@register("search_synonyms")
+def q_search_synonyms(spark, sf_dir):
+    """Topics whose raw text is expanded with noun synonyms before parsing,
+    searched with the tuned multi-field BM25."""
+    from ..sources import topics as TP
+    from ..sources.render import topic_blocks_sql
+    from .catalog_sources import synonym_facts
+    blocks = spark.sql(topic_blocks_sql("{benchmark}"), benchmark=fx.table(spark, sf_dir, "benchmark")) \
+                  .select(F.col("item_id").alias("block_id"), F.col("block").alias("raw"))
+    expanded = TP.expand_synonyms(blocks, TP.synsets(synonym_facts(spark, sf_dir)))
+    # expanded blocks still carry their <top> wrapper; parse sections from them
+    inner = expanded.select(F.regexp_extract("raw", r"<top>\s([\s\S]*?)</top>", 1).alias("raw"))
+    topics = TP.topics_from_blocks(inner)
+    idx = plain_index(spark, sf_dir, FULL)
+    qt = Q.query_terms(topics, FULL)
+    return SE.search(qt, idx, S.bm25(*S.BM25_TUNED), k=1000, run_id="synonyms")

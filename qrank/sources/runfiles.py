@@ -20,7 +20,12 @@ from pyspark.sql import functions as F
 
 
 def _lines(spark: SparkSession, path, comments: bool = True) -> DataFrame:
-    df = spark.read.text(path).withColumn("_file", F.input_file_name())
+    return split_lines(spark.read.text(path), comments)
+
+
+def split_lines(df: DataFrame, comments: bool = True) -> DataFrame:
+    """Whitespace-split text lines (batch or streaming DataFrame of ``value``)."""
+    df = df.withColumn("_file", F.input_file_name())
     f = F.split(F.trim(F.col("value")), r"\s+")
     df = df.withColumn("_f", f).withColumn("_n", F.when(F.trim("value") == "", 0).otherwise(F.size(f)))
     if comments:
@@ -44,6 +49,11 @@ def read_run(spark: SparkSession, path, validate: bool = False, run_id_from_file
     """
     df = _lines(spark, path).where(F.col("_n") > 0)
     _check(df, F.col("_n") < 6, "run", validate)
+    return run_rows(df, run_id_from_file)
+
+
+def run_rows(df: DataFrame, run_id_from_file: bool = False) -> DataFrame:
+    """Typed run rows from split lines (see ``split_lines``)."""
     rid = F.col("_file") if run_id_from_file else F.col("_f")[5]
     return df.where(F.col("_n") >= 6).select(
         rid.alias("run_id"), F.col("_f")[0].alias("qid"), F.col("_f")[2].alias("docno"),

@@ -109,3 +109,18 @@ def test_run_and_qrels_files(spark, tmpdir_path):
     import pytest
     with pytest.raises(ValueError):
         read_qrels(spark, f"{tmpdir_path}/bad", validate=True)
+
+
+def test_run_stream(spark, tmpdir_path):
+    import glob
+    from qrank.streaming.runs import evaluate_run_stream
+    runs = f"{tmpdir_path}/runs"
+    os.makedirs(runs)
+    open(f"{runs}/a.txt", "w").write("1 Q0 d1 1 2.0 a\n1 Q0 d2 2 1.0 a\n")
+    open(f"{runs}/b.txt", "w").write("1 Q0 d2 1 2.0 b\n1 Q0 d1 2 1.0 b\n")
+    qrels = spark.createDataFrame([("1", "d1", 1), ("1", "d2", 0)], "qid string, docno string, rel bigint")
+    q = evaluate_run_stream(spark, runs, qrels, f"{tmpdir_path}/out", f"{tmpdir_path}/ckpt", ["map"])
+    q.awaitTermination(120)
+    out = spark.read.parquet(f"{tmpdir_path}/out").where("qid = 'all'").collect()
+    maps = sorted(r.value for r in out)
+    assert maps == [0.5, 1.0] and glob.glob(f"{tmpdir_path}/out/batch=*")
