@@ -597,6 +597,10 @@ def evaluate(run: DataFrame, qrels: DataFrame, measures="official",
         # Topics whose retrieved docs are all unjudged still count (with ret = 0).
         wide = _fill_empty_topics(run, stats, wide, ms, opts)
     names = measure_summaries(ms)
+    if per_topic and summary:
+        # Both outputs read the per-topic table (one row per run and topic):
+        # keep it instead of recomputing the judged ranking for each branch.
+        wide = wide.persist()
     long = stack_long(wide, list(names))
     parts = []
     hidden = [n for m in ms if not m.per_topic for n, _ in m.parts()[1]]

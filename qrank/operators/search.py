@@ -27,25 +27,44 @@ MAX_PUSHED_TERMS = 20_000
 SCORE_DIGITS = 6
 
 
-def query_side(query_terms: DataFrame, index: Index) -> DataFrame:
-    """(qid, field, term, weight, df, cf, N, avgdl, sum_dl) for the query terms."""
-    qt = bounded_broadcast(query_terms, MAX_BROADCAST_QUERY_TERMS)
+def query_side(query_terms: DataFrame, index: Index, vocab: list[str] | None = None,
+               small: bool | None = None) -> DataFrame:
+    """(qid, field, term, weight, df, cf, N, avgdl, sum_dl) for the query terms.
+
+    ``query_terms`` is broadcast only after a row-count check.  The result
+    has at most one dictionary row per query-term row, so its size is bounded
+    by that same check and it can be broadcast to the postings scan as well.
+    """
+    if small is None:
+        small = query_terms.limit(MAX_BROADCAST_QUERY_TERMS + 1).count() <= MAX_BROADCAST_QUERY_TERMS
+    qt = F.broadcast(query_terms) if small else query_terms
     fs = F.broadcast(index.field_stats)  # one row per field
-    return index.dictionary.join(qt, ["field", "term"]).join(fs, "field")
+    d = index.dictionary
+    if vocab is not None:
+        d = d.where(F.col("term").isin(vocab))
+    return d.join(qt, ["field", "term"]).join(fs, "field")
 
 
 def matches(query_terms: DataFrame, index: Index, push_terms: bool = True) -> DataFrame:
     """Unaggregated matches: one row per (query term, posting) with every
-    column a similarity needs."""
-    qs = query_side(query_terms, index)
-    postings = index.postings
+    column a similarity needs.
+
+    The query-term table is persisted and inspected once: its row count
+    decides the broadcasts, its vocabulary (when small) becomes a pushed
+    ``term IN (...)`` filter on dictionary and postings.
+    """
+    qt = query_terms.persist()
+    n = qt.limit(MAX_BROADCAST_QUERY_TERMS + 1).count()
+    small = n <= MAX_BROADCAST_QUERY_TERMS
+    vocab = None
     if push_terms:
-        terms = query_terms.select("term").distinct()
-        few = terms.limit(MAX_PUSHED_TERMS + 1).collect()
-        if len(few) <= MAX_PUSHED_TERMS:
-            postings = postings.where(F.col("term").isin([r.term for r in few]))
-    qs = bounded_broadcast(qs, MAX_BROADCAST_QUERY_TERMS)
-    return postings.join(qs, ["field", "term"])
+        few = qt.select("term").distinct().limit(MAX_PUSHED_TERMS + 1).collect()
+        vocab = [r.term for r in few] if len(few) <= MAX_PUSHED_TERMS else None
+    qs = query_side(qt, index, vocab, small)
+    postings = index.postings
+    if vocab is not None:
+        postings = postings.where(F.col("term").isin(vocab))
+    return postings.join(F.broadcast(qs) if small else qs, ["field", "term"])
 
 
 def score(query_terms: DataFrame, index: Index, sim: Column, keep_zero: bool = False) -> DataFrame:
