@@ -34,6 +34,7 @@ class EvalOptions:
     complete: bool = False               # average over all judged topics
     num_docs_in_coll: int = 0            # collection size (utility measure)
     gains: dict = field(default_factory=dict)  # level -> gain overrides
+    skew_safe: bool | None = None        # ranking plan: None = chosen from the largest topic
 
 
 def rank_run(run: DataFrame, docno_desc: bool = True) -> DataFrame:
@@ -156,16 +157,14 @@ def judge(run: DataFrame, qrels: DataFrame, opts: EvalOptions = EvalOptions(),
 
 
 def _with_running(j: DataFrame, opts: EvalOptions, keys=("qid",)) -> DataFrame:
-    w = Window.partitionBy("run_id", *keys).orderBy(F.desc("sim"), F.desc("docno"))
-    cum = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    from .ranking import running
     rel = F.col("rel")
     isrel = rel >= opts.level
-    return (j.withColumn("rank", F.row_number().over(w))
-             .withColumn("isrel", isrel)
-             .withColumn("gain", gain_expr(rel, opts.gains))
-             .withColumn("k", F.sum(isrel.cast("long")).over(cum))
-             .withColumn("nj", F.sum(((rel >= 0) & ~isrel).cast("long")).over(cum))
-             .withColumn("u", F.sum((rel == UNJUDGED).cast("long")).over(cum)))
+    order = [F.desc("sim"), F.desc("docno")]
+    sums = {"k": isrel.cast("long"), "nj": ((rel >= 0) & ~isrel).cast("long"),
+            "u": (rel == UNJUDGED).cast("long")}
+    out = running(j, ["run_id", *keys], order, sums, skew_safe=opts.skew_safe)
+    return out.withColumn("isrel", isrel).withColumn("gain", gain_expr(rel, opts.gains))
 
 
 def judged_topics(run: DataFrame, stats: DataFrame, keys=("qid",)) -> DataFrame:

@@ -408,16 +408,15 @@ def _disc_range(a: Column, b: Column) -> Column:
 
 # Window columns on judged rows for measures comparing each rank with the
 # ideal ranking at the same rank (G, ndcg_rel, Rndcg).
-def with_ideal_window(j: DataFrame, keys=("qid",)) -> DataFrame:
-    w = (Window.partitionBy("run_id", *keys).orderBy(F.desc("sim"), F.desc("docno"))
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+def with_ideal_window(j: DataFrame, keys=("qid",), skew_safe: bool | None = None) -> DataFrame:
+    from .ranking import running
     seg = F.filter(col("segs"), lambda s: (s["start"] <= col("rank")) & (col("rank") <= s["end"]))
     ig = F.coalesce(F.try_element_at(seg, F.lit(1))["g"], F.lit(0.0))
-    return (j.withColumn("ig", ig)
-             .withColumn("dcum", F.sum(col("gain") * DISC()).over(w))
-             .withColumn("icum", F.sum(col("ig") * DISC()).over(w))
-             .withColumn("sg", F.sum("gain").over(w))
-             .withColumn("cost", F.sum(F.greatest(col("ig"), F.lit(1.0))).over(w)))
+    j = j.withColumn("ig", ig)
+    sums = {"dcum": col("gain") * DISC(), "icum": col("ig") * DISC(), "sg": col("gain"),
+            "cost": F.greatest(col("ig"), F.lit(1.0))}
+    return running(j, ["run_id", *keys], [F.desc("sim"), F.desc("docno")], sums,
+                   skew_safe=skew_safe, rank_col=None)
 
 
 @register_measure("G")
@@ -545,7 +544,7 @@ def topic_values(judged: DataFrame, measures, opts: EvalOptions = EvalOptions(),
         vals.extend((n, e, m) for n, e in v)
     j = judged
     if any(m.needs_window for m in ms):
-        j = with_ideal_window(j, keys)
+        j = with_ideal_window(j, keys, opts.skew_safe)
     stat = [F.any_value(c).alias(c) for c in STAT_COLS]
     per = j.groupBy("run_id", *keys).agg(*[a.alias(k) for k, a in aggs.items()], *stat)
     per = per.withColumn("num_docs_in_coll", F.lit(int(opts.num_docs_in_coll)))

@@ -34,3 +34,20 @@ def test_index_and_search(spark):
     q = spark.createDataFrame([("1", "cat")], "qid string, text string")
     run = SE.search(Q.flat_query_terms(q, a), idx, S.bm25(1.2, 0.75), k=10).collect()
     assert [r.docno for r in sorted(run, key=lambda r: r.rank)][:1] == ["d1"]
+
+
+def test_saved_index_pushes_term_filter(spark, tmpdir_path):
+    from qrank.functions import similarity as S
+    from qrank.operators import index as I, query as Q, search as SE
+    docs = spark.createDataFrame([(f"d{i}", f"h{i}", f"word{i % 7} common text {i}", "1990") for i in range(200)],
+                                 "docno string, headline string, text string, date string")
+    a = Analyzer("standard", ("lowercase", "stop"))
+    I.save_index(I.build_index(docs, a), f"{tmpdir_path}/idx", num_files=4)
+    idx = I.load_index(spark, f"{tmpdir_path}/idx")
+    assert idx.analyzer == a
+    q = spark.createDataFrame([("1", "word3")], "qid string, text string")
+    run = SE.search(Q.flat_query_terms(q, a), idx, S.bm25(1.2, 0.75), k=5)
+    plan = run._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in plan and "word3" in plan
+    rows = run.collect()
+    assert len(rows) == 5 and all(int(r.docno[1:]) % 7 == 3 for r in rows)
