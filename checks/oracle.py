@@ -414,7 +414,8 @@ union all select run_id, 'all' as qid, measure, round(sum(value) / count(*), 6)
 
 
 PREFS_NONPAIR = ["prefs_num_prefs_poss", "prefs_num_prefs_ful", "prefs_num_prefs_ful_ret", "prefs_simp",
-                 "prefs_avgjg", "prefs_simp_ret", "prefs_avgjg_ret", "prefs_simp_imp", "prefs_avgjg_imp"]
+                 "prefs_avgjg", "prefs_avgjg_Rnonrel", "prefs_simp_ret", "prefs_avgjg_ret", "prefs_avgjg_Rnonrel_ret",
+                 "prefs_simp_imp", "prefs_avgjg_imp"]
 PREFS_PAIR = ["prefs_pair", "prefs_pair_ret", "prefs_pair_imp"]
 
 
@@ -436,9 +437,35 @@ def _prefs_ctes(single_judge: bool) -> list[tuple[str, str]]:
   count(*) filter (where ra is not null and rb is null) as ful_imp,
   count(*) filter (where (ra is null) <> (rb is null)) as poss_imp,
   count(*) filter (where ra is null and rb is null) as notoccur from pairs group by run_id, qid, jg"""),
-        ("cnt", """select g.run_id, g.qid, g.jg, coalesce(ful_ret, 0) as ful_ret, coalesce(poss_ret, 0) as poss_ret,
+        ("cnt1", """select g.run_id, g.qid, g.jg, coalesce(ful_ret, 0) as ful_ret, coalesce(poss_ret, 0) as poss_ret,
   coalesce(ful_imp, 0) as ful_imp, coalesce(poss_imp, 0) as poss_imp, coalesce(notoccur, 0) as notoccur
   from (select distinct run_id, qid, jg from docs) g left join cnt0 c on g.run_id = c.run_id and g.qid = c.qid and g.jg = c.jg"""),
+        # Non-relevant cap: class counts, lowest class, first R of it in compact order.
+        ("gi", """select run_id, qid, jg, min(rel_level) as min_level,
+  count(*) filter (where rel_level > 0) as num_rel, count(*) filter (where rel_level > 0 and rank is not null) as num_rel_ret,
+  count(*) filter (where rel_level <= 0) as num_nonrel, count(*) filter (where rel_level <= 0 and rank is not null) as num_nonrel_ret
+  from docs group by run_id, qid, jg"""),
+        ("dl", """select d.*, g.min_level, g.num_rel, g.num_rel_ret, d.rel_level = g.min_level as is_last,
+  row_number() over (partition by d.run_id, d.qid, d.jg, d.rel_level = g.min_level
+                     order by d.rank is null, d.rank, d.docno) as pos_in_class
+  from docs d join gi g on d.run_id = g.run_id and d.qid = g.qid and d.jg = g.jg"""),
+        ("rn", """select x.run_id, x.qid, x.jg,
+  count(*) filter (where x.rel_level > y.rel_level and not y.is_last and x.rank is not null and (y.rank is null or x.rank < y.rank)) as f1,
+  count(*) filter (where x.rel_level > y.rel_level and not y.is_last) as p1,
+  count(*) filter (where y.is_last and y.pos_in_class <= y.num_rel and x.rank is not null and (y.rank is null or x.rank < y.rank)) as f2,
+  count(*) filter (where y.is_last and y.pos_in_class <= y.num_rel) as p2,
+  count(*) filter (where x.rank is not null and y.rank is not null and x.rel_level > y.rel_level and not y.is_last and x.rank < y.rank) as f1r,
+  count(*) filter (where x.rank is not null and y.rank is not null and x.rel_level > y.rel_level and not y.is_last) as p1r,
+  count(*) filter (where x.rank is not null and y.rank is not null and y.is_last and y.pos_in_class <= y.num_rel_ret and x.rank < y.rank) as f2r,
+  count(*) filter (where x.rank is not null and y.rank is not null and y.is_last and y.pos_in_class <= y.num_rel_ret) as p2r
+  from dl x join dl y on x.run_id = y.run_id and x.qid = y.qid and x.jg = y.jg group by x.run_id, x.qid, x.jg"""),
+        ("cnt", """select c.*, g.num_rel, g.num_rel_ret, g.num_nonrel, g.num_nonrel_ret,
+  case when g.num_rel >= g.num_nonrel then c.ful_ret + c.ful_imp + g.num_rel_ret * (g.num_rel - g.num_nonrel) else r.f1 + r.f2 end as rn_ful,
+  case when g.num_rel >= g.num_nonrel then c.poss_ret + c.poss_imp + c.notoccur + g.num_rel * (g.num_rel - g.num_nonrel) else r.p1 + r.p2 end as rn_poss,
+  case when g.num_rel_ret >= g.num_nonrel_ret then c.ful_ret + g.num_rel_ret * (g.num_rel_ret - g.num_nonrel_ret) else r.f1r + r.f2r end as rr_ful,
+  case when g.num_rel_ret >= g.num_nonrel_ret then c.poss_ret + g.num_rel * (g.num_rel_ret - g.num_nonrel_ret) else r.p1r + r.p2r end as rr_poss
+  from cnt1 c join gi g on c.run_id = g.run_id and c.qid = g.qid and c.jg = g.jg
+  join rn r on c.run_id = r.run_id and c.qid = r.qid and c.jg = r.jg"""),
     ]
 
 
@@ -455,13 +482,17 @@ def prefs_measures_sql(pair: bool = False) -> str:
     fa = "(ful_ret + ful_imp)"
     pi = "(poss_ret + poss_imp)"
     per = f"""select run_id, qid, count(*) as n_jg, sum({pa}) as poss, sum({fa}) as ful, sum(ful_ret) as fr, sum(poss_ret) as pr,
-  sum({pi}) as pi, sum({div(fa, pa)}) as avg_all, sum({div('ful_ret', 'poss_ret')}) as avg_ret, sum({div(fa, pi)}) as avg_imp
+  sum({pi}) as pi, sum({div(fa, pa)}) as avg_all, sum({div('ful_ret', 'poss_ret')}) as avg_ret, sum({div(fa, pi)}) as avg_imp,
+  sum(case when rn_poss > 0 then rn_ful / rn_poss end) as avg_rn, count(*) filter (where rn_poss <= 0) as rn_bad,
+  sum(case when rr_poss > 0 then rr_ful / rr_poss end) as avg_rr, count(*) filter (where rr_poss <= 0) as rr_bad
   from cnt group by run_id, qid"""
     avg = lambda s: f"case when {s} > 0 then {s} / n_jg else 0 end"
     exprs = {"prefs_num_prefs_poss": "poss", "prefs_num_prefs_ful": "ful", "prefs_num_prefs_ful_ret": "fr",
              "prefs_simp": div("ful", "poss"), "prefs_avgjg": avg("avg_all"), "prefs_simp_ret": div("fr", "pr"),
              "prefs_avgjg_ret": avg("avg_ret"), "prefs_simp_imp": div("ful", "pi"), "prefs_avgjg_imp": avg("avg_imp"),
-             "prefs_pair": div("ful", "poss"), "prefs_pair_ret": div("fr", "pr"), "prefs_pair_imp": div("ful", "pi")}
+             "prefs_pair": div("ful", "poss"), "prefs_pair_ret": div("fr", "pr"), "prefs_pair_imp": div("ful", "pi"),
+             "prefs_avgjg_Rnonrel": f"case when rn_bad > 0 then 0 else {avg('avg_rn')} end",
+             "prefs_avgjg_Rnonrel_ret": f"case when rr_bad > 0 then 0 else {avg('avg_rr')} end"}
     names = PREFS_PAIR if pair else PREFS_NONPAIR
     pt = " union all ".join(f"select run_id, qid, '{m}' as measure, cast({exprs[m]} as double) as value from per" for m in names)
     summed = ("prefs_num_prefs_poss", "prefs_num_prefs_ful", "prefs_num_prefs_ful_ret")

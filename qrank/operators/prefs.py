@@ -9,11 +9,14 @@ from per-level document counts (retrieved / not retrieved) and one window
 over the retrieved judged documents in rank order holding running counts
 per level - never from the quadratic set of pairs.
 
+The ``_Rnonrel`` variants (non-relevant documents capped at the number of
+relevant ones) reuse the same pass: the capped class is the first R
+documents of the lowest level in compact order.
+
 Not built: judge groups with several sub-groups (their preferences are the
-transitive closure of pair sets, which needs the pairs) and the
-``_Rnonrel`` recounts; ``prefs_pair*`` need per-pair vote ratios across
-judges and are computed for topics judged by a single group, where they
-equal the ``prefs_simp*`` counts.
+transitive closure of pair sets, which needs the pairs); ``prefs_pair*``
+need per-pair vote ratios across judges and are computed for topics judged
+by a single group, where they equal the ``prefs_simp*`` counts.
 """
 
 from __future__ import annotations
@@ -22,13 +25,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .judge import EvalOptions
+from .ranking import running
 
 # Judgment levels are few; running counts are kept per distinct level.
 MAX_LEVELS = 64
 
 PREFS_MEASURES = ["prefs_num_prefs_poss", "prefs_num_prefs_ful", "prefs_num_prefs_ful_ret", "prefs_simp",
-                  "prefs_pair", "prefs_avgjg", "prefs_simp_ret", "prefs_pair_ret", "prefs_avgjg_ret",
-                  "prefs_simp_imp", "prefs_pair_imp", "prefs_avgjg_imp"]
+                  "prefs_pair", "prefs_avgjg", "prefs_avgjg_Rnonrel", "prefs_simp_ret", "prefs_pair_ret",
+                  "prefs_avgjg_ret", "prefs_avgjg_Rnonrel_ret", "prefs_simp_imp", "prefs_pair_imp",
+                  "prefs_avgjg_imp"]
 SUMMED = {"prefs_num_prefs_poss", "prefs_num_prefs_ful", "prefs_num_prefs_ful_ret"}
 PAIR = {"prefs_pair", "prefs_pair_ret", "prefs_pair_imp"}
 
@@ -39,7 +44,8 @@ def check_single_subgroup(prefs: DataFrame) -> None:
         raise NotImplementedError("judge groups with several sub-groups need pairwise closure (not built)")
 
 
-def prefs_counts(run: DataFrame, prefs: DataFrame, validate: bool = True) -> DataFrame:
+def prefs_counts(run: DataFrame, prefs: DataFrame, validate: bool = True,
+                 skew_safe: bool | None = None) -> DataFrame:
     """Per (run_id, qid, jg): ful_ret, poss_ret, ful_imp, poss_imp, notoccur,
     num_rel, num_rel_ret, num_nonrel, num_nonrel_ret."""
     if validate:
@@ -52,45 +58,95 @@ def prefs_counts(run: DataFrame, prefs: DataFrame, validate: bool = True) -> Dat
     # Retrieved judged docs of each run and topic (judged = in any group of the topic).
     judged_docs = p.select("qid", "docno").distinct()
     r = run.select("run_id", "qid", "docno", "sim").join(judged_docs, ["qid", "docno"], "left_semi")
-    w_rank = Window.partitionBy("run_id", "qid").orderBy(F.desc("sim"), F.asc("docno"))
-    r = r.withColumn("rank", F.row_number().over(w_rank)).drop("sim")
+    r = running(r, ["run_id", "qid"], [F.desc("sim"), F.asc("docno")], {}, skew_safe=skew_safe)
+    r = r.drop("sim")
     topics = run.select("run_id", "qid").distinct().join(p.select("qid").distinct(), "qid")
+    last_level = p.groupBy("qid", "jg").agg(F.min("rel_level").alias("_min_level"))
     # Every judged doc of the run's topics, with its rank if retrieved.
-    docs = topics.join(p, "qid").join(r, ["run_id", "qid", "docno"], "left")
+    docs = (topics.join(p, "qid").join(r, ["run_id", "qid", "docno"], "left")
+                  .join(last_level, ["qid", "jg"]))
     ret = F.col("rank").isNotNull()
-
-    # A1: for each retrieved doc y, retrieved docs ranked before it at a higher level.
-    w = (Window.partitionBy("run_id", "qid", "jg").orderBy("rank")
-         .rowsBetween(Window.unboundedPreceding, -1))
-    rd = docs.where(ret)
-    above = [F.coalesce(F.sum(F.when(F.col("rel_level") == lv, 1).otherwise(0)).over(w), F.lit(0)).alias(f"_c{i}")
-             for i, lv in enumerate(levels)]
-    rd = rd.select("run_id", "qid", "jg", "rel_level", *above)
-    conc = sum((F.when(F.col("rel_level") < lv, F.col(f"_c{i}")).otherwise(0) for i, lv in enumerate(levels)), F.lit(0))
-    a1 = rd.groupBy("run_id", "qid", "jg").agg(F.sum(conc).cast("long").alias("ful_ret"))
-
-    # Level histograms split by retrieval -> the other areas.
-    hist = docs.groupBy("run_id", "qid", "jg", "rel_level").agg(F.count_if(ret).alias("r"), F.count_if(~ret).alias("u"))
-    wl = Window.partitionBy("run_id", "qid", "jg").orderBy("rel_level").rowsBetween(Window.unboundedPreceding, -1)
-    hist = hist.withColumn("u_below", F.coalesce(F.sum("u").over(wl), F.lit(0)))
-    tot = hist.groupBy("run_id", "qid", "jg").agg(
+    lvl = F.col("rel_level")
+    docs = docs.withColumn("_ret", ret.cast("long")).withColumn("_last", (lvl == F.col("_min_level")).cast("long"))
+    keys = ["run_id", "qid", "jg"]
+
+    # One pass over each group's judged docs in compact order (retrieved docs
+    # by rank, then the others by docno) with running counts of retrieved
+    # docs per level: every doc learns how many retrieved docs of a higher
+    # level precede it (fulfilled preferences won by those docs).
+    order = [F.desc("_ret"), F.asc("rank"), F.asc("docno")]
+    sums = {f"_c{i}": ((lvl == lv) & ret).cast("long") for i, lv in enumerate(levels)}
+    sums.update({"_rb": F.col("_ret"), "_pl": F.col("_last")})
+    cd = running(docs, keys, order, sums, skew_safe=skew_safe, rank_col=None)
+    hi = sum((F.when(lvl < lv, F.col(f"_c{i}")).otherwise(0) for i, lv in enumerate(levels)), F.lit(0))
+    cd = cd.withColumn("_hi", hi).withColumn("_ret_before", F.col("_rb") - F.col("_ret"))
+
+    # Level histograms split by retrieval -> pair totals.
+    hist = docs.groupBy(*keys, "rel_level", "_min_level").agg(F.count_if(ret).alias("r"), F.count_if(~ret).alias("u"))
+    nl = lvl != F.col("_min_level")
+    tot = hist.groupBy(*keys).agg(
         F.sum("r").alias("R"), F.sum("u").alias("U"),
         F.sum(F.col("r") * F.col("r")).alias("RR"), F.sum(F.col("u") * F.col("u")).alias("UU"),
-        F.sum(F.col("r") * F.col("u")).alias("RU"), F.sum(F.col("r") * F.col("u_below")).alias("ful_imp"),
-        F.sum(F.when(F.col("rel_level") > 0, F.col("r") + F.col("u")).otherwise(0)).alias("num_rel"),
-        F.sum(F.when(F.col("rel_level") > 0, F.col("r")).otherwise(0)).alias("num_rel_ret"),
-        F.sum(F.when(F.col("rel_level") <= 0, F.col("r") + F.col("u")).otherwise(0)).alias("num_nonrel"),
-        F.sum(F.when(F.col("rel_level") <= 0, F.col("r")).otherwise(0)).alias("num_nonrel_ret"))
-    out = tot.join(a1, ["run_id", "qid", "jg"], "left")
+        F.sum(F.col("r") * F.col("u")).alias("RU"),
+        F.sum(F.when(nl, F.col("r") + F.col("u")).otherwise(0)).alias("T1"),
+        F.sum(F.when(nl, (F.col("r") + F.col("u")) * (F.col("r") + F.col("u"))).otherwise(0)).alias("S1"),
+        F.sum(F.when(nl, F.col("r")).otherwise(0)).alias("T1r"),
+        F.sum(F.when(nl, F.col("r") * F.col("r")).otherwise(0)).alias("S1r"),
+        F.sum(F.when(lvl > 0, F.col("r") + F.col("u")).otherwise(0)).alias("num_rel"),
+        F.sum(F.when(lvl > 0, F.col("r")).otherwise(0)).alias("num_rel_ret"),
+        F.sum(F.when(lvl <= 0, F.col("r") + F.col("u")).otherwise(0)).alias("num_nonrel"),
+        F.sum(F.when(lvl <= 0, F.col("r")).otherwise(0)).alias("num_nonrel_ret"))
+    # Per-doc sums; the recount of the non-relevant tail needs the group's R.
+    cdt = cd.join(tot.select(*keys, "num_rel", "num_rel_ret"), keys)
+    last = F.col("_last") == 1
+    y_all = last & (F.col("_pl") <= F.col("num_rel"))
+    y_ret = last & ret & (F.col("_pl") <= F.col("num_rel_ret"))
+    per = cdt.groupBy(*keys).agg(
+        F.sum(F.when(ret, F.col("_hi")).otherwise(0)).alias("ful_ret"),
+        F.sum(F.when(~ret, F.col("_hi")).otherwise(0)).alias("ful_imp"),
+        F.sum(F.when(~last, F.col("_hi")).otherwise(0)).alias("rn_ful1"),
+        F.sum(F.when(~last & ret, F.col("_hi")).otherwise(0)).alias("rn_ful1r"),
+        F.sum(F.when(y_all, F.col("_ret_before")).otherwise(0)).alias("rn_ful2"),
+        F.sum(F.when(y_ret, F.col("_ret_before")).otherwise(0)).alias("rn_ful2r"),
+        F.count_if(y_all).alias("rn_y"), F.count_if(y_ret).alias("rn_yr"))
+    out = tot.join(per, keys, "left")
+    n_tot = F.col("R") + F.col("U")
     return out.select(
-        "run_id", "qid", "jg",
+        *keys,
         F.coalesce("ful_ret", F.lit(0)).cast("long").alias("ful_ret"),
         ((F.col("R") * F.col("R") - F.col("RR")) / 2).cast("long").alias("poss_ret"),
-        F.col("ful_imp").cast("long").alias("ful_imp"),
+        F.coalesce("ful_imp", F.lit(0)).cast("long").alias("ful_imp"),
         (F.col("R") * F.col("U") - F.col("RU")).cast("long").alias("poss_imp"),
         ((F.col("U") * F.col("U") - F.col("UU")) / 2).cast("long").alias("notoccur"),
         F.col("num_rel").cast("long"), F.col("num_rel_ret").cast("long"),
-        F.col("num_nonrel").cast("long"), F.col("num_nonrel_ret").cast("long"))
+        F.col("num_nonrel").cast("long"), F.col("num_nonrel_ret").cast("long"),
+        # recount with only the first R non-relevant docs (see rnonrel_value)
+        (F.coalesce("rn_ful1", F.lit(0)) + F.coalesce("rn_ful2", F.lit(0))).cast("long").alias("rn_ful"),
+        (((F.col("T1") * F.col("T1") - F.col("S1")) / 2) + n_tot * F.coalesce("rn_y", F.lit(0))).cast("long").alias("rn_poss"),
+        (F.coalesce("rn_ful1r", F.lit(0)) + F.coalesce("rn_ful2r", F.lit(0))).cast("long").alias("rn_ful_ret"),
+        (((F.col("T1r") * F.col("T1r") - F.col("S1r")) / 2) + F.col("R") * F.coalesce("rn_yr", F.lit(0))).cast("long").alias("rn_poss_ret"))
+
+
+def rnonrel_value(ret_only: bool) -> tuple[Column, Column]:
+    """(fulfilled, possible) of one judge group with non-relevant docs
+    capped at the number of relevant ones.
+
+    When there are at least as many relevant as non-relevant docs, the
+    plain counts get (R - N) extra wins per relevant retrieved doc;
+    otherwise the recount keeps the first R docs of the lowest class
+    (pairs with every doc of the group, that class included).
+    """
+    c = F.col
+    if ret_only:
+        R, N = c("num_rel_ret"), c("num_nonrel_ret")
+        ful = F.when(R >= N, c("ful_ret") + c("num_rel_ret") * (R - N)).otherwise(c("rn_ful_ret"))
+        poss = F.when(R >= N, c("poss_ret") + c("num_rel") * (R - N)).otherwise(c("rn_poss_ret"))
+    else:
+        R, N = c("num_rel"), c("num_nonrel")
+        ful = F.when(R >= N, c("ful_ret") + c("ful_imp") + c("num_rel_ret") * (R - N)).otherwise(c("rn_ful"))
+        poss = F.when(R >= N, c("poss_ret") + c("poss_imp") + c("notoccur") + c("num_rel") * (R - N)) \
+                .otherwise(c("rn_poss"))
+    return ful, poss
 
 
 def _ratio(a: Column, b: Column) -> Column:
@@ -104,7 +160,9 @@ def evaluate_prefs(run: DataFrame, prefs: DataFrame, measures=PREFS_MEASURES,
     from .measures import stack_long
     from .summary import summarize
 
-    c = prefs_counts(run, prefs, validate)
+    c = prefs_counts(run, prefs, validate, opts.skew_safe)
+    rn_ful, rn_poss = rnonrel_value(False)
+    rr_ful, rr_poss = rnonrel_value(True)
     poss_all = F.col("poss_ret") + F.col("poss_imp") + F.col("notoccur")
     ful_all = F.col("ful_ret") + F.col("ful_imp")
     per = c.groupBy("run_id", "qid").agg(
@@ -113,7 +171,10 @@ def evaluate_prefs(run: DataFrame, prefs: DataFrame, measures=PREFS_MEASURES,
         F.sum("poss_ret").alias("pr"), F.sum(F.col("poss_ret") + F.col("poss_imp")).alias("pi"),
         F.sum(_ratio(ful_all, poss_all)).alias("avg_all"),
         F.sum(_ratio(F.col("ful_ret"), F.col("poss_ret"))).alias("avg_ret"),
-        F.sum(_ratio(ful_all, F.col("poss_ret") + F.col("poss_imp"))).alias("avg_imp"))
+        F.sum(_ratio(ful_all, F.col("poss_ret") + F.col("poss_imp"))).alias("avg_imp"),
+        # a group with nothing possible makes the whole topic 0 (0/0 in the sum)
+        F.sum(F.when(rn_poss > 0, rn_ful / rn_poss)).alias("avg_rn"), F.count_if(rn_poss <= 0).alias("rn_bad"),
+        F.sum(F.when(rr_poss > 0, rr_ful / rr_poss)).alias("avg_rr"), F.count_if(rr_poss <= 0).alias("rr_bad"))
     if validate and any(m in PAIR for m in measures):
         if per.where(F.col("n_jg") > 1).limit(1).count():
             raise NotImplementedError("prefs_pair* over several judge groups need per-pair vote ratios (not built)")
@@ -131,6 +192,8 @@ def evaluate_prefs(run: DataFrame, prefs: DataFrame, measures=PREFS_MEASURES,
         "prefs_simp_imp": _ratio(F.col("ful"), F.col("pi")),
         "prefs_pair_imp": _ratio(F.col("ful"), F.col("pi")),
         "prefs_avgjg_imp": avg("avg_imp"),
+        "prefs_avgjg_Rnonrel": F.when(F.col("rn_bad") > 0, F.lit(0.0)).otherwise(avg("avg_rn")),
+        "prefs_avgjg_Rnonrel_ret": F.when(F.col("rr_bad") > 0, F.lit(0.0)).otherwise(avg("avg_rr")),
     }
     wide = per.select("run_id", "qid", *[exprs[m].alias(m) for m in measures])
     long = stack_long(wide, list(measures))
