@@ -75,7 +75,8 @@ def discount_sums(ranges: DataFrame, keys: list[str], lo: str, hi: str,
     return part.groupBy(*keys).agg(F.sum("_d").alias(out))
 
 
-def topic_stats(qrels: DataFrame, opts: EvalOptions = EvalOptions(), keys: tuple = ("qid",)) -> DataFrame:
+def topic_stats(qrels: DataFrame, opts: EvalOptions = EvalOptions(), keys: tuple = ("qid",),
+                with_ideal: bool = True) -> DataFrame:
     """Per-topic judgment counts and the ideal ranking as gain segments.
 
     Columns: qid, num_rel, num_nonrel, num_judged, num_rel_pos, max_level,
@@ -112,12 +113,19 @@ def topic_stats(qrels: DataFrame, opts: EvalOptions = EvalOptions(), keys: tuple
             F.sum(F.col("g") * F.col("n")).alias(f"{prefix}ideal_gain_sum"),
             F.sum("contrib").alias(f"{prefix}ideal_dcg"))
 
+    empty = F.array().cast("array<struct<start:bigint,end:bigint,g:double,icum:double>>")
+    if not with_ideal:
+        # Measures without gains need no ideal ranking.
+        out = (counts.withColumn("segs", empty).withColumn("lsegs", empty)
+                     .withColumn("ideal_n", F.lit(0).cast("bigint")).withColumn("ideal_gain_sum", F.lit(0.0))
+                     .withColumn("ideal_dcg", F.lit(0.0)))
+        return out.select(*keys, "num_rel", "num_nonrel", "num_judged", "num_rel_pos", "max_level",
+                          "segs", "lsegs", "ideal_n", "ideal_gain_sum", "ideal_dcg")
     gained = (levels.withColumn("g", gain_expr(rel, opts.gains)).where(F.col("g") > 0)
               .groupBy(*keys, "g").agg(F.sum("n").alias("n")))
     raw = levels.where(rel > 0).select(*keys, rel.cast("double").alias("g"), "n")
     out = (counts.join(segments(gained, ""), keys, "left")
                  .join(segments(raw, "l").select(*keys, "lsegs"), keys, "left"))
-    empty = F.array().cast("array<struct<start:bigint,end:bigint,g:double,icum:double>>")
     return out.select(
         *keys, "num_rel", "num_nonrel", "num_judged", "num_rel_pos", "max_level",
         F.coalesce("segs", empty).alias("segs"), F.coalesce("lsegs", empty).alias("lsegs"),
@@ -137,6 +145,11 @@ def judge(run: DataFrame, qrels: DataFrame, opts: EvalOptions = EvalOptions(),
     that have judgments are kept.  Running counts include the current row.
     """
     keys = list(keys)
+    if opts.skew_safe is None:
+        from dataclasses import replace
+        from .ranking import decide
+        flag, run = decide(run, ["run_id", *keys], None)
+        opts = replace(opts, skew_safe=flag)
     if stats is None:
         stats = topic_stats(qrels, opts, keys)
     stats = bounded_broadcast(stats, max_topics_broadcast)

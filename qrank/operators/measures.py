@@ -526,6 +526,9 @@ def resolve(measures) -> list[Measure]:
     return uniq
 
 
+# Measures reading the ideal ranking (segments / ideal DCG) of a topic.
+IDEAL_MEASURES = {"ideal_dcg", "ndcg", "ndcg_cut", "G", "ndcg_rel", "Rndcg"}
+
 STAT_COLS = ["num_rel", "num_nonrel", "num_judged", "num_rel_pos", "max_level", "segs", "lsegs",
              "ideal_n", "ideal_gain_sum", "ideal_dcg"]
 
@@ -589,7 +592,12 @@ def evaluate(run: DataFrame, qrels: DataFrame, measures="official",
     from .summary import summarize  # local import: summary uses this module
 
     ms = resolve(measures)
-    stats = topic_stats(qrels, opts)
+    if opts.skew_safe is None:
+        from dataclasses import replace
+        from .ranking import decide
+        flag, run = decide(run, ["run_id", "qid"], None)
+        opts = replace(opts, skew_safe=flag)
+    stats = topic_stats(qrels, opts, with_ideal=any(m.name in IDEAL_MEASURES for m in ms))
     judged = judge(run, qrels, opts, stats=stats)
     wide = topic_values(judged, ms, opts)
     if opts.judged_only:
@@ -687,6 +695,11 @@ def evaluate_jg(run: DataFrame, qrels_jg: DataFrame, measures=("map_avgjg", "P_a
     names = [m if isinstance(m, str) else m[0] for m in measures]
     base = [(AVGJG[n], None) if isinstance(m, str) else (AVGJG[n], m[1]) for n, m in zip(names, measures)]
     ms = resolve([b if p is None else (b, p) for b, p in base])
+    if opts.skew_safe is None:
+        from dataclasses import replace
+        from .ranking import decide
+        flag, run = decide(run, ["run_id", "qid"], None)
+        opts = replace(opts, skew_safe=flag)
     j = judge_jg(run, qrels_jg, opts)
     wide = topic_values(j, ms, opts, keys=("qid", "jg"))
     kinds = {}

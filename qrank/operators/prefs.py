@@ -50,6 +50,9 @@ def prefs_counts(run: DataFrame, prefs: DataFrame, validate: bool = True,
     num_rel, num_rel_ret, num_nonrel, num_nonrel_ret."""
     if validate:
         check_single_subgroup(prefs)
+    if skew_safe is None:
+        from .ranking import decide
+        skew_safe, run = decide(run, ["run_id", "qid"], None)
     levels = [r.rel_level for r in prefs.select("rel_level").distinct().limit(MAX_LEVELS + 1).collect()]
     if len(levels) > MAX_LEVELS:
         raise NotImplementedError(f"more than {MAX_LEVELS} distinct preference levels")

@@ -35,6 +35,20 @@ def largest_group(df: DataFrame, keys: list[str]) -> int:
     return int(r.m or 0)
 
 
+def decide(run: DataFrame, keys: list[str], skew_safe: bool | None,
+           max_group: int = MAX_WINDOW_GROUP) -> tuple[bool, DataFrame]:
+    """Pick the ranking plan once for a whole evaluation.
+
+    The run is persisted first, so the size check and the evaluation read
+    the same computed rows (a run produced by an expensive search or sweep
+    is not computed twice).
+    """
+    if skew_safe is not None:
+        return skew_safe, run
+    run = run.persist()
+    return largest_group(run, keys) > max_group, run
+
+
 def running(df: DataFrame, keys: list[str], order: list[Column], sums: dict[str, Column],
             skew_safe: bool | None = None, max_group: int = MAX_WINDOW_GROUP,
             rank_col: str | None = "rank") -> DataFrame:
