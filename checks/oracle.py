@@ -501,3 +501,29 @@ def prefs_measures_sql(pair: bool = False) -> str:
                    "select run_id, 'all' as qid, measure, round(case when measure in ("
                    + ", ".join(f"'{m}'" for m in summed) + ") then sum(value) else sum(value) / count(*) end, 6) as value "
                    "from pt group by run_id, measure")
+
+
+def prefs_pair_multi_sql() -> str:
+    """Pair vote shares across all judge groups, by enumerating doc pairs."""
+    ex = _prefs_ctes(False) + [
+        ("da", "select distinct t.run_id, p.qid, p.docno from tp t join qp p on t.qid = p.qid"),
+        ("dr", "select da.*, rr.rank from da left join rr on rr.run_id = da.run_id and rr.qid = da.qid and rr.docno = da.docno"),
+        ("pp", """select a.run_id, a.qid, a.docno as a, b.docno as b, a.rank as ra, b.rank as rb from dr a join dr b
+  on a.run_id = b.run_id and a.qid = b.qid
+  where (a.rank is not null and (b.rank is null or a.rank < b.rank)) or (a.rank is null and b.rank is null and a.docno < b.docno)"""),
+        ("pv", """select pp.run_id, pp.qid, pp.a, pp.b, any_value(ra) as ra, any_value(rb) as rb,
+  count(*) filter (where pa.rel_level > pb.rel_level) as f, count(*) filter (where pb.rel_level > pa.rel_level) as g
+  from pp join qp pa on pa.qid = pp.qid and pa.docno = pp.a join qp pb on pb.qid = pp.qid and pb.jg = pa.jg and pb.docno = pp.b
+  group by pp.run_id, pp.qid, pp.a, pp.b"""),
+        ("agg", """select run_id, qid,
+  sum(case when f + g > 0 and ra is not null then f * 1.0 / (f + g) else 0 end) as s_all,
+  sum(case when f + g > 0 and ra is not null and rb is not null then f * 1.0 / (f + g) else 0 end) as s_ret,
+  count(*) filter (where f + g > 0) as n_all, count(*) filter (where f + g > 0 and ra is not null and rb is not null) as n_ret,
+  count(*) filter (where f + g > 0 and (ra is not null or rb is not null)) as n_imp from pv group by run_id, qid"""),
+        ("pt", """select t.run_id, t.qid, 'prefs_pair' as measure, case when coalesce(n_all, 0) > 0 then s_all / n_all else 0 end as value from tp t left join agg a on a.run_id = t.run_id and a.qid = t.qid
+  union all select t.run_id, t.qid, 'prefs_pair_ret', case when coalesce(n_ret, 0) > 0 then s_ret / n_ret else 0 end from tp t left join agg a on a.run_id = t.run_id and a.qid = t.qid
+  union all select t.run_id, t.qid, 'prefs_pair_imp', case when coalesce(n_imp, 0) > 0 then s_all / n_imp else 0 end from tp t left join agg a on a.run_id = t.run_id and a.qid = t.qid"""),
+    ]
+    head = ctes("qrels_prefs", "runs", extra=ex)
+    return head + ("select run_id, qid, measure, round(value, 6) as value from pt union all "
+                   "select run_id, 'all' as qid, measure, round(sum(value) / count(*), 6) as value from pt group by run_id, measure")

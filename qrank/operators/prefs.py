@@ -13,10 +13,13 @@ The ``_Rnonrel`` variants (non-relevant documents capped at the number of
 relevant ones) reuse the same pass: the capped class is the first R
 documents of the lowest level in compact order.
 
+``prefs_pair*`` (vote share per document pair across judge groups) group
+documents into classes by their vector of levels per judge: a pair's votes
+depend only on the two classes, so class-level ordered counts replace the
+document pairs (``pair_measures``).
+
 Not built: judge groups with several sub-groups (their preferences are the
-transitive closure of pair sets, which needs the pairs); ``prefs_pair*``
-need per-pair vote ratios across judges and are computed for topics judged
-by a single group, where they equal the ``prefs_simp*`` counts.
+transitive closure of pair sets, which needs the pairs).
 """
 
 from __future__ import annotations
@@ -163,6 +166,11 @@ def evaluate_prefs(run: DataFrame, prefs: DataFrame, measures=PREFS_MEASURES,
     from .measures import stack_long
     from .summary import summarize
 
+    if opts.skew_safe is None:
+        from dataclasses import replace
+        from .ranking import decide
+        flag, run = decide(run, ["run_id", "qid"], None)
+        opts = replace(opts, skew_safe=flag)
     c = prefs_counts(run, prefs, validate, opts.skew_safe)
     rn_ful, rn_poss = rnonrel_value(False)
     rr_ful, rr_poss = rnonrel_value(True)
@@ -178,22 +186,21 @@ def evaluate_prefs(run: DataFrame, prefs: DataFrame, measures=PREFS_MEASURES,
         # a group with nothing possible makes the whole topic 0 (0/0 in the sum)
         F.sum(F.when(rn_poss > 0, rn_ful / rn_poss)).alias("avg_rn"), F.count_if(rn_poss <= 0).alias("rn_bad"),
         F.sum(F.when(rr_poss > 0, rr_ful / rr_poss)).alias("avg_rr"), F.count_if(rr_poss <= 0).alias("rr_bad"))
-    if validate and any(m in PAIR for m in measures):
-        if per.where(F.col("n_jg") > 1).limit(1).count():
-            raise NotImplementedError("prefs_pair* over several judge groups need per-pair vote ratios (not built)")
+    if any(m in PAIR for m in measures):
+        per = per.join(pair_measures(run, prefs, opts.skew_safe), ["run_id", "qid"], "left")
     avg = lambda s: F.when(F.col(s) > 0, F.col(s) / F.col("n_jg")).otherwise(F.lit(0.0))
     exprs = {
         "prefs_num_prefs_poss": F.col("poss").cast("double"),
         "prefs_num_prefs_ful": F.col("ful").cast("double"),
         "prefs_num_prefs_ful_ret": F.col("fr").cast("double"),
         "prefs_simp": _ratio(F.col("ful"), F.col("poss")),
-        "prefs_pair": _ratio(F.col("ful"), F.col("poss")),
+        "prefs_pair": F.coalesce(F.col("prefs_pair"), F.lit(0.0)) if "prefs_pair" in measures else F.lit(0.0),
         "prefs_avgjg": avg("avg_all"),
         "prefs_simp_ret": _ratio(F.col("fr"), F.col("pr")),
-        "prefs_pair_ret": _ratio(F.col("fr"), F.col("pr")),
+        "prefs_pair_ret": F.coalesce(F.col("prefs_pair_ret"), F.lit(0.0)) if "prefs_pair_ret" in measures else F.lit(0.0),
         "prefs_avgjg_ret": avg("avg_ret"),
         "prefs_simp_imp": _ratio(F.col("ful"), F.col("pi")),
-        "prefs_pair_imp": _ratio(F.col("ful"), F.col("pi")),
+        "prefs_pair_imp": F.coalesce(F.col("prefs_pair_imp"), F.lit(0.0)) if "prefs_pair_imp" in measures else F.lit(0.0),
         "prefs_avgjg_imp": avg("avg_imp"),
         "prefs_avgjg_Rnonrel": F.when(F.col("rn_bad") > 0, F.lit(0.0)).otherwise(avg("avg_rn")),
         "prefs_avgjg_Rnonrel_ret": F.when(F.col("rr_bad") > 0, F.lit(0.0)).otherwise(avg("avg_rr")),
@@ -211,3 +218,86 @@ def evaluate_prefs(run: DataFrame, prefs: DataFrame, measures=PREFS_MEASURES,
     for x in parts[1:]:
         out = out.unionByName(x)
     return out
+
+
+# ------------------------------------------------- pair votes across judges
+
+# Documents are grouped into classes by their vector of levels per judge
+# group; vote ratios depend only on the two classes of a pair.
+MAX_CLASSES = 512
+
+
+def _class_votes(u: str, v: str) -> tuple[int, int]:
+    """(votes u over v, votes v over u) of two level vectors 'jg=level;...'."""
+    a = dict(x.split("=", 1) for x in u.split(";") if x)
+    b = dict(x.split("=", 1) for x in v.split(";") if x)
+    f = sum(1 for g in a if g in b and float(a[g]) > float(b[g]))
+    r = sum(1 for g in a if g in b and float(b[g]) > float(a[g]))
+    return f, r
+
+
+def pair_measures(run: DataFrame, prefs: DataFrame, skew_safe: bool | None = None) -> DataFrame:
+    """Per (run_id, qid): prefs_pair, prefs_pair_ret, prefs_pair_imp over
+    any number of judge groups (one sub-group each).
+
+    For an unordered pair of judged docs with votes, the better-placed doc
+    (retrieved docs in rank order, then the rest by docno) scores the share
+    of votes preferring it.  Sums come from class-level counts: P(u, v) =
+    number of (retrieved doc of class u placed before a doc of class v),
+    obtained from running counts per class in rank order.
+    """
+    from .ranking import decide
+    if skew_safe is None:
+        skew_safe, run = decide(run, ["run_id", "qid"], None)
+    p = prefs.select("qid", "jg", "docno", "rel_level")
+    cls = (p.groupBy("qid", "docno")
+            .agg(F.array_join(F.array_sort(F.collect_list(
+                F.concat("jg", F.lit("="), F.col("rel_level").cast("string")))), ";").alias("cls")))
+    names = [r.cls for r in cls.select("cls").distinct().limit(MAX_CLASSES + 1).collect()]
+    if len(names) > MAX_CLASSES:
+        raise NotImplementedError(f"more than {MAX_CLASSES} distinct judgment vectors")
+    names.sort()
+    idx = F.create_map(*[x for i, n in enumerate(names) for x in (F.lit(n), F.lit(i))])
+    cls = cls.withColumn("c", idx[F.col("cls")]).drop("cls")
+    spark = prefs.sparkSession
+    votes = [(i, j, *_class_votes(a, b)) for i, a in enumerate(names) for j, b in enumerate(names) if i != j]
+    # Class-pair table: bounded by the square of the number of classes.
+    wt = spark.createDataFrame([(i, j, f / (f + r) if f + r else 0.0, 1 if f + r else 0) for i, j, f, r in votes],
+                               "u int, v int, w double, voted int")
+
+    judged = cls.select("qid", "docno")
+    r = run.select("run_id", "qid", "docno", "sim").join(judged, ["qid", "docno"], "left_semi")
+    r = running(r, ["run_id", "qid"], [F.desc("sim"), F.asc("docno")], {}, skew_safe=skew_safe).drop("sim")
+    topics = run.select("run_id", "qid").distinct().join(p.select("qid").distinct(), "qid")
+    docs = topics.join(cls, "qid").join(r, ["run_id", "qid", "docno"], "left")
+    ret = F.col("rank").isNotNull()
+    keys = ["run_id", "qid"]
+    # Retrieved docs in rank order: running count of retrieved docs per class.
+    sums = {f"_b{k}": (F.col("c") == k).cast("long") for k in range(len(names))}
+    rd = running(docs.where(ret), keys, [F.asc("rank")], sums, skew_safe=skew_safe, rank_col=None)
+    before = [(F.col(f"_b{k}") - (F.col("c") == k).cast("long")).alias(f"_b{k}") for k in range(len(names))]
+    pret = rd.select(*keys, "c", *before).groupBy(*keys, F.col("c").alias("v")).agg(
+        *[F.sum(f"_b{k}").alias(f"_p{k}") for k in range(len(names))])
+    pret = pret.select(*keys, "v", F.explode(F.array(*[F.struct(F.lit(k).alias("u"), F.col(f"_p{k}").alias("pr"))
+                                                       for k in range(len(names))])).alias("_x")) \
+               .select(*keys, "v", "_x.u", "_x.pr")
+    cnt = docs.groupBy(*keys, "c").agg(F.count(F.lit(1)).alias("n"), F.count_if(ret).alias("r"))
+    cu = cnt.select(*keys, F.col("c").alias("u"), F.col("n").alias("nu"), F.col("r").alias("ru"))
+    cv = cnt.select(*keys, F.col("c").alias("v"), F.col("n").alias("nv"), F.col("r").alias("rv"))
+    # Ordered class pairs present in a topic (bounded by classes squared).
+    pairs = (cu.join(cv, keys).where(F.col("u") != F.col("v"))
+               .join(pret, keys + ["u", "v"], "left").join(F.broadcast(wt), ["u", "v"]))
+    pr = F.coalesce(F.col("pr"), F.lit(0))
+    full = (F.col("nv") - F.col("rv")) * F.col("ru") + pr       # u retrieved, placed before any v
+    upper = F.col("u") < F.col("v")                               # each unordered pair once
+    agg = pairs.groupBy(*keys).agg(
+        F.sum(F.col("w") * full).alias("s_all"), F.sum(F.col("w") * pr).alias("s_ret"),
+        F.sum(F.when(upper, F.col("voted") * F.col("nu") * F.col("nv")).otherwise(0)).alias("n_all"),
+        F.sum(F.when(upper, F.col("voted") * F.col("ru") * F.col("rv")).otherwise(0)).alias("n_ret"),
+        F.sum(F.when(upper, F.col("voted") * (F.col("nu") * F.col("nv")
+                                              - (F.col("nu") - F.col("ru")) * (F.col("nv") - F.col("rv"))))
+               .otherwise(0)).alias("n_imp"))
+    return (topics.select(*keys).join(agg, keys, "left")
+                  .select(*keys, _ratio(F.coalesce("s_all", F.lit(0.0)), F.coalesce("n_all", F.lit(0))).alias("prefs_pair"),
+                          _ratio(F.coalesce("s_ret", F.lit(0.0)), F.coalesce("n_ret", F.lit(0))).alias("prefs_pair_ret"),
+                          _ratio(F.coalesce("s_all", F.lit(0.0)), F.coalesce("n_imp", F.lit(0))).alias("prefs_pair_imp")))
