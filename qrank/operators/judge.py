@@ -35,6 +35,8 @@ class EvalOptions:
     num_docs_in_coll: int = 0            # collection size (utility measure)
     gains: dict = field(default_factory=dict)  # level -> gain overrides
     skew_safe: bool | None = None        # ranking plan: None = chosen from the largest topic
+    topic: str | None = None             # evaluate this one topic only
+    validate: bool = False               # reject duplicate documents in a topic (one extra job)
 
 
 def rank_run(run: DataFrame, docno_desc: bool = True) -> DataFrame:
@@ -134,6 +136,24 @@ def topic_stats(qrels: DataFrame, opts: EvalOptions = EvalOptions(), keys: tuple
         F.coalesce("ideal_dcg", F.lit(0.0)).alias("ideal_dcg"))
 
 
+def check_duplicates(run: DataFrame, qrels: DataFrame, keys=("qid",)) -> None:
+    """A document listed twice for a topic (in a run or in the judgments)
+    is an input error."""
+    keys = list(keys)
+    dup_run = run.groupBy("run_id", *keys, "docno").count().where("count > 1").limit(1).count()
+    dup_q = qrels.groupBy(*keys, "docno").count().where("count > 1").limit(1).count()
+    if dup_run or dup_q:
+        raise ValueError("duplicate document for a topic in the " + ("run" if dup_run else "judgments"))
+
+
+def restrict(run: DataFrame, qrels: DataFrame, opts: EvalOptions) -> tuple[DataFrame, DataFrame]:
+    """Apply the one-topic filter and the duplicate check of ``opts``."""
+    if opts.topic is not None:
+        run = run.where(F.col("qid") == opts.topic)
+        qrels = qrels.where(F.col("qid") == opts.topic)
+    return run, qrels
+
+
 def judge(run: DataFrame, qrels: DataFrame, opts: EvalOptions = EvalOptions(),
           stats: DataFrame | None = None, max_topics_broadcast: int = 2_000_000,
           keys: tuple = ("qid",)) -> DataFrame:
@@ -145,6 +165,11 @@ def judge(run: DataFrame, qrels: DataFrame, opts: EvalOptions = EvalOptions(),
     that have judgments are kept.  Running counts include the current row.
     """
     keys = list(keys)
+    run, qrels = restrict(run, qrels, opts)
+    if opts.validate:
+        # checked on the rows kept after the top-M cut, as the evaluator does
+        kept = run if opts.max_docs is None else rank_run(run).where(F.col("rank") <= opts.max_docs).drop("rank")
+        check_duplicates(kept, qrels, keys)
     if opts.skew_safe is None:
         from dataclasses import replace
         from .ranking import decide

@@ -592,6 +592,8 @@ def evaluate(run: DataFrame, qrels: DataFrame, measures="official",
     from .summary import summarize  # local import: summary uses this module
 
     ms = resolve(measures)
+    from .judge import restrict
+    run, qrels = restrict(run, qrels, opts)
     if opts.skew_safe is None:
         from dataclasses import replace
         from .ranking import decide

@@ -127,3 +127,13 @@ def test_sliced_evaluation_matches(spark):
     assert a.keys() == b.keys()
     for k in a:
         assert a[k] == pytest.approx(b[k], abs=1e-9), k
+
+
+def test_duplicates_and_single_topic(spark):
+    topics = {"1": ([("a", 1.0), ("b", 0.5)], {"a": 1}), "2": ([("c", 1.0)], {"c": 1})}
+    run, qrels = _frames(spark, topics)
+    one = M.evaluate(run, qrels, ["map", "num_q"], EvalOptions(topic="2"), per_topic=False).collect()
+    assert {r.measure: r.value for r in one} == {"map": 1.0, "num_q": 1.0}
+    dup = run.unionByName(run.where("docno = 'a'"))
+    with pytest.raises(ValueError):
+        M.evaluate(dup, qrels, ["map"], EvalOptions(validate=True)).collect()
