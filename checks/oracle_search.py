@@ -146,7 +146,7 @@ SIM_CASE = ("case cfg_kind when 'bm25' then ln(1 + (N - df + 0.5) / (df + 0.5))
 
 def _topk(src: str, keys: str = "run_id, qid", k: int = 1000) -> list[tuple[str, str]]:
     return [("rk", f"select {keys}, docno, round(score, 6) as sim from {src} where score > 0"),
-            ("runs_t", f"select * from (select *, row_number() over (partition by {keys} order by sim desc, docno asc) as rn from rk) where rn <= {k}")]
+            ("runs_t", f"select * from (select *, row_number() over (partition by {keys} order by sim desc, docno desc) as rn from rk) where rn <= {k}")]
 
 
 def sweep_similarity_sql(configs) -> str:

@@ -20,6 +20,8 @@ from ..plans.sizing import bounded_broadcast
 
 NONPOOL = -1
 UNJUDGED = -2
+# Judgments up to this many rows are broadcast to the run side.
+MAX_QRELS_BROADCAST = 5_000_000
 # Fixed value: chunk length when summing rank discounts over long ranges.
 DISCOUNT_CHUNK = 4096
 
@@ -179,6 +181,10 @@ def judge(run: DataFrame, qrels: DataFrame, opts: EvalOptions = EvalOptions(),
         stats = topic_stats(qrels, opts, keys)
     stats = bounded_broadcast(stats, max_topics_broadcast)
     q = qrels.select(*keys, "docno", F.col("rel").alias("_qrel"))
+    # Judgments are usually far smaller than the runs they judge: broadcast
+    # them after a size check so the runs keep their partitioning (no
+    # shuffle of run rows); beyond the bound it is a shuffle join.
+    q = bounded_broadcast(q, MAX_QRELS_BROADCAST)
     j = (run.select("run_id", *keys, "docno", "sim")
             .join(q, keys + ["docno"], "left")
             .withColumn("rel", F.when(F.col("_qrel").isNull(), F.lit(NONPOOL))

@@ -39,13 +39,12 @@ def decide(run: DataFrame, keys: list[str], skew_safe: bool | None,
            max_group: int = MAX_WINDOW_GROUP) -> tuple[bool, DataFrame]:
     """Pick the ranking plan once for a whole evaluation.
 
-    The run is persisted first, so the size check and the evaluation read
-    the same computed rows (a run produced by an expensive search or sweep
-    is not computed twice).
+    Callers that know a bound pass it (a top-k run has at most k rows per
+    topic); otherwise the largest group is counted (one aggregation over
+    the run).
     """
     if skew_safe is not None:
         return skew_safe, run
-    run = run.persist()
     return largest_group(run, keys) > max_group, run
 
 

@@ -76,10 +76,14 @@ def score(query_terms: DataFrame, index: Index, sim: Column, keep_zero: bool = F
     return s
 
 
-def top_k(scores: DataFrame, k: int = 1000, keys=("qid",), digits: int = SCORE_DIGITS) -> DataFrame:
-    """Best k documents per query: score desc (rounded), docno asc."""
+def top_k(scores: DataFrame, k: int = 1000, keys=("qid",), digits: int = SCORE_DIGITS,
+          docno_desc: bool = False) -> DataFrame:
+    """Best k documents per query: score desc (rounded), then docno asc
+    (search order) or desc (the evaluation order, which lets a following
+    evaluation reuse this sort)."""
     s = scores.withColumn("score", F.round("score", digits))
-    w = Window.partitionBy(*keys).orderBy(F.desc("score"), F.asc("docno"))
+    tie = F.desc("docno") if docno_desc else F.asc("docno")
+    w = Window.partitionBy(*keys).orderBy(F.desc("score"), tie)
     return s.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
