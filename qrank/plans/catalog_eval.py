@@ -162,3 +162,9 @@ def q_prefs_pair_multi(spark, sf_dir):
     """Pair vote shares across the three judge groups."""
     ev = PR.evaluate_prefs(fx.runs(spark, sf_dir), fx.qrels_prefs(spark, sf_dir), sorted(PR.PAIR))
     return ev.select("run_id", "qid", "measure", r6("value").alias("value"))
+
+
+@register("m_runid", _o(lambda O: O.ctes("runs") + "select distinct run_id from runs"))
+def q_runid(spark, sf_dir):
+    """Run tags present in the evaluated runs."""
+    return M.runid(fx.runs(spark, sf_dir))
