@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pyspark import cloudpickle
+
 from . import porter
 
 # The 33-word English stop set of the search library.
@@ -148,9 +150,10 @@ def fold_ascii_py(s: str) -> str:
 
 # -- vocabulary stage --------------------------------------------------
 
-@F.pandas_udf(T.StringType())
-def _porter_udf(s):
-    return porter.stem_series(s)
+# The stemmer module is shipped with the UDF by value, so Python workers do
+# not need the library installed or on their path.
+cloudpickle.register_pickle_by_value(porter)
+_porter_udf = F.pandas_udf(porter.stem_series, T.StringType())
 
 
 def term_map(terms: DataFrame, analyzer: Analyzer, term_col: str = "term") -> DataFrame:

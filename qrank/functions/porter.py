@@ -8,8 +8,6 @@ to postings by Spark.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 _VOWELS = frozenset("aeiou")
 
 
@@ -73,7 +71,6 @@ def _replace(w: str, rules, min_m: int) -> str:
     return w
 
 
-@lru_cache(maxsize=200_000)
 def stem(word: str) -> str:
     """Stem one lower-case word."""
     w = word
@@ -132,5 +129,15 @@ def stem(word: str) -> str:
 
 
 def stem_series(s):
-    """Vectorised entry point for a pandas UDF (Series of str -> Series of str)."""
-    return s.map(lambda x: stem(x) if isinstance(x, str) else x)
+    """Entry point for a pandas UDF (Series of str -> Series of str); each
+    distinct word of the batch is stemmed once."""
+    memo = {}
+
+    def one(x):
+        if not isinstance(x, str):
+            return x
+        r = memo.get(x)
+        if r is None:
+            r = memo[x] = stem(x)
+        return r
+    return s.map(one)
