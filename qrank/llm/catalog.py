@@ -5,14 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import packing, records
+from . import decontam, lines, packing, records, simhash
 from .common import shared_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+#: Distinct sites from which a line counts as boilerplate.
+MIN_SITES = 4
+
+
 def query(f):
     QUERIES[f.__name__] = f
     return f
@@ -24,6 +29,43 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@query
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), n=3, budget=2)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lines.dedup_lines(table(spark, sf_dir, "documents"), MIN_SITES, counts=True)
+    return out.select("doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("kept_chars"),
+                      F.md5(F.col("text").cast("binary")).alias("kept_md5"))
+
+
+ORACLES["op3_line_dedup"] = f"""
+WITH lines AS (
+  SELECT doc_id, source, unnest(str_split(text, chr(10))) AS line,
+         generate_subscripts(str_split(text, chr(10)), 1) AS pos
+  FROM documents WHERE text IS NOT NULL),
+spread AS (
+  SELECT line, min(doc_id) AS first_id FROM lines
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+  GROUP BY line HAVING count(DISTINCT source) >= {MIN_SITES}),
+marked AS (
+  SELECT l.doc_id, l.line, l.pos, s.line IS NOT NULL
+         AND NOT (l.doc_id = s.first_id AND row_number() OVER (PARTITION BY l.doc_id, l.line ORDER BY l.pos) = 1) AS gone
+  FROM lines l LEFT JOIN spread s USING (line)),
+cut AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_removed,
+         coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') AS kept
+  FROM marked GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
+       CASE WHEN d.text IS NOT NULL THEN length(kept) END AS kept_chars,
+       CASE WHEN d.text IS NOT NULL THEN md5(kept) END AS kept_md5
+FROM documents d LEFT JOIN cut USING (doc_id)
+"""
+
+
 @query
 def op5_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "records")
@@ -32,6 +74,36 @@ def op5_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.with_starts(index).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+@query
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("_k1", "_k2")
+
+
+ORACLES["op7_decontamination"] = """
+WITH dw AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+iw AS (
+  SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, m, array_to_string(w[s:s + m - 1], ' ') AS win
+  FROM (SELECT item_id, w, least(len(w), 10) AS m, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS s
+        FROM iw WHERE len(w) > 0)),
+starts AS (
+  SELECT doc_id, m, s, array_to_string(w[s:s + m - 1], ' ') AS win
+  FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS s FROM dw, (SELECT DISTINCT m FROM win) WHERE len(w) >= m)),
+found AS (SELECT doc_id, s, m, item_id FROM starts JOIN win USING (m, win)),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + m)) AS p FROM found) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
 @query
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file(), end_id=1)

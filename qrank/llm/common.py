@@ -42,12 +42,17 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int, row_bytes: int = 64) -> DataFrame:
-    """Broadcast hint for a materialized ``df`` whose counted rows times
-    ``row_bytes`` stay within 32 MB and whose rows stay within ``max_rows``;
-    else ``df`` as it is, so that Spark plans a shuffled join (same rows)."""
+def is_small(df: DataFrame, max_rows: int, row_bytes: int = 64) -> bool:
+    """Whether a materialized ``df`` has at most ``max_rows`` counted rows that
+    also stay within 32 MB at ``row_bytes`` each."""
     n = df.count()
-    return F.broadcast(df) if n <= max_rows and n * row_bytes <= 32 << 20 else df
+    return n <= max_rows and n * row_bytes <= 32 << 20
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int, row_bytes: int = 64) -> DataFrame:
+    """Broadcast hint for ``df`` if :func:`is_small`; else ``df`` as it is, so
+    that Spark plans a shuffled join (same rows)."""
+    return F.broadcast(df) if is_small(df, max_rows, row_bytes) else df
 
 
 def content_key(id_col: str, text_col: str) -> list[Column]:
