@@ -1,23 +1,48 @@
-"""Corpus pipeline: classifier, line dedup, near-dedup, decontamination, packing."""
+"""Corpus pipeline: classifier, line dedup, near-dedup, decontamination, packing.
+
+Each stage takes all rows its predecessor kept and, but for the last, returns
+the columns of ``documents``; stages are written once and reread.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from qrank.llm import catalog
+from qrank.llm import catalog, decontam, lines, packing, resample, simhash
 from qrank.llm.common import materialize, table
 
 #: No SQL: trained scores, XXH64 fingerprints and a tokenizer have none.
 ORACLE_SQL = None
 
 
-def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    from qrank.llm.packing import pack_documents
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that importance resampling keeps."""
+    return resample.keep_resampled(docs, table(spark, sf_dir, "labels"))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without lines that spread over many sites; n_chars follows the text."""
+    out = lines.dedup_lines(docs, catalog.MIN_SITES)
+    return out.withColumn("n_chars", lines.length_of("text"))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash component."""
+    return simhash.keep_one(docs, n=3, budget=2)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents without a benchmark passage."""
+    return decontam.clean(docs, table(spark, sf_dir, "benchmark"))
+
 
-    return pack_documents(docs, catalog.tokenizer_file(), end_id=1)
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences of at most 2048 tokens."""
+    return packing.pack_documents(docs, catalog.tokenizer_file(), end_id=1)
 
 
-STAGES = [("packing", packing)]
+STAGES = [("quality classifier", quality_classifier), ("line dedup", line_dedup), ("simhash near-dedup", near_dedup),
+          ("benchmark decontamination", decontamination), ("packing", pack_sequences)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

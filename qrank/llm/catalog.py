@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, lines, packing, records, simhash
+from . import chat, decontam, langid, licences, lines, packing, records, resample, rules, simhash
 from .common import shared_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,98 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+#: The tools that calls derived from ``conversations`` use: (name, field, type, required, low, high).
+TOOLS = [("search", "query", "string", True, 1.0, None), ("search", "limit", "integer", True, 1.0, 40.0),
+         ("lookup", "key", "string", True, 1.0, 24.0), ("lookup", "exact", "boolean", False, None, None),
+         ("summarise", "text", "string", True, 1.0, None), ("summarise", "ratio", "number", True, 0.0, 1.0)]
+
+
+def conversation_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Calls and results derived from whole conversations.
+
+    A user turn is a call whose arguments hold its text, an assistant turn is
+    the result for the turn before it; a call refers to the call two turns
+    earlier.  Key order, missing fields, wrong types, cut JSON and unknown
+    tools follow from the text, so every check has work on any table.
+    """
+    ident = lambda turn: F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("-"), turn.cast("string"))
+    quoted = lambda c: F.get_json_object(F.to_json(F.struct(F.array(c).alias("t"))), "$.t")  # noqa: E731  '["..."]'
+    text = F.coalesce("text", F.lit(""))
+    n = F.length(F.col("text"))
+    users = (conversations.where("role = 'user'").withColumn("text", text).withColumn("_q", quoted(F.col("text")))
+             .withColumn("_s", F.expr("substring(_q, 2, length(_q) - 2)")))
+    pick = F.pmod(n, F.lit(4))
+    name = F.when(pick == 0, "search").when(pick == 1, "lookup").when(pick == 2, "summarise").otherwise(
+        F.when(F.pmod(n, F.lit(3)) == 0, "teleport").otherwise("search"))
+    body = F.when(name == "lookup", F.concat(F.lit('{ "key": "k'), n.cast("string"), F.lit('", "exact": '),
+                                             F.when(F.pmod(n, F.lit(5)) == 0, '"yes"').otherwise("true"), F.lit("}"))) \
+        .when(name == "summarise", F.concat(F.lit('{"text": '), F.col("_s"), F.when(F.pmod(n, F.lit(3)) == 0, "").otherwise(
+            F.concat(F.lit(', "ratio" : '), F.when(F.pmod(n, F.lit(7)) == 0, "2").otherwise("0.5"))), F.lit("}"))) \
+        .otherwise(F.concat(F.lit('{"query":'), F.col("_s"), F.lit(', "limit": '), F.pmod(n, F.lit(50)).cast("string"), F.lit("}")))
+    calls = users.select("conv_id", "turn", ident(F.col("turn")).alias("call_id"), ident(F.col("turn") - 2).alias("parent_id"),
+                         name.alias("name"), body.alias("_b"), n.alias("_n"))
+    calls = calls.withColumn("arguments", F.when(F.pmod("_n", F.lit(13)) == 0, F.expr("substring(_b, 1, length(_b) - 1)"))
+                             .otherwise(F.col("_b"))).drop("_b", "_n")
+    results = conversations.where("role = 'assistant'").select(
+        "conv_id", "turn", ident(F.col("turn") - 1).alias("call_id"), F.col("text").alias("content"))
+    return calls, results
+
+
+@query
+def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = conversation_calls(table(spark, sf_dir, "conversations"))
+    tools = spark.createDataFrame(TOOLS, "name string, field string, type string, required boolean, low double, high double")
+    out = chat.format_chat(calls, results, tools)
+    return out.select("conv_id", "position", "kind", "call_id", F.col("turn").cast("long").alias("turn"), "depth", "status",
+                      "errors", F.md5(F.col("record").cast("binary")).alias("record_md5"))
+
+
+ORACLES["op1_chat_formatting"] = """
+WITH RECURSIVE u AS (
+  SELECT DISTINCT conv_id, turn, coalesce(text, '') AS text, length(coalesce(text, '')) AS n
+  FROM conversations WHERE role = 'user'),
+named AS (
+  SELECT *, CASE n % 4 WHEN 0 THEN 'search' WHEN 1 THEN 'lookup' WHEN 2 THEN 'summarise'
+            ELSE CASE WHEN n % 3 = 0 THEN 'teleport' ELSE 'search' END END AS name FROM u),
+calls AS (
+  SELECT conv_id, turn, 'c' || conv_id || '-' || turn AS call_id, name, n,
+    n % 13 = 0 AS broken,
+    CASE WHEN name = 'lookup' THEN '{"exact":' || CASE WHEN n % 5 = 0 THEN '"yes"' ELSE 'true' END || ',"key":"k' || n || '"}'
+         WHEN name = 'summarise' THEN '{' || CASE WHEN n % 3 = 0 THEN '' WHEN n % 7 = 0 THEN '"ratio":2,' ELSE '"ratio":0.5,' END
+              || '"text":' || CAST(to_json(text) AS VARCHAR) || '}'
+         ELSE '{"limit":' || (n % 50) || ',"query":' || CAST(to_json(text) AS VARCHAR) || '}' END AS args,
+    CASE WHEN n % 13 = 0 THEN 'json' WHEN name = 'teleport' THEN 'tool'
+         WHEN name = 'lookup' THEN concat_ws(',', CASE WHEN n >= 10000000000000000000000000 THEN 'range:key' END,
+              CASE WHEN n % 5 = 0 THEN 'type:exact' END)
+         WHEN name = 'summarise' THEN concat_ws(',', CASE WHEN n % 3 = 0 THEN 'missing:ratio' END,
+              CASE WHEN n % 3 <> 0 AND n % 7 = 0 THEN 'range:ratio' END, CASE WHEN n = 0 THEN 'range:text' END)
+         ELSE concat_ws(',', CASE WHEN n % 50 NOT BETWEEN 1 AND 40 THEN 'range:limit' END, CASE WHEN n = 0 THEN 'range:query' END)
+    END AS errors
+  FROM named),
+depth AS (
+  SELECT conv_id, turn, 0 AS depth FROM calls c
+  WHERE NOT EXISTS (SELECT 1 FROM calls p WHERE p.conv_id = c.conv_id AND p.turn = c.turn - 2)
+  UNION ALL
+  SELECT c.conv_id, c.turn, d.depth + 1 FROM depth d JOIN calls c ON c.conv_id = d.conv_id AND c.turn = d.turn + 2),
+results AS (
+  SELECT DISTINCT conv_id, turn, 'c' || conv_id || '-' || (turn - 1) AS call_id, text FROM conversations WHERE role = 'assistant'),
+rows AS (
+  SELECT c.conv_id, 'call' AS kind, c.call_id, c.turn, d.depth, CASE WHEN r.call_id IS NULL THEN 'no_result' ELSE 'linked' END AS status,
+    c.errors, '{"arguments":' || CASE WHEN broken THEN 'null' ELSE args END || ',"id":' || CAST(to_json(c.call_id) AS VARCHAR)
+      || ',"name":"' || name || '","result":' || coalesce(CAST(to_json(r.text) AS VARCHAR), 'null') || ',"type":"call","valid":'
+      || CASE WHEN c.errors = '' THEN 'true' ELSE 'false' END || '}' AS record
+  FROM calls c JOIN depth d USING (conv_id, turn) LEFT JOIN results r ON r.conv_id = c.conv_id AND r.call_id = c.call_id
+  UNION ALL
+  SELECT r.conv_id, 'result', r.call_id, r.turn, coalesce(d.depth, 0), CASE WHEN c.call_id IS NULL THEN 'no_call' ELSE 'linked' END, '',
+    '{"content":' || coalesce(CAST(to_json(r.text) AS VARCHAR), 'null') || ',"id":' || CAST(to_json(r.call_id) AS VARCHAR) || ',"type":"result"}'
+  FROM results r LEFT JOIN calls c ON r.conv_id = c.conv_id AND r.call_id = c.call_id
+  LEFT JOIN depth d ON d.conv_id = c.conv_id AND d.turn = c.turn)
+SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY depth, turn, kind, call_id, record) - 1 AS position,
+       kind, call_id, CAST(turn AS BIGINT) AS turn, CAST(depth AS BIGINT) AS depth, status, errors, md5(record) AS record_md5
+FROM rows
+"""
+
+
 @query
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), n=3, budget=2)
@@ -66,6 +158,12 @@ FROM documents d LEFT JOIN cut USING (doc_id)
 """
 
 
+@query
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
+
+
 @query
 def op5_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "records")
@@ -74,6 +172,12 @@ def op5_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.with_starts(index).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+@query
+def op6_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = resample.importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "log_weight", "gumbel_key", "kept")
+
+
 @query
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("_k1", "_k2")
@@ -104,11 +208,21 @@ FROM dw d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+@query
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file(), end_id=1)
 
 
+@query
+def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan_licences(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

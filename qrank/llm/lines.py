@@ -87,3 +87,8 @@ def dedup_lines(docs: DataFrame, min_sites: int = 4, id_col: str = "doc_id", tex
         cols += [F.coalesce(F.when(text.isNotNull(), F.size(parts)), F.lit(0)).cast("long").alias("n_lines"),
                  F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).cast("long").alias("n_removed")]
     return out.select(*cols)
+
+
+def length_of(text_col: str):
+    """Characters of a text column, as in ``n_chars`` (null text: null)."""
+    return F.length(F.col(text_col)).cast("long")
