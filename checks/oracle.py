@@ -35,8 +35,8 @@ where q.n % 4 <> 1 and (q.n + 2 * j.jg) % 5 <> 0 and (q.n + s.jsg) % 3 <> 0""",
        split_part(text, chr(10), 1) as headline, text, cast(1900 + doc_id % 100 as string) as date
 from documents""",
     "topics": """select cast(401 + item_id as string) as qid, split_part(text, '.', 1) as title, split_part(text, '.', 2) as desc_text,
-       concat(split_part(text, '.', 3), '. Reports on other matters are not relevant. Kept sentence.') as narr,
-       case when item_id % 3 = 0 then 'during the 1990s' else '' end as date_text
+       concat(regexp_replace(text, '^[^.]*[.]?[^.]*[.]?', ''), ' Reports on other matters are not relevant. Kept sentence.') as narr,
+       case item_id % 3 when 0 then 'during the 1990s' when 1 then 'In the 2010s and 2015, room 1234, 1980S' else '' end as date_text
 from benchmark""",
 }
 FIXTURE_DEPS = {"runs": ["run"], "qrels_jg": ["qrels"], "prefs": ["qrels"],

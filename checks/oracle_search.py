@@ -6,11 +6,19 @@ tokenizer + lowercase + stop; no stemming, which DuckDB cannot do offline).
 
 from __future__ import annotations
 
-from qrank.functions.analysis import STANDARD_RE, STOP_WORDS
-from qrank.functions.text import QUERY_SPECIAL
-from qrank.operators.query import DOC_FIELDS, TUNED_BOOSTS, TUNED_WEIGHTS
-
 from .oracle import FIXTURE_CTES
+from .oracle_sources import QUERY_SPECIAL
+
+# Restated here, not imported from the code under test.
+STANDARD_RE = r"[\p{L}\p{N}]+(?:['’.][\p{L}\p{N}]+)*"
+STOP_WORDS = ("a an and are as at be but by for if in into is it no not of on or such that the their "
+              "then there these they this to was will with").split()
+DOC_FIELDS = ("headline", "date", "text")
+TUNED_WEIGHTS = {"title": {"headline": 0.1, "date": 0.2, "text": 0.9}, "desc": {"headline": 0.2, "date": 0.0, "text": 0.7},
+                 "narr": {"headline": 0.2, "date": 0.8, "text": 0.7}, "date": {"headline": 0.2, "date": 1.0, "text": 0.2}}
+TUNED_BOOSTS = {"title": 1.0, "desc": 0.4, "narr": 0.2, "noDate": 0.0, "date": 2.0}
+UNIFORM_WEIGHTS = {s: {f: 1.0 for f in DOC_FIELDS} for s in TUNED_WEIGHTS}
+UNIFORM_BOOSTS = {s: 1.0 for s in TUNED_BOOSTS}
 
 
 def _lit(s: str) -> str:
@@ -82,8 +90,8 @@ def sectioned_queries_cte(weights=TUNED_WEIGHTS, boosts=TUNED_BOOSTS) -> list[tu
     wrows = " union all ".join(f"select '{s}' as section, '{f}' as field, {w} as w"
                                for s, fw in weights.items() for f, w in fw.items())
     # Topic date section: years found in the date text, a decade expanding to ten years.
-    found = "regexp_extract_all(coalesce(date_text, ''), '\\b(1\\d{3})(s?)\\b', 0)"
-    years = (f"flatten(list_transform({found}, lambda m: case when m like '%s' then "
+    found = "regexp_extract_all(coalesce(date_text, ''), '(?i)\\b(?:1[789]|20)\\d\\d(?:s?)\\b', 0)"
+    years = (f"flatten(list_transform({found}, lambda m: case when lower(m) like '%s' then "
              "list_transform(range(cast(left(m, 4) as int), cast(left(m, 4) as int) + 10), lambda y: cast(y as varchar)) "
              "else [m] end))")
     dates = f"case when len({years}) = 0 then 'null' else array_to_string({years}, ', ') end"
@@ -129,7 +137,7 @@ def _map_sql(run: str, qrels: str) -> list[tuple[str, str]]:
         ("nr", f"select qid, count(*) filter (where rel >= 1) as num_rel from {qrels} group by qid"),
         ("ap", """select jk.run_id, jk.qid, case when any_value(nr.num_rel) > 0 then coalesce(sum(case when rel >= 1 then k / rank end), 0) / any_value(nr.num_rel) else 0 end as ap
   from jk join nr on jk.qid = nr.qid group by jk.run_id, jk.qid"""),
-        ("mp", "select run_id, sum(ap) / count(*) as map from ap group by run_id"),
+        ("mp", f"select run_id, sum(ap) / (select count(distinct qid) from {qrels}) as map from ap group by run_id"),
     ]
 
 
@@ -149,18 +157,18 @@ def _topk(src: str, keys: str = "run_id, qid", k: int = 1000) -> list[tuple[str,
             ("runs_t", f"select * from (select *, row_number() over (partition by {keys} order by sim desc, docno desc) as rn from rk) where rn <= {k}")]
 
 
-def sweep_similarity_sql(configs) -> str:
-    vals = ", ".join(f"('{c.name}', '{c.kind}', {float(c.p1)}, {float(c.p2)})" for c in configs)
+def sweep_similarity_sql() -> str:
+    label = {"bm25": "bm25_k1={:g}_b={:g}", "tfidf": "tfidf", "lmd": "lmd_mu={:g}", "lmj": "lmj_lambda={:g}"}
+    vals = ", ".join(f"('{label[kind].format(a, b)}', '{kind}', {a}, {b})" for kind, a, b in similarity_grid())
     ctes = index_ctes() + sectioned_queries_cte() + [
         ("cfg", f"select * from (values {vals}) t(run_id, cfg_kind, p1, p2)"),
         ("m", "select * from post join qt using (field, term) join dict using (field, term) join fs using (field)"),
         ("sc", f"select c.run_id, m.qid, m.docno, sum(m.weight * ({SIM_CASE})) as score from m cross join cfg c group by c.run_id, m.qid, m.docno"),
     ] + _topk("sc") + [passage_qrels_cte()] + _map_sql("runs_t", "pq")
-    return _with(ctes) + "select run_id, round(map, 6) as map from mp"
+    return _with(ctes) + "select c.run_id, round(coalesce(map, 0), 6) as map from cfg c left join mp using (run_id)"
 
 
 def _partials(weights_uniform: bool = True) -> list[tuple[str, str]]:
-    from qrank.operators.query import UNIFORM_BOOSTS, UNIFORM_WEIGHTS
     sq = sectioned_queries_cte(UNIFORM_WEIGHTS, UNIFORM_BOOSTS)
     # keep the section in the query table
     sq[-1] = ("qt", """select qid, s.section, field, term, sum(w.w) as weight from stok s join wts w on s.section = w.section
@@ -172,7 +180,8 @@ def _partials(weights_uniform: bool = True) -> list[tuple[str, str]]:
     ]
 
 
-def sweep_weights_sql(configs) -> str:
+def sweep_weights_sql() -> str:
+    configs = weight_grid()
     vals = ", ".join(f"('{c['h']}-{c['d']}-{c['t']}', {c['h']}, {c['d']}, {c['t']})" for c in configs)
     ctes = _partials() + [
         ("wide", """select section, qid, docno, sum(case when field = 'headline' then s else 0 end) as s_headline,
@@ -181,11 +190,13 @@ def sweep_weights_sql(configs) -> str:
         ("cfg", f"select * from (values {vals}) t(name, h, d, t)"),
         ("sc", "select section || '/' || c.name as run_id, qid, docno, c.h * s_headline + c.d * s_date + c.t * s_text as score from wide cross join cfg c"),
     ] + _topk("sc") + [passage_qrels_cte()] + _map_sql("runs_t", "pq")
-    return _with(ctes) + "select split_part(run_id, '/', 1) as section, run_id, round(map, 6) as map from mp"
+    return _with(ctes) + """select section, section || '/' || c.name as run_id, round(coalesce(map, 0), 6) as map
+  from cfg c cross join (select unnest(['title', 'desc', 'narr', 'date']) as section)
+  left join mp on mp.run_id = section || '/' || c.name"""
 
 
-def sweep_boosts_sql(configs) -> str:
-    from qrank.operators.query import TUNED_BOOSTS, TUNED_WEIGHTS
+def sweep_boosts_sql() -> str:
+    configs = boost_grid()
     vals = ", ".join(f"('{c['ti']}-{c['de']}-{c['na']}-{c['da']}', {c['ti']}, {c['de']}, {c['na']}, {c['da']})" for c in configs)
     wcase = "case " + " ".join(f"when section = '{s}' and field = '{f}' then {w}" for s, fw in TUNED_WEIGHTS.items()
                                for f, w in fw.items()) + " else 0 end"
@@ -198,4 +209,26 @@ def sweep_boosts_sql(configs) -> str:
   + (case when tp.has_date then c.da else {TUNED_BOOSTS['noDate']} end) * s_date as score
   from sec join tp on sec.qid = tp.qid cross join cfg c"""),
     ] + _topk("sc") + [passage_qrels_cte()] + _map_sql("runs_t", "pq")
-    return _with(ctes) + "select run_id, round(map, 6) as map from mp"
+    return _with(ctes) + "select c.name as run_id, round(coalesce(map, 0), 6) as map from cfg c left join mp on mp.run_id = c.name"
+
+
+def _grid(first: float, last: float, step: float) -> list[float]:
+    n = round((last - first) / step) + 1
+    return [round(first + i * step, 1) for i in range(n)]
+
+
+def weight_grid() -> list[dict]:
+    g = _grid(0, 1, 0.1)
+    return [{"h": h, "d": d, "t": t} for h in g for d in g for t in g]
+
+
+def boost_grid() -> list[dict]:
+    g = _grid(0, 1, 0.2)
+    return [{"ti": a, "de": b, "na": c, "da": d} for a in g for b in g for c in g for d in g]
+
+
+def similarity_grid() -> list[tuple]:
+    """(kind, p1, p2) of the 120 settings."""
+    return ([("tfidf", 0.0, 0.0)] + [("bm25", k, b) for k in _grid(0.2, 2.0, 0.2) for b in _grid(0.1, 1.0, 0.1)]
+            + [("lmd", m, 0.0) for m in _grid(100, 1000, 100)] + [("lmj", x, 0.0) for x in _grid(0.1, 0.9, 0.1)])
+

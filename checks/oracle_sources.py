@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from qrank.functions.text import QUERY_SPECIAL
 from qrank.sources.render import sgml_docs_sql, topic_blocks_sql
-from qrank.sources.topics import YEAR_RE
+
+
+# Restated from the format, not imported from the code under test.
+QUERY_SPECIAL = r'[+\-!(){}\[\]^"~*?\\/]|&&|\|\|'
+YEARS = r"(?i)\b(?:1[789]|20)\d\d(?:s?)\b"
 
 
 def _lit(s: str) -> str:
@@ -26,7 +29,7 @@ def _year(date: str) -> str:
 SPLIT = """with rd as ({render}),
 files as (select path, string_agg(doc, chr(10) order by doc_id) as value from rd group by path),
 lists as (select path, regexp_extract_all(value, '<DOC>\\s([\\s\\S]*?)</DOC>', 1) as docs from files),
-raw as (select path, regexp_extract(path, '([^/]+)/[^/]+$', 1) as subfolder, split_part(path, '/', 1) as collection,
+raw as (select path, split_part(path, '/', 2) as subfolder, split_part(path, '/', 1) as collection,
                unnest(docs) as raw, unnest(range(len(docs))) as pos from lists),
 pj as (select *, case when collection = 'fr94' then regexp_replace(raw, '<!-- PJG[\\s\\S]*?-->', '', 'g') else raw end as d from raw),
 parsed as (select trim({docno}) as docno, collection, subfolder, path, pos,
@@ -68,7 +71,7 @@ def _topics() -> str:
         has = f"regexp_matches(b, '{pat}')"
         body = f"regexp_replace(regexp_extract(b, '{pat}', 1), '^\\s*(Number:|Description:|Narrative:)\\s*', '')"
         return f"(case when {has} then {body} end)"
-    found = f"regexp_extract_all(b, {_lit(YEAR_RE)}, 0)"
+    found = f"regexp_extract_all(b, {_lit(YEARS)}, 0)"
     years = (f"flatten(list_transform({found}, lambda m: case when lower(m) like '%s' then "
              "list_transform(range(cast(left(m, 4) as int), cast(left(m, 4) as int) + 10), lambda y: cast(y as varchar)) "
              "else [m] end))")

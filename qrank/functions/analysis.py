@@ -92,20 +92,29 @@ def tokenize(text: Column, tokenizer: str) -> Column:
     raise ValueError(tokenizer)
 
 
-def apply_filter(tokens: Column, name: str, stop_words=STOP_WORDS) -> Column:
+def apply_scalar(t: Column, name: str, stop_words=STOP_WORDS) -> Column:
+    """One filter on one term; null where ``stop`` removes it."""
     if name == "lowercase":
-        return F.transform(tokens, lambda t: F.lower(t))
+        return F.lower(t)
     if name == "stop":
-        stops = F.array(*[F.lit(w) for w in stop_words])
-        return F.filter(tokens, lambda t: ~F.array_contains(stops, t))
+        return F.when(~t.isin(list(stop_words)), t)
     if name == "apostrophe":
-        return F.transform(tokens, lambda t: F.regexp_replace(t, r"['’].*$", ""))
+        return F.regexp_replace(t, r"['’].*$", "")
     if name == "elision":
-        pat = "^(?i)(" + "|".join(ELISION_PREFIXES) + ")['’]"
-        return F.transform(tokens, lambda t: F.regexp_replace(t, pat, ""))
+        return F.regexp_replace(t, "^(?i)(" + "|".join(ELISION_PREFIXES) + ")['’]", "")
+    if name == "porterstem":
+        return _porter_udf(t)
     if name == "asciifolding":
-        return F.transform(tokens, lambda t: fold_ascii(t))
-    raise ValueError(f"{name} is not a column filter")
+        return fold_ascii(t)
+    raise ValueError(f"unknown filter {name}")
+
+
+def apply_filter(tokens: Column, name: str, stop_words=STOP_WORDS) -> Column:
+    if name == "stop":
+        return F.filter(tokens, lambda t: ~t.isin(list(stop_words)))
+    if name in VOCAB_FILTERS:
+        raise ValueError(f"{name} is not a column filter")
+    return F.transform(tokens, lambda t: apply_scalar(t, name))
 
 
 # ASCII folding table built by rule: Latin letters U+00C0..U+024F whose
@@ -158,18 +167,13 @@ _porter_udf = F.pandas_udf(porter.stem_series, T.StringType())
 
 def term_map(terms: DataFrame, analyzer: Analyzer, term_col: str = "term") -> DataFrame:
     """(term, out_term) for the distinct raw terms under the vocabulary
-    filters of ``analyzer``.  Stemming runs as an Arrow-batched pandas UDF
+    filters of ``analyzer``; terms that a late ``stop`` removes have no row.  Stemming runs as an Arrow-batched pandas UDF
     once per distinct term; folding is a JVM expression."""
     vocab = terms.select(F.col(term_col).alias("term")).distinct()
     out = F.col("term")
     for f in analyzer.vocab_filters():
-        if f == "porterstem":
-            out = _porter_udf(out)
-        elif f == "asciifolding":
-            out = fold_ascii(out)
-        else:
-            out = apply_filter(F.array(out), f, analyzer.stop_words)[0]
-    return vocab.select("term", out.alias("out_term"))
+        out = apply_scalar(out, f, analyzer.stop_words)
+    return vocab.select("term", out.alias("out_term")).where(F.col("out_term").isNotNull())
 
 
 def analyze(df: DataFrame, id_col: str, fields: list[str], analyzer: Analyzer) -> DataFrame:

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 # Characters removed from query text (query-syntax operators).
 QUERY_SPECIAL = r'[+\-!(){}\[\]^"~*?\\/]|&&|\|\|'
+# Fixed value: years 1700-2099, optionally a decade ('1990s').
+YEAR_RE = r"(?i)\b(17\d{2}|18\d{2}|19\d{2}|20\d{2})(s?)\b"
 
 
 def extract_tag(doc: Column, tag: str, clean: bool = True) -> Column:
@@ -54,16 +56,6 @@ def sanitize_query(c: Column) -> Column:
     return F.regexp_replace(c, ":", " ")
 
 
-def topic_section(block: Column, tag: str, next_tag: str | None, label: str | None) -> Column:
-    """Text of a topic section: from <tag> up to the next tag (or the end),
-    without its label (``Number:``, ``Description:``, ``Narrative:``)."""
-    end = f"(?=<{next_tag}>)" if next_tag else r"(?=</top>|$)"
-    body = F.regexp_extract(block, f"(?s)<{tag}>(.*?){end}", 1)
-    if label:
-        body = F.regexp_replace(body, f"{label}:", "")
-    return F.trim(F.regexp_replace(body, r"\s+", " "))
-
-
 def drop_negated(narr: Column) -> Column:
     """Remove sentences containing 'not relevant' (case-insensitive)."""
     sentences = F.split(F.coalesce(narr, F.lit("")), r"(?<=[.!?])\s+")
@@ -72,11 +64,11 @@ def drop_negated(narr: Column) -> Column:
 
 
 def topic_dates(text: Column) -> Column:
-    """Years mentioned in the text joined by ', '; a decade '1990s' expands to
-    its ten years; 'null' when there are none."""
-    found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"\b(1\d{3})(s?)\b"), 0)
+    """Years in the text joined by ', ' (a decade gives ten years); 'null' when
+    there are none."""
+    found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(YEAR_RE), 0)
     years = F.flatten(F.transform(found, lambda m: F.when(
-        m.endswith("s"),
+        F.lower(m).endswith("s"),
         F.transform(F.sequence(F.substring(m, 1, 4).cast("int"), F.substring(m, 1, 4).cast("int") + 9),
                     lambda y: y.cast("string")))
         .otherwise(F.array(m))))

@@ -32,6 +32,10 @@ class Index:
     field_stats: DataFrame
     analyzer: Analyzer
 
+    def release(self) -> None:
+        """Give back the memory that a built (not loaded) index holds."""
+        self.postings.unpersist()
+
 
 def map_terms(df: DataFrame, analyzer: Analyzer, keys: list[str], sum_cols: list[str],
               term_col: str = "term") -> DataFrame:
@@ -46,13 +50,6 @@ def map_terms(df: DataFrame, analyzer: Analyzer, keys: list[str], sum_cols: list
     return mapped.groupBy(*keys, term_col).agg(*[F.sum(c).alias(c) for c in sum_cols])
 
 
-def doc_lengths(docs: DataFrame, analyzer: Analyzer, fields=FIELDS, id_col: str = "docno") -> DataFrame:
-    """(field, docno, dl) for fields with at least one token."""
-    toks = analyze(docs, id_col, list(fields), analyzer)
-    return (toks.select("field", F.col(id_col).alias("docno"), F.size("tokens").alias("dl"))
-                .where(F.col("dl") > 0))
-
-
 def build_postings(docs: DataFrame, analyzer: Analyzer, fields=FIELDS, id_col: str = "docno") -> DataFrame:
     """(field, term, docno, tf, dl) for every token of every field."""
     toks = analyze(docs, id_col, list(fields), analyzer).withColumn("dl", F.size("tokens"))
@@ -62,6 +59,9 @@ def build_postings(docs: DataFrame, analyzer: Analyzer, fields=FIELDS, id_col: s
                .where(F.col("term").isNotNull())
                .groupBy("field", "docno", "dl", "term").agg(F.count(F.lit(1)).alias("tf")))
     out = map_terms(raw, analyzer, ["field", "docno", "dl"], ["tf"])
+    if "stop" in analyzer.vocab_filters():  # tokens went after the lengths were taken
+        kept = out.groupBy("field", "docno").agg(F.sum("tf").alias("dl"))
+        out = out.drop("dl").join(kept, ["field", "docno"])
     return out.select("field", "term", "docno", F.col("tf").cast("long").alias("tf"), F.col("dl").cast("long").alias("dl"))
 
 
@@ -69,21 +69,19 @@ def build_dictionary(postings: DataFrame) -> DataFrame:
     return postings.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
 
 
-def build_field_stats(postings: DataFrame = None, lengths: DataFrame = None) -> DataFrame:
-    """One row per field: N (documents with the field), sum_dl, avgdl.
-
-    From per-document lengths when given (one partial aggregation, no
-    postings needed), else from the distinct (field, docno, dl) of postings.
-    """
-    docs = lengths if lengths is not None else postings.select("field", "docno", "dl").distinct()
+def build_field_stats(postings: DataFrame) -> DataFrame:
+    """One row per field: N (documents with the field), sum_dl, avgdl."""
+    docs = postings.select("field", "docno", "dl").distinct()
     return docs.groupBy("field").agg(F.count(F.lit(1)).alias("N"), F.sum("dl").alias("sum_dl")) \
                .withColumn("avgdl", F.col("sum_dl") / F.col("N"))
 
 
 def build_index(docs: DataFrame, analyzer: Analyzer = Analyzer(), fields=FIELDS, id_col: str = "docno") -> Index:
-    p = build_postings(docs, analyzer, fields, id_col)
-    fs = build_field_stats(lengths=doc_lengths(docs, analyzer, fields, id_col))
-    return Index(p, build_dictionary(p), fs, analyzer)
+    """Postings are persisted (memory, then disk), so that the corpus is tokenized
+    once for postings, dictionary and statistics; see :meth:`Index.release`.
+    An index for several jobs is better saved and loaded."""
+    p = build_postings(docs, analyzer, fields, id_col).persist()
+    return Index(p, build_dictionary(p), build_field_stats(p), analyzer)
 
 
 def save_index(index: Index, path: str, num_files: int | None = None) -> None:

@@ -110,8 +110,12 @@ def topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = lambda i: F.split_part(F.col("text"), F.lit("."), F.lit(i))
     return b.select((F.lit(401) + F.col("item_id")).cast("string").alias("qid"),
                     part(1).alias("title"), part(2).alias("desc_text"),
-                    F.concat(part(3), F.lit(". Reports on other matters are not relevant. Kept sentence.")).alias("narr"),
-                    F.when(F.col("item_id") % 3 == 0, F.lit("during the 1990s")).otherwise(F.lit("")).alias("date_text"))
+                    # the rest of the text, whole, after the first two sentences
+                    F.concat(F.regexp_replace("text", "^[^.]*[.]?[^.]*[.]?", ""),
+                             F.lit(" Reports on other matters are not relevant. Kept sentence.")).alias("narr"),
+                    F.when(F.col("item_id") % 3 == 0, F.lit("during the 1990s"))
+                     .when(F.col("item_id") % 3 == 1, F.lit("In the 2010s and 2015, room 1234, 1980S"))
+                     .otherwise(F.lit("")).alias("date_text"))
 
 
 # Fixed value: words per shingle when matching passages to documents.

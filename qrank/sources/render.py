@@ -42,8 +42,8 @@ def topic_blocks_sql(table: str = "benchmark") -> str:
     num = "cast(401 + item_id as string)"
     title = "split_part(text, '.', 1)"
     desc = "split_part(text, '.', 2)"
-    narr = "concat(split_part(text, '.', 3), '. Reports on other matters are not relevant. Kept sentence.')"
-    date = "case when item_id % 3 = 0 then ' Events during the 1990s and 1875 only.' else '' end"
+    narr = "concat(regexp_replace(text, '^[^.]*[.]?[^.]*[.]?', ''), ' Reports on other matters are not relevant. Kept sentence.')"
+    date = "case item_id % 3 when 0 then ' Events during the 1990s and 1875 only.' when 1 then ' In the 2010s and 2015, room 1234, 1980S.' else '' end"
     block = (f"concat('<top>', {NL}, {NL}, '<num> Number: ', {num}, ' ', {NL}, '<title> ', {title}, ' ', {NL}, {NL}, "
              f"'<desc> Description: ', {NL}, {desc}, {date}, {NL}, {NL}, '<narr> Narrative: ', {NL}, {narr}, {NL}, {NL}, '</top>')")
     return f"select item_id, cast(floor(item_id / 25) as bigint) as file_id, {block} as block from {table}"

@@ -9,8 +9,9 @@
 
 All readers are line-parallel ``spark.read.text`` jobs (gzip/bzip2 inputs
 are decompressed by the reader), so many files or large files load in
-parallel.  ``validate=True`` runs the strict format checks as one extra
-aggregation job and raises on malformed input.
+parallel.  A malformed line (wrong number of fields, no number where one
+belongs) ends the job that reads it; the check is part of the same pass.
+``validate=False`` drops such lines instead.
 """
 
 from __future__ import annotations
@@ -33,46 +34,54 @@ def split_lines(df: DataFrame, comments: bool = True) -> DataFrame:
     return df
 
 
-def _check(df: DataFrame, bad: F.Column, what: str, validate: bool) -> None:
+def _check(df: DataFrame, good: F.Column, what: str, validate: bool) -> DataFrame:
+    """Rows that are ``good``; others raise when the row is read, or are dropped."""
+    good = F.coalesce(good, F.lit(False))
     if not validate:
-        return
-    n = df.where(bad).limit(1).count()
-    if n:
-        raise ValueError(f"malformed {what} input")
+        return df.where(good)
+    bad = F.raise_error(F.concat(F.lit(f"malformed {what} line in "), F.col("_file"), F.lit(": "), F.col("value")))
+    return df.where(F.when(good, F.lit(True)).otherwise(bad.cast("boolean")))
 
 
-def read_run(spark: SparkSession, path, validate: bool = False, run_id_from_file: bool = False) -> DataFrame:
+def _is_int(i: int) -> F.Column:
+    return F.get(F.col("_f"), F.lit(i)).try_cast("bigint").isNotNull()
+
+
+def _is_number(i: int) -> F.Column:
+    return F.get(F.col("_f"), F.lit(i)).try_cast("double").isNotNull()
+
+
+def read_run(spark: SparkSession, path, validate: bool = True, run_id_from_file: bool = False) -> DataFrame:
     """Run rows (run_id, qid, docno, sim); blank and '#' lines skipped.
 
     With ``run_id_from_file`` every file is one run named by its path
     (useful when many runs with equal tags are read at once).
     """
     df = _lines(spark, path).where(F.col("_n") > 0)
-    _check(df, F.col("_n") < 6, "run", validate)
-    return run_rows(df, run_id_from_file)
+    return run_rows(df, run_id_from_file, validate)
 
 
-def run_rows(df: DataFrame, run_id_from_file: bool = False) -> DataFrame:
+def run_rows(df: DataFrame, run_id_from_file: bool = False, validate: bool = True) -> DataFrame:
     """Typed run rows from split lines (see ``split_lines``)."""
     rid = F.col("_file") if run_id_from_file else F.col("_f")[5]
-    return df.where(F.col("_n") >= 6).select(
+    return _check(df, (F.col("_n") >= 6) & _is_number(4), "run", validate).select(
         rid.alias("run_id"), F.col("_f")[0].alias("qid"), F.col("_f")[2].alias("docno"),
         F.col("_f")[4].cast("double").alias("sim"))
 
 
-def read_qrels(spark: SparkSession, path, validate: bool = False) -> DataFrame:
+def read_qrels(spark: SparkSession, path, validate: bool = True) -> DataFrame:
     """Judgments (qid, docno, rel bigint); '#' lines skipped."""
     df = _lines(spark, path)
-    _check(df, F.col("_n") != 4, "qrels", validate)
-    return df.where(F.col("_n") == 4).select(
+    df = _check(df, (F.col("_n") == 4) & _is_int(3), "qrels", validate)
+    return df.select(
         F.col("_f")[0].alias("qid"), F.col("_f")[2].alias("docno"), F.col("_f")[3].cast("bigint").alias("rel"))
 
 
-def read_qrels_jg(spark: SparkSession, path, validate: bool = False) -> DataFrame:
+def read_qrels_jg(spark: SparkSession, path, validate: bool = True) -> DataFrame:
     """Judgments per judge group (qid, jg, docno, rel)."""
     df = _lines(spark, path)
-    _check(df, F.col("_n") != 4, "qrels_jg", validate)
-    out = df.where(F.col("_n") == 4).select(
+    df = _check(df, (F.col("_n") == 4) & _is_int(3), "qrels_jg", validate)
+    out = df.select(
         F.col("_f")[0].alias("qid"), F.col("_f")[1].alias("jg"), F.col("_f")[2].alias("docno"),
         F.col("_f")[3].cast("bigint").alias("rel"))
     if validate:
@@ -82,29 +91,29 @@ def read_qrels_jg(spark: SparkSession, path, validate: bool = False) -> DataFram
     return out
 
 
-def read_prefs(spark: SparkSession, path, validate: bool = False) -> DataFrame:
+def read_prefs(spark: SparkSession, path, validate: bool = True) -> DataFrame:
     """Preferences (qid, jg, jsg, docno, rel_level double)."""
     df = _lines(spark, path, comments=False).where(F.col("_n") > 0)
-    _check(df, F.col("_n") != 5, "prefs", validate)
-    return df.where(F.col("_n") == 5).select(
+    df = _check(df, (F.col("_n") == 5) & _is_number(4), "prefs", validate)
+    return df.select(
         F.col("_f")[0].alias("qid"), F.col("_f")[1].alias("jg"), F.col("_f")[2].alias("jsg"),
         F.col("_f")[3].alias("docno"), F.col("_f")[4].cast("double").alias("rel_level"))
 
 
-def read_qrels_prefs(spark: SparkSession, path, validate: bool = False) -> DataFrame:
+def read_qrels_prefs(spark: SparkSession, path, validate: bool = True) -> DataFrame:
     """Qrels read as preferences: sub-group '0', level kept as a double
     (so -1 is a level below 0)."""
     df = _lines(spark, path)
-    _check(df, F.col("_n") != 4, "qrels", validate)
-    return df.where(F.col("_n") == 4).select(
+    df = _check(df, (F.col("_n") == 4) & _is_int(3), "qrels", validate)
+    return df.select(
         F.col("_f")[0].alias("qid"), F.col("_f")[1].alias("jg"), F.lit("0").alias("jsg"),
         F.col("_f")[2].alias("docno"), F.col("_f")[3].cast("double").alias("rel_level"))
 
 
-def read_zscores(spark: SparkSession, path, validate: bool = False) -> DataFrame:
+def read_zscores(spark: SparkSession, path, validate: bool = True) -> DataFrame:
     """Z-score reference (qid, measure, mean, stddev)."""
     df = _lines(spark, path).where(F.col("_n") > 0)
-    _check(df, F.col("_n") != 4, "zscores", validate)
-    return df.where(F.col("_n") == 4).select(
+    df = _check(df, (F.col("_n") == 4) & _is_number(2) & _is_number(3), "zscores", validate)
+    return df.select(
         F.col("_f")[0].alias("qid"), F.col("_f")[1].alias("measure"),
         F.col("_f")[2].cast("double").alias("mean"), F.col("_f")[3].cast("double").alias("stddev"))

@@ -34,9 +34,13 @@ def read_sgml_files(spark: SparkSession, path: str) -> DataFrame:
     return df.select(F.input_file_name().alias("path"), "value")
 
 
-def split_docs(files: DataFrame) -> DataFrame:
-    """(path, subfolder, pos, raw): documents in file order."""
-    sub = F.regexp_extract("path", r"([^/]+)/[^/]+$", 1)
+def split_docs(files: DataFrame, root: str | None = None) -> DataFrame:
+    """(path, subfolder, pos, raw): documents in file order.
+
+    ``subfolder`` is the direct child of the collection's ``root`` that the
+    file lies below, at any depth (without a root: of the path's first part).
+    """
+    sub = F.regexp_extract("path", (re.escape(root) if root else "^[^/]+") + "/([^/]+)/", 1)
     return files.select("path", sub.alias("subfolder"),
                         F.posexplode(F.regexp_extract_all("value", F.lit(DOC_RE), 1)).alias("pos", "raw"))
 
@@ -71,7 +75,7 @@ def read_collection(spark: SparkSession, root: str, collection: str, null_text:
     files = read_sgml_files(spark, root)
     # Only files inside a sub-folder of the collection root are documents.
     files = files.where(F.col("path").rlike(re.escape(root) + r"/[^/]+/.+$"))
-    return ingest(split_docs(files), collection, null_text)
+    return ingest(split_docs(files, root), collection, null_text)
 
 
 def read_all(spark: SparkSession, roots: dict[str, str], null_text: str = "") -> DataFrame:

@@ -11,13 +11,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import QUERY_SPECIAL
+from ..functions.text import QUERY_SPECIAL, topic_dates
 from ..plans.sizing import sequential_index
 
+# The formats of topic blocks, section labels and synonym facts.
 TOP_RE = r"<top>\s([\s\S]*?)</top>"
 LABEL_RE = r"^\s*(Number:|Description:|Narrative:)\s*"
-# Fixed value: years 1700-2099, optionally a decade ('1990s').
-YEAR_RE = r"(?i)\b(17\d{2}|18\d{2}|19\d{2}|20\d{2})(s?)\b"
 SYNSET_RE = r"s\((\d+),\d+,'(.*?)',n,\d+,\d+\)\."
 
 
@@ -33,17 +32,6 @@ def _section(block: F.Column, tag: str, nxt: str | None) -> F.Column:
     return F.when(has & ((F.lit(nxt is None)) | block.rlike(f"<{tag}>[\\s\\S]*?<{nxt}>" if nxt else ".")), body)
 
 
-def dates_of(text: F.Column) -> F.Column:
-    """Years in the text joined by ', ' (a decade gives ten years), or 'null'."""
-    found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(YEAR_RE), 0)
-    years = F.flatten(F.transform(found, lambda m: F.when(
-        F.lower(m).endswith("s"),
-        F.transform(F.sequence(F.substring(m, 1, 4).cast("int"), F.substring(m, 1, 4).cast("int") + 9),
-                    lambda y: y.cast("string")))
-        .otherwise(F.array(m))))
-    return F.when(F.size(years) == 0, F.lit("null")).otherwise(F.array_join(years, ", "))
-
-
 def parse_topics(files: DataFrame, value_col: str = "value") -> DataFrame:
     """Topic blocks of whole-file rows -> (qid, title, desc, narr, date)."""
     blocks = files.select(F.explode(F.regexp_extract_all(F.col(value_col), F.lit(TOP_RE), 1)).alias("raw"))
@@ -57,7 +45,7 @@ def topics_from_blocks(blocks: DataFrame, raw_col: str = "raw") -> DataFrame:
                     _section(blk, "title", "desc").alias("title"),
                     _section(blk, "desc", "narr").alias("desc"),
                     _section(blk, "narr", None).alias("narr"),
-                    dates_of(blk).alias("date"))
+                    topic_dates(blk).alias("date"))
 
 
 def read_topics(spark: SparkSession, path: str) -> DataFrame:

@@ -49,6 +49,11 @@ def test_sgml_ingest(spark, tmpdir_path):
     open(f"{tmpdir_path}/fr/fr01/file1", "w").write(FR)
     la = {r.docno: r for r in SG.read_collection(spark, f"{tmpdir_path}/la", "latimes").collect()}
     assert set(la) == {"LA010189-0001", "LA010189-0002"}
+    os.makedirs(f"{tmpdir_path}/la/la02/deep/er")
+    open(f"{tmpdir_path}/la/la02/deep/er/f", "w").write(SGML.replace("LA01", "LA02"))
+    nested = SG.read_collection(spark, f"{tmpdir_path}/la", "latimes")
+    assert {r.subfolder for r in nested.collect()} == {"la01", "la02"}
+    assert sorted(r.docno for r in SG.sample_every(nested, 2).collect()) == ["LA010189-0001", "LA020189-0001"]
     d1 = la["LA010189-0001"]
     assert d1.date == "1989" and "<F" not in d1.headline and "Big" in d1.headline and "news" in d1.headline
     assert "comment" not in d1.text
@@ -106,9 +111,13 @@ def test_run_and_qrels_files(spark, tmpdir_path):
     q = read_qrels(spark, f"{tmpdir_path}/qrels", validate=True).collect()
     assert sorted(r.rel for r in q) == [-1, 1]
     open(f"{tmpdir_path}/bad", "w").write("1 0 d1\n")
+    open(f"{tmpdir_path}/bad2", "w").write("1 0 d1 x\n")
+    open(f"{tmpdir_path}/bad3", "w").write("1 Q0 d1 1 high tagA\n")
     import pytest
-    with pytest.raises(ValueError):
-        read_qrels(spark, f"{tmpdir_path}/bad", validate=True)
+    for read, name in ((read_qrels, "bad"), (read_qrels, "bad2"), (read_run, "bad3")):
+        with pytest.raises(Exception, match="malformed"):
+            read(spark, f"{tmpdir_path}/{name}").collect()
+        assert read(spark, f"{tmpdir_path}/{name}", validate=False).count() == 0
 
 
 def test_run_stream(spark, tmpdir_path):
