@@ -71,7 +71,9 @@ class Similarity:
     p2: float = BM25_TUNED[1]
 
     def expr(self) -> Column:
-        return similarity_expr(F.lit(self.kind), F.lit(self.p1), F.lit(self.p2))
+        """The similarity as a column over matches."""
+        args = {"bm25": (self.p1, self.p2), "tfidf": (), "lmd": (self.p1,), "lmj": (self.p1,)}[self.kind]
+        return REGISTRY[self.kind](*args)
 
     @property
     def name(self) -> str:
@@ -84,17 +86,4 @@ class Similarity:
         return f"lmj_lambda={self.p1:g}"
 
 
-def similarity_expr(kind: Column, p1: Column, p2: Column) -> Column:
-    """Similarity chosen per row from (kind, p1, p2) columns: lets one job
-    score many configurations side by side."""
-    return (F.when(kind == "bm25", bm25(p1, p2))
-             .when(kind == "tfidf", tfidf())
-             .when(kind == "lmd", lm_dirichlet(p1))
-             .when(kind == "lmj", lm_jelinek_mercer(p1)))
-
-
 REGISTRY = {"bm25": bm25, "tfidf": tfidf, "lmd": lm_dirichlet, "lmj": lm_jelinek_mercer}
-
-
-def register_similarity(name: str, fn) -> None:
-    REGISTRY[name] = fn

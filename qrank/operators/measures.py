@@ -667,19 +667,14 @@ def relstring(judged: DataFrame, n: int = RELSTRING_LEN) -> DataFrame:
 
 
 def runid(run: DataFrame) -> DataFrame:
-    """Run tags present (the evaluator reports the tag of the run's last line)."""
+    """Run tags present; for the tag of a run file's last line see ``runfiles.last_run_tag``."""
     return run.select("run_id").distinct()
 
 
-def log_min_geo(v: float) -> float:
-    return math.log(max(v, MIN_GEO_MEAN))
-
-
 # ------------------------------------------------------- judge-group averages
 
 # Measures averaged over judge groups and their base measure.
 AVGJG = {"map_avgjg": "map", "P_avgjg": "P", "Rprec_mult_avgjg": "Rprec_mult"}
-QRELS_JG_SET = ["num_q", "num_ret", "num_rel", "num_rel_ret", "map_avgjg", "P_avgjg", "Rprec_mult_avgjg"]
 
 
 def _jg_name(base_name: str, avg: str, base: str) -> str:

@@ -69,6 +69,19 @@ def run_rows(df: DataFrame, run_id_from_file: bool = False, validate: bool = Tru
         F.col("_f")[4].cast("double").alias("sim"))
 
 
+def last_run_tag(spark: SparkSession, path) -> DataFrame:
+    """(run_id, tag): the tag on the last line of each run file, run_id being the file's path.
+
+    Lines are placed by their split's start and their order in it, so the
+    answer does not depend on how files are cut or packed into tasks.
+    """
+    df = spark.read.text(path).select("value", F.input_file_name().alias("run_id"),
+                                      F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at"))
+    f = F.split(F.trim("value"), r"\s+")
+    df = df.where((F.size(f) >= 6) & ~F.trim("value").startswith("#"))
+    return df.groupBy("run_id").agg(F.max_by(F.get(f, F.lit(5)), F.struct("start", "at")).alias("tag"))
+
+
 def read_qrels(spark: SparkSession, path, validate: bool = True) -> DataFrame:
     """Judgments (qid, docno, rel bigint); '#' lines skipped."""
     df = _lines(spark, path)
