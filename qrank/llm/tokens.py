@@ -48,22 +48,24 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-class Memory:
-    """Words (or pieces) and their ids; the half not used lately is forgotten."""
+class Memory(dict):
+    """Ids by word (or piece), made when first asked for; the half not used lately is forgotten."""
 
-    def __init__(self):
-        self.newer: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+    def __init__(self, make):
+        super().__init__()
+        self.make, self.older = make, {}
 
-    def missing(self, words: set[str]) -> set[str]:
-        """The unknown ones of ``words``; the known ones are now in the newer half."""
-        if len(self.newer) > CACHE_WORDS:
-            self.newer, self.older = {}, self.newer
-        out = words.difference(self.newer)
-        older = self.older
-        back = [w for w in out if w in older]
-        self.newer.update([(w, older[w]) for w in back])
-        return out.difference(back)
+    def __missing__(self, word: str) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self.make(word)
+        self[word] = ids
+        return ids
+
+    def trim(self) -> None:
+        if len(self) > CACHE_WORDS:
+            self.older = dict(self)
+            self.clear()
 
 
 class Encoder:
@@ -78,7 +80,8 @@ class Encoder:
         self.by_word = (type(self.tok.pre_tokenizer).__name__ == "ByteLevel" and type(self.model).__name__ == "BPE"
                         and self.tok.normalizer is None and self.tok.post_processor is None)
         self.split, self.letters = piece_pattern().findall, byte_letters()
-        self.first, self.later, self.pieces = Memory(), Memory(), Memory()  # line starts, words behind a space, pieces
+        self.pieces = Memory(self._piece)
+        self.first, self.later = Memory(self._word), Memory(lambda w: self._word(" " + w))  # line starts, words behind a space
         self.newline = self._piece("\n") if self.by_word else b""
 
     def _whole(self, texts: list[str]) -> list[bytes]:
@@ -92,30 +95,27 @@ class Encoder:
             ids.byteswap()
         return ids.tobytes()
 
-    def _learn(self, memory: Memory, words: set[str], lead: str) -> dict[str, bytes]:
-        new = list(memory.missing(words))
-        cut = [self.split(lead + w) for w in new]
-        pieces = self.pieces.missing({p for c in cut for p in c})
-        known = self.pieces.newer
-        for p in pieces:
-            known[p] = self._piece(p)
-        memory.newer.update((w, known[c[0]] if len(c) == 1 else b"".join([known[p] for p in c])) for w, c in zip(new, cut))
-        return memory.newer
+    def _word(self, word: str) -> bytes:
+        cut = self.split(word)
+        return self.pieces[cut[0]] if len(cut) == 1 else b"".join([self.pieces[p] for p in cut])
+
+    def _lines(self, text: str) -> bytes:
+        out, first, later = [], self.first, self.later.__getitem__
+        for line in text.split("\n"):
+            words = iter(line.split(" "))
+            out.append(first[next(words)] + b"".join(map(later, words)))
+        return self.newline.join(out)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
             return self._whole(texts)
-        cut = [None if not PLAIN.fullmatch(t) or RUNS.search(t) else [x.split(" ") for x in t.split("\n")] for t in texts]
-        first, later = set(), set()
-        for lines in cut:
-            for words in lines or ():
-                first.add(words[0])
-                later.update(words[1:])
-        head, rest = self._learn(self.first, first, ""), self._learn(self.later, later, " ")
-        if cut.count(None):
-            direct = iter(self._whole([t for t, c in zip(texts, cut) if c is None]))
-        return [next(direct) if lines is None else
-                self.newline.join([head[x[0]] + b"".join([rest[w] for w in x[1:]]) for x in lines]) for lines in cut]
+        for memory in (self.first, self.later, self.pieces):
+            memory.trim()
+        out = [None if not PLAIN.fullmatch(t) or RUNS.search(t) else self._lines(t) for t in texts]
+        if None in out:
+            direct = iter(self._whole([t for t, x in zip(texts, out) if x is None]))
+            out = [next(direct) if x is None else x for x in out]
+        return out
 
 
 def encoder(path: str) -> Encoder:
