@@ -28,7 +28,20 @@ def _lit(s: str) -> str:
 STOP_LIST = "[" + ", ".join(_lit(w) for w in STOP_WORDS) + "]"
 
 
-def tokens_sql(text: str) -> str:
+CLASSIC_RE = (r"[\p{L}\p{N}._%+-]+@[\p{L}\p{N}.-]+\.[\p{L}]+|(?:\p{L}\.){2,}"
+              r"|[\p{L}\p{N}]+(?:[-.&'’][\p{L}\p{N}]+)*")
+WIKI_RE = r"\[\[|\]\]|\{\{|\}\}|''+"
+
+
+def tokens_sql(text: str, tokenizer: str | None = None) -> str:
+    """Token list of a text: standard tokenizer, lowercase, stop; or a named tokenizer alone."""
+    t = f"coalesce({text}, '')"
+    if tokenizer == "whitespace":
+        return f"list_filter(regexp_split_to_array({t}, '\\s+'), lambda t: t <> '')"
+    if tokenizer == "wikipedia":
+        t = f"regexp_replace({t}, {_lit(WIKI_RE)}, ' ', 'g')"
+    if tokenizer:
+        return f"regexp_extract_all({t}, {_lit(CLASSIC_RE if tokenizer == 'classic' else STANDARD_RE)}, 0)"
     return (f"list_filter(list_transform(regexp_extract_all(coalesce({text}, ''), {_lit(STANDARD_RE)}, 0), "
             f"lambda t: lower(t)), lambda t: not list_contains({STOP_LIST}, t))")
 
@@ -39,12 +52,12 @@ def sanitize_sql(text: str) -> str:
     return f"replace({s}, ':', ' ')"
 
 
-def index_ctes() -> list[tuple[str, str]]:
+def index_ctes(tokenizer: str | None = None) -> list[tuple[str, str]]:
     fields = " union all ".join(f"select docno, '{f}' as field, {f} as txt from corpus" for f in DOC_FIELDS)
     return [
         ("corpus", FIXTURE_CTES["corpus"]),
         ("ftxt", fields),
-        ("tk", f"select docno, field, {tokens_sql('txt')} as toks from ftxt"),
+        ("tk", f"select docno, field, {tokens_sql('txt', tokenizer)} as toks from ftxt"),
         ("tok1", "select docno, field, len(toks) as dl, unnest(toks) as term from tk where len(toks) > 0"),
         ("post", "select field, term, docno, count(*) as tf, any_value(dl) as dl from tok1 group by field, term, docno"),
         ("dict", "select field, term, count(*) as df, sum(tf) as cf from post group by field, term"),
@@ -57,8 +70,8 @@ def _with(ctes: list[tuple[str, str]]) -> str:
     return "with " + ",\n".join(f"{n} as ({q})" for n, q in ctes) + "\n"
 
 
-def postings_sql() -> str:
-    return _with(index_ctes()) + "select field, term, docno, cast(tf as bigint) as tf, cast(dl as bigint) as dl from post"
+def postings_sql(tokenizer: str | None = None) -> str:
+    return _with(index_ctes(tokenizer)) + "select field, term, docno, cast(tf as bigint) as tf, cast(dl as bigint) as dl from post"
 
 
 def dictionary_sql() -> str:
@@ -86,7 +99,7 @@ def flat_queries_cte() -> tuple[str, str]:
   cross join (select unnest({fields}) as field) group by qid, field, term""")
 
 
-def sectioned_queries_cte(weights=TUNED_WEIGHTS, boosts=TUNED_BOOSTS) -> list[tuple[str, str]]:
+def sectioned_queries_cte(weights=TUNED_WEIGHTS, boosts=TUNED_BOOSTS, tokenizer: str | None = None) -> list[tuple[str, str]]:
     wrows = " union all ".join(f"select '{s}' as section, '{f}' as field, {w} as w"
                                for s, fw in weights.items() for f, w in fw.items())
     # Topic date section: years found in the date text, a decade expanding to ten years.
@@ -106,7 +119,7 @@ def sectioned_queries_cte(weights=TUNED_WEIGHTS, boosts=TUNED_BOOSTS) -> list[tu
         ("topics", FIXTURE_CTES["topics"]),
         ("tp", f"select *, {dates} as date, ({dates}) <> 'null' as has_date from topics"),
         ("secs", secs),
-        ("stok", f"select qid, section, has_date, unnest({tokens_sql(sanitize_sql('txt'))}) as term from secs"),
+        ("stok", f"select qid, section, has_date, unnest({tokens_sql(sanitize_sql('txt'), tokenizer)}) as term from secs"),
         ("wts", wrows),
         ("qt", f"""select qid, field, term, sum(w.w * ({boost})) as weight from stok s join wts w on s.section = w.section
   where w.w * ({boost}) <> 0 group by qid, field, term"""),
@@ -232,3 +245,22 @@ def similarity_grid() -> list[tuple]:
     return ([("tfidf", 0.0, 0.0)] + [("bm25", k, b) for k in _grid(0.2, 2.0, 0.2) for b in _grid(0.1, 1.0, 0.1)]
             + [("lmd", m, 0.0) for m in _grid(100, 1000, 100)] + [("lmj", x, 0.0) for x in _grid(0.1, 0.9, 0.1)])
 
+
+def run_lines_sql() -> str:
+    return (f"select qid, rank, concat_ws(' ', qid, 'Q0', trim(docno), cast(rank as varchar), printf('%.6f', sim), run_id) as value "
+            f"from ({search_sql('bm25', {'k1': 0.6, 'b': 0.7}, sectioned=True, run_id='mf')})")
+
+
+def sweep_tokenizers_sql() -> str:
+    """MAP of the tuned search per tokenizer (no filters), over all judged topics."""
+    bm = SIMS["bm25"].format(k1=0.6, b=0.7)
+    parts = []
+    for t in ("standard", "whitespace", "classic", "wikipedia"):
+        ctes = index_ctes(t) + sectioned_queries_cte(tokenizer=t) + [
+            ("sc", f"""select qid, docno, round(sum(weight * ({bm})), 6) as sim, sum(weight * ({bm})) as raw
+  from post join qt using (field, term) join dict using (field, term) join fs using (field) group by qid, docno"""),
+            ("runs_t", f"""select '{t}' as run_id, qid, docno, sim from (select *, row_number() over
+  (partition by qid order by sim desc, docno asc) as rn from sc where raw > 0) where rn <= 1000"""),
+            passage_qrels_cte()] + _map_sql("runs_t", "pq")
+        parts.append(f"select '{t}' as run_id, round(coalesce((select map from ({_with(ctes)} select map from mp)), 0), 6) as map")
+    return "\nunion all ".join(parts)

@@ -39,6 +39,16 @@ def q_postings(spark, sf_dir):
     return plain_index(spark, sf_dir).postings
 
 
+def _postings_of(tokenizer: str):
+    def q(spark, sf_dir):
+        return plain_index(spark, sf_dir, Analyzer(tokenizer, ())).postings
+    return q
+
+
+for _t in ("standard", "whitespace", "classic", "wikipedia"):
+    register(f"tokenize_{_t}", _oracle("postings_sql", _t))(_postings_of(_t))
+
+
 @register("dictionary", _oracle("dictionary_sql"))
 def q_dictionary(spark, sf_dir):
     return plain_index(spark, sf_dir).dictionary.select("field", "term", F.col("df").cast("long"), F.col("cf").cast("long"))

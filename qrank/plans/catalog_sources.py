@@ -120,7 +120,12 @@ def q_synonym_expand(spark, sf_dir):
     return TP.expand_synonyms(blocks, syn)
 
 
-@register("run_lines")
+def _run_lines_sql() -> str:
+    from checks import oracle_search as OS
+    return OS.run_lines_sql()
+
+
+@register("run_lines", _run_lines_sql)
 def q_run_lines(spark, sf_dir):
     """Six-column lines of the multi-field BM25 run."""
     from .catalog_search import _search

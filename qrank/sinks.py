@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 
 def run_lines(run: DataFrame, tag_col: str = "run_id") -> DataFrame:
-    """Six-column run lines ``qid Q0 docno rank score tag`` (rank from 1)."""
+    """Six-column run lines ``qid Q0 docno rank score tag`` (rank from 1; scores,
+    which searches round to six decimals, with six decimals)."""
     return run.select("qid", "rank", F.concat_ws(" ", "qid", F.lit("Q0"), F.trim("docno"), F.col("rank").cast("string"),
-                                                 F.col("sim").cast("string"), F.col(tag_col)).alias("value"))
+                                                 F.format_string("%.6f", F.col("sim")), F.col(tag_col)).alias("value"))
 
 
 def write_run(run: DataFrame, path: str) -> None:
