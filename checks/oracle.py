@@ -420,13 +420,17 @@ PREFS_PAIR = ["prefs_pair", "prefs_pair_ret", "prefs_pair_imp"]
 
 
 def _prefs_ctes(single_judge: bool) -> list[tuple[str, str]]:
-    qp = "select * from qrels_prefs" + (" where jg = '0'" if single_judge else "")
+    """``single_judge``: each (topic, judge group) is a topic of its own."""
+    own = "qid || '|' || jg" if single_judge else "qid"
+    judged = "select distinct qid as q0, qid || '|' || jg as q1 from qrels_prefs"
     return [
-        ("qp", qp),
+        ("qp", f"select {own} as qid, jg, jsg, docno, rel_level from qrels_prefs"),
+        ("rx", f"select r.run_id, g.q1 as qid, r.docno, r.sim from runs r join ({judged}) g on r.qid = g.q0"
+               if single_judge else "select run_id, qid, docno, sim from runs"),
         ("jd", "select distinct qid, docno from qp"),
         ("rr", """select r.run_id, r.qid, r.docno, row_number() over (partition by r.run_id, r.qid order by r.sim desc, r.docno asc) as rank
-  from runs r where exists (select 1 from jd where jd.qid = r.qid and jd.docno = r.docno)"""),
-        ("tp", "select distinct run_id, qid from runs where qid in (select qid from qp)"),
+  from rx r where exists (select 1 from jd where jd.qid = r.qid and jd.docno = r.docno)"""),
+        ("tp", "select distinct run_id, qid from rx where qid in (select qid from qp)"),
         ("docs", """select t.run_id, p.qid, p.jg, p.docno, p.rel_level, rr.rank from tp t join qp p on t.qid = p.qid
   left join rr on rr.run_id = t.run_id and rr.qid = p.qid and rr.docno = p.docno"""),
         ("pairs", """select a.run_id, a.qid, a.jg, a.rank as ra, b.rank as rb from docs a join docs b

@@ -151,9 +151,11 @@ def q_prefs(spark, sf_dir):
 
 @register("m_prefs_pair", _o(lambda O: O.prefs_measures_sql(True)))
 def q_prefs_pair(spark, sf_dir):
-    """Pair measures for the preferences of one judge group."""
-    one = fx.qrels_prefs(spark, sf_dir).where(F.col("jg") == "0")
-    ev = PR.evaluate_prefs(fx.runs(spark, sf_dir), one, sorted(PR.PAIR))
+    """Pair measures of every judge group by itself: each (topic, judge) is a topic of its own."""
+    prefs = fx.qrels_prefs(spark, sf_dir)
+    own = F.concat_ws("|", "qid", "jg")
+    run = fx.runs(spark, sf_dir).join(prefs.select("qid", "jg").distinct(), "qid").withColumn("qid", own).drop("jg")
+    ev = PR.evaluate_prefs(run, prefs.withColumn("qid", own), sorted(PR.PAIR))
     return ev.select("run_id", "qid", "measure", r6("value").alias("value"))
 
 
