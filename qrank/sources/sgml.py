@@ -1,8 +1,8 @@
 """SGML news collections -> fielded document table.
 
-Each file holds several ``<DOC> ... </DOC>`` records.  Files are read whole
-(one row per file, so the unit of work is one bounded file), split into
-documents with their position in the file, and every collection's tag map
+Each file holds several ``<DOC> ... </DOC>`` records.  Files are read a record
+at a time and large files in several splits; a record's position in its file
+comes from its split's start and its place there.  Every collection's tag map
 extracts docno, headline, text and a year.  Collections are unioned.
 """
 
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.text import extract_tag, extract_year, ft_year, remove_pjg
 from ..plans.sizing import bounded_broadcast
 
+# Fixed value: the record format.
 DOC_RE = r"<DOC>\s([\s\S]*?)</DOC>"
 
 # Tag map per collection (headline tags, text tags in
@@ -28,20 +29,35 @@ COLLECTIONS = {
 }
 
 
-def read_sgml_files(spark: SparkSession, path: str) -> DataFrame:
-    """(path, value) one row per file below ``path`` (recursive)."""
-    df = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
-    return df.select(F.input_file_name().alias("path"), "value")
+def subfolder_of(path: F.Column, root: str | None = None) -> F.Column:
+    """The direct child of the collection's ``root`` that a file lies below, at any
+    depth (without a root: of the path's first part)."""
+    return F.regexp_extract(path, (re.escape(root) if root else "^[^/]+") + "/([^/]+)/", 1)
 
 
-def split_docs(files: DataFrame, root: str | None = None) -> DataFrame:
-    """(path, subfolder, pos, raw): documents in file order.
+def read_docs(spark: SparkSession, root: str) -> DataFrame:
+    """(path, subfolder, pos, raw): the documents of all files below sub-folders of ``root``.
 
-    ``subfolder`` is the direct child of the collection's ``root`` that the
-    file lies below, at any depth (without a root: of the path's first part).
+    The record end is the line separator, so Spark cuts large files into
+    splits.  Rows of a split are numbered in one task; a file's splits are
+    offset by their counts (one row per split), so no file becomes one task.
     """
-    sub = F.regexp_extract("path", (re.escape(root) if root else "^[^/]+") + "/([^/]+)/", 1)
-    return files.select("path", sub.alias("subfolder"),
+    rows = (spark.read.option("recursiveFileLookup", True).option("lineSep", "</DOC>").text(root)
+            .select(F.input_file_name().alias("path"), F.col("_metadata.file_block_start").alias("start"),
+                    F.regexp_extract("value", r"<DOC>\s([\s\S]*)$", 1).alias("raw"), F.col("value").rlike(r"<DOC>\s").alias("whole")))
+    # Only files inside a sub-folder of the collection root are documents.
+    rows = rows.where(F.col("whole") & F.col("path").rlike(re.escape(root) + r"/[^/]+/.+$"))
+    rows = rows.withColumn("at", F.monotonically_increasing_id())
+    splits = rows.groupBy("path", "start").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"))
+    w = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)  # a row per split
+    splits = splits.withColumn("off", F.coalesce(F.sum("n").over(w), F.lit(0))).select("path", "start", "first", "off")
+    return rows.join(splits, ["path", "start"]).select(
+        "path", subfolder_of(F.col("path"), root).alias("subfolder"), (F.col("off") + F.col("at") - F.col("first")).alias("pos"), "raw")
+
+
+def split_docs(files: DataFrame) -> DataFrame:
+    """(path, subfolder, pos, raw): documents of whole-file rows (path, value), in file order."""
+    return files.select("path", subfolder_of(F.col("path")).alias("subfolder"),
                         F.posexplode(F.regexp_extract_all("value", F.lit(DOC_RE), 1)).alias("pos", "raw"))
 
 
@@ -71,11 +87,7 @@ def ingest(docs: DataFrame, collection: str, null_text: str = "") -> DataFrame:
 def read_collection(spark: SparkSession, root: str, collection: str, null_text: str = "") -> DataFrame:
     """All documents below the sub-folders of ``root`` (files directly in
     ``root`` are not read)."""
-    root = root.rstrip("/")
-    files = read_sgml_files(spark, root)
-    # Only files inside a sub-folder of the collection root are documents.
-    files = files.where(F.col("path").rlike(re.escape(root) + r"/[^/]+/.+$"))
-    return ingest(split_docs(files, root), collection, null_text)
+    return ingest(read_docs(spark, root.rstrip("/")), collection, null_text)
 
 
 def read_all(spark: SparkSession, roots: dict[str, str], null_text: str = "") -> DataFrame:

@@ -62,6 +62,24 @@ def test_sgml_ingest(spark, tmpdir_path):
     assert fr.headline.strip() == "A rule" and fr.text.startswith("nullnull") and fr.date == "1994"
 
 
+def test_large_files_are_read_in_splits(spark, tmpdir_path):
+    os.makedirs(f"{tmpdir_path}/la/la01/x")
+    text = "".join(f"<DOC>\n<DOCNO> D{i:05d} </DOCNO>\n<TEXT>\n{'word ' * (i % 90)}\n</TEXT>\n</DOC>\n" for i in range(3000))
+    open(f"{tmpdir_path}/la/la01/x/big", "w").write(text)
+    open(f"{tmpdir_path}/la/la01/y", "w").write(SGML)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
+        docs = SG.read_collection(spark, f"{tmpdir_path}/la", "latimes")
+        rows = sorted((r.path, r.pos, r.docno) for r in docs.collect())
+        big = [(p, d) for f, p, d in rows if f.endswith("big")]
+        assert big == [(i, f"D{i:05d}") for i in range(3000)]
+        assert SG.read_docs(spark, f"{tmpdir_path}/la").select("path").rdd.getNumPartitions() > 1 and len(rows) == 3002
+        assert SG.sample_every(docs, 7).count() == -(-3002 // 7)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 TOPICS = """<top>
 
 <num> Number: 401
