@@ -30,7 +30,8 @@ from pyspark.sql import functions as F
 from .judge import EvalOptions
 from .ranking import running
 
-# Judgment levels are few; running counts are kept per distinct level.
+# Up to this many distinct levels, one running count per level; beyond it, one
+# per binary digit of the level's number (same counts, more passes).
 MAX_LEVELS = 64
 
 PREFS_MEASURES = ["prefs_num_prefs_poss", "prefs_num_prefs_ful", "prefs_num_prefs_ful_ret", "prefs_simp",
@@ -47,6 +48,30 @@ def check_single_subgroup(prefs: DataFrame) -> None:
         raise NotImplementedError("judge groups with several sub-groups need pairwise closure (not built)")
 
 
+def higher_before(docs: DataFrame, keys: list[str], order: list[Column], extra: dict[str, Column],
+                  prefs: DataFrame, skew_safe: bool) -> DataFrame:
+    """``docs`` with ``_hi``, the retrieved docs (``_ret`` = 1) of a higher level that come
+    before a doc in ``order``, and the running sums ``extra``, for any number of levels.
+
+    Levels are numbered in order.  Two levels differ first at some binary
+    digit, above which their numbers agree; there the higher one has 1 and the
+    lower one 0.  So per digit, docs with 0 count the earlier retrieved docs
+    with 1 among those that agree above it.
+    """
+    from ..plans.sizing import sequential_index
+
+    levels = prefs.select("rel_level").distinct().orderBy("rel_level").withColumn("_o", F.monotonically_increasing_id()).persist()
+    bits = max(1, int(levels.count()).bit_length())
+    docs = docs.join(sequential_index(levels, "_o", "_lid").select("rel_level", "_lid"), "rel_level")
+    out = running(docs, keys, order, extra, skew_safe=skew_safe, rank_col=None).withColumn("_hi", F.lit(0).cast("long"))
+    for b in range(bits):
+        one = F.shiftright("_lid", b).bitwiseAND(1)
+        out = running(out.withColumn("_px", F.shiftright("_lid", b + 1)), keys + ["_px"], order, {"_ones": one * F.col("_ret")},
+                      skew_safe=skew_safe, rank_col=None)
+        out = out.withColumn("_hi", F.col("_hi") + F.when(one == 0, F.col("_ones")).otherwise(0)).drop("_px", "_ones")
+    return out.drop("_lid")
+
+
 def prefs_counts(run: DataFrame, prefs: DataFrame, validate: bool = True,
                  skew_safe: bool | None = None) -> DataFrame:
     """Per (run_id, qid, jg): ful_ret, poss_ret, ful_imp, poss_imp, notoccur,
@@ -57,9 +82,7 @@ def prefs_counts(run: DataFrame, prefs: DataFrame, validate: bool = True,
         from .ranking import decide
         skew_safe, run = decide(run, ["run_id", "qid"], None)
     levels = [r.rel_level for r in prefs.select("rel_level").distinct().limit(MAX_LEVELS + 1).collect()]
-    if len(levels) > MAX_LEVELS:
-        raise NotImplementedError(f"more than {MAX_LEVELS} distinct preference levels")
-    levels = sorted(levels)
+    many, levels = len(levels) > MAX_LEVELS, sorted(levels)
     p = prefs.select("qid", "jg", "docno", "rel_level")
     # Retrieved judged docs of each run and topic (judged = in any group of the topic).
     judged_docs = p.select("qid", "docno").distinct()
@@ -81,11 +104,14 @@ def prefs_counts(run: DataFrame, prefs: DataFrame, validate: bool = True,
     # docs per level: every doc learns how many retrieved docs of a higher
     # level precede it (fulfilled preferences won by those docs).
     order = [F.desc("_ret"), F.asc("rank"), F.asc("docno")]
-    sums = {f"_c{i}": ((lvl == lv) & ret).cast("long") for i, lv in enumerate(levels)}
-    sums.update({"_rb": F.col("_ret"), "_pl": F.col("_last")})
-    cd = running(docs, keys, order, sums, skew_safe=skew_safe, rank_col=None)
-    hi = sum((F.when(lvl < lv, F.col(f"_c{i}")).otherwise(0) for i, lv in enumerate(levels)), F.lit(0))
-    cd = cd.withColumn("_hi", hi).withColumn("_ret_before", F.col("_rb") - F.col("_ret"))
+    sums = {"_rb": F.col("_ret"), "_pl": F.col("_last")}
+    if many:
+        cd = higher_before(docs, keys, order, sums, p, skew_safe)
+    else:
+        sums.update({f"_c{i}": ((lvl == lv) & ret).cast("long") for i, lv in enumerate(levels)})
+        cd = running(docs, keys, order, sums, skew_safe=skew_safe, rank_col=None)
+        cd = cd.withColumn("_hi", sum((F.when(lvl < lv, F.col(f"_c{i}")).otherwise(0) for i, lv in enumerate(levels)), F.lit(0)))
+    cd = cd.withColumn("_ret_before", F.col("_rb") - F.col("_ret"))
 
     # Level histograms split by retrieval -> pair totals.
     hist = docs.groupBy(*keys, "rel_level", "_min_level").agg(F.count_if(ret).alias("r"), F.count_if(~ret).alias("u"))

@@ -140,3 +140,18 @@ def test_sample_every(spark):
     got = sorted(map(tuple, SW.sample_every(docs, 3).collect()))
     want = sorted(x for c in ("c0", "c1") for x in [(c, f"d{i:03d}") for i in range(41) if f"c{i % 2}" == c][::3])
     assert got == want
+
+
+def test_preference_counts_for_any_number_of_levels(spark, monkeypatch):
+    import random
+
+    from qrank.operators import prefs as P
+    rng = random.Random(6)
+    prefs = spark.createDataFrame([(f"q{q}", "a", "0", f"d{d:03d}", rng.randint(-1, 9) / 2) for q in range(2) for d in range(60)],
+                                  "qid string, jg string, jsg string, docno string, rel_level double")
+    runs = spark.createDataFrame([("r", f"q{q}", f"d{d:03d}", float(rng.randint(0, 20))) for q in range(2) for d in rng.sample(range(80), 40)],
+                                 "run_id string, qid string, docno string, sim double")
+    want = sorted(map(tuple, P.prefs_counts(runs, prefs).collect()))
+    monkeypatch.setattr(P, "MAX_LEVELS", 1)
+    assert sorted(map(tuple, P.prefs_counts(runs, prefs).collect())) == want
+    assert sorted(map(tuple, P.prefs_counts(runs, prefs, skew_safe=True).collect())) == want
