@@ -202,7 +202,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     """
     stats = materialize(document_stats(docs, id_col, text_col), "stats")
     known = label_rows(labels).where(F.col("quality").isNotNull()).select("doc_id", "quality")
-    sample = (stats.join(known, "doc_id").orderBy(F.xxhash64("doc_id"), *STATS).limit(max_train)).toPandas()
+    sample = (stats.join(known, "doc_id").orderBy(F.xxhash64("doc_id"), *STATS).limit(max_train)).toArrow()
     base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     rows = stats.withColumn("base_failed", base)
     y = (sample["quality"].to_numpy() >= 1).astype(int)
