@@ -82,6 +82,22 @@ def slices(texts: list, limit: int = 4 << 20) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
+def column_slices(column, limit: int = 2 << 20) -> Iterator[tuple[int, list]]:
+    """(offset, Python values) of an Arrow string or binary column, about ``limit``
+    bytes at a time, so that only a slice of a batch exists twice."""
+    import pyarrow.compute as pc
+
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
+    start, held = 0, 0
+    for i, n in enumerate(sizes):
+        if i > start and held + n > limit:
+            yield start, column.slice(start, i - start).to_pylist()
+            start, held = i, 0
+        held += n
+    if start < len(sizes):
+        yield start, column.slice(start).to_pylist()
+
+
 def worker_cache() -> dict:
     """A dict that lives as long as the Python worker (models and word caches
     survive from one task to the next; losing it only costs time)."""

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import column_slices
 from .tokens import encoder
 
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
@@ -71,10 +71,9 @@ def token_lengths(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: i
     def encode(batches):
         enc = encoder(tokenizer_path)
         for b in batches:
-            ids, texts, rows = (b.column(i).to_pylist() for i in range(3))
-            for lo, hi in slices(texts, 2 << 20):
-                got = [x + end for x in enc.encode([t or "" for t in texts[lo:hi]])]
-                out = [pa.array(ids[lo:hi], pa.int64()), pa.array(rows[lo:hi], pa.int64()),
+            for lo, texts in column_slices(b.column(1)):
+                got = [x + end for x in enc.encode([t or "" for t in texts])]
+                out = [b.column(0).slice(lo, len(got)), b.column(2).slice(lo, len(got)),
                        pa.array([len(x) // 4 for x in got], pa.int64()),
                        pa.array([[zlib.crc32(x[i:i + step]) for i in range(0, len(x), step)] for x in got],
                                 pa.list_(pa.int64()))]

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import column_slices
 from .tokens import encoder
 
 #: Fixed value of the record format (checksum masking).
@@ -103,11 +103,11 @@ def write_records(docs: DataFrame, path: str, tokenizer_path: str, end_id: int,
         enc = encoder(tokenizer_path)
         width = 2 if max(enc.tok.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
         for b in batches:
-            ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-            for lo, hi in slices(texts, 2 << 20):
-                got = enc.encode([t or "" for t in texts[lo:hi]])
+            ids = b.column(0).to_pylist()
+            for lo, texts in column_slices(b.column(1)):
+                got = enc.encode([t or "" for t in texts])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([frame(pack_ids(i, x + end, width))[:-1] for i, x in zip(ids[lo:hi], got)],
+                    [pa.array([frame(pack_ids(i, x + end, width))[:-1] for i, x in zip(ids[lo:], got)],
                               pa.binary())],  # the writer adds the record end
                     ["value"])
 

@@ -25,8 +25,8 @@ LAST = 0x24F
 PLAIN = re.compile(f"[\n -~¡-{chr(LAST)}]*")
 #: White space whose pieces depend on what stands around it.
 RUNS = re.compile(r"  | \n|\n\n[\n ]|\n\n\Z| \Z")
-#: Entries that each half of a memory holds before the older half is forgotten.
-CACHE_WORDS = 250_000
+#: Entries that each half of a memory of words, or of pieces, holds before the older half is forgotten.
+CACHE_WORDS, CACHE_PIECES = 250_000, 100_000
 
 
 def _class(kind: str) -> str:
@@ -51,9 +51,9 @@ def byte_letters() -> dict[int, str]:
 class Memory(dict):
     """Ids by word (or piece), made when first asked for; the half not used lately is forgotten."""
 
-    def __init__(self, make):
+    def __init__(self, make, most: int):
         super().__init__()
-        self.make, self.older = make, {}
+        self.make, self.most, self.older = make, most, {}
 
     def __missing__(self, word: str) -> bytes:
         ids = self.older.get(word)
@@ -63,7 +63,7 @@ class Memory(dict):
         return ids
 
     def trim(self) -> None:
-        if len(self) > CACHE_WORDS:
+        if len(self) > self.most:
             self.older = dict(self)
             self.clear()
 
@@ -80,8 +80,9 @@ class Encoder:
         self.by_word = (type(self.tok.pre_tokenizer).__name__ == "ByteLevel" and type(self.model).__name__ == "BPE"
                         and self.tok.normalizer is None and self.tok.post_processor is None)
         self.split, self.letters = piece_pattern().findall, byte_letters()
-        self.pieces = Memory(self._piece)
-        self.first, self.later = Memory(self._word), Memory(lambda w: self._word(" " + w))  # line starts, words behind a space
+        self.pieces = Memory(self._piece, CACHE_PIECES)
+        self.first = Memory(self._word, CACHE_PIECES)  # words at the start of a line
+        self.later = Memory(lambda w: self._word(" " + w), CACHE_WORDS)  # words behind a space
         self.newline = self._piece("\n") if self.by_word else b""
 
     def _whole(self, texts: list[str]) -> list[bytes]:
