@@ -23,10 +23,15 @@ from .common import worker_cache
 #: Characters whose class (letter, number, space, other) no Unicode version has changed.
 LAST = 0x24F
 PLAIN = re.compile(f"[\n -~¡-{chr(LAST)}]*")
-#: White space whose pieces depend on what stands around it.
-RUNS = re.compile(r"  | \n|\n\n[\n ]|\n\n\Z| \Z")
+#: White space whose pieces depend on what stands around it: inside a text, and at its end.
+RUNS, END_RUNS = ("  ", " \n", "\n\n\n", "\n\n "), ("\n\n", " ")
 #: Entries that each half of a memory of words, or of pieces, holds before the older half is forgotten.
-CACHE_WORDS, CACHE_PIECES = 250_000, 100_000
+CACHE_WORDS, CACHE_PIECES = 250_000, 160_000
+
+
+def simple(text: str) -> bool:
+    """Whether the ids of a text are those of its lines' words in a row."""
+    return not (any(x in text for x in RUNS) or text.endswith(END_RUNS)) and PLAIN.fullmatch(text) is not None
 
 
 def _class(kind: str) -> str:
@@ -112,7 +117,7 @@ class Encoder:
             return self._whole(texts)
         for memory in (self.first, self.later, self.pieces):
             memory.trim()
-        out = [None if not PLAIN.fullmatch(t) or RUNS.search(t) else self._lines(t) for t in texts]
+        out = [self._lines(t) if simple(t) else None for t in texts]
         if None in out:
             direct = iter(self._whole([t for t, x in zip(texts, out) if x is None]))
             out = [next(direct) if x is None else x for x in out]
