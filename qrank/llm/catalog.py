@@ -66,11 +66,18 @@ def conversation_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     return calls, results
 
 
+def conversation_messages(conversations: DataFrame) -> DataFrame:
+    """The turns that :func:`conversation_calls` leaves: every role but user and assistant, null too."""
+    return conversations.where("role is null or role not in ('user', 'assistant')").select(
+        "conv_id", "turn", "role", F.col("text").alias("content"))
+
+
 @query
 def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    calls, results = conversation_calls(table(spark, sf_dir, "conversations"))
+    conversations = table(spark, sf_dir, "conversations")
+    calls, results = conversation_calls(conversations)
     tools = spark.createDataFrame(TOOLS, "name string, field string, type string, required boolean, low double, high double")
-    out = chat.format_chat(calls, results, tools)
+    out = chat.format_chat(calls, results, tools, conversation_messages(conversations))
     return out.select("conv_id", "position", "kind", "call_id", F.col("turn").cast("long").alias("turn"), "depth", "status",
                       "errors", F.md5(F.col("record").cast("binary")).alias("record_md5"))
 
