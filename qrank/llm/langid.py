@@ -3,25 +3,30 @@
 Texts become byte n-grams of 2 to 4 bytes inside space-padded words, hashed to
 buckets.  The model averages bucket embeddings over a text and applies a linear
 softmax; it is trained by stochastic gradient descent in numpy on a bounded
-sample of labelled rows.  Since both steps are linear, scoring needs only one
-table of class scores per bucket (buckets x languages, a fixed size).
+sample of pieces of every language's labelled rows.  Both steps are linear, so
+with few languages scoring needs only one table of class scores per bucket;
+with more than ``DIM`` it averages the embeddings, whose size is fixed.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import broadcast_if_small, materialize, slices
 
 BUCKETS, DIM = 1 << 16, 16
-#: Bounds of the training sample: expected rows per language, languages, bytes of one training piece, pieces.
-PER_LANG, MAX_LANGS, PIECE, MAX_PIECES = 400, 64, 240, 24_000
+#: Training sample: expected rows per language, bytes of a piece (at most twice as many), pieces aimed at over all
+#: languages and the least and most of them per language, rows from which a fifth of a language only calibrates.
+PER_LANG, PIECE, PIECES, MIN_PIECES, MAX_PIECES, CALIBRATE = 400, 240, 24_000, 256, 4_000, 10
+#: Temperatures that calibration tries.
+WARMTHS = np.geomspace(0.02, 20, 61)
 #: ASCII letters lower-cased, bytes of non-ASCII characters as they are, all else a space.
 TABLE = bytes(b if b >= 128 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 ASCII_LETTER = re.compile(rb"[A-Za-z]")
@@ -61,16 +66,20 @@ def ngrams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 @dataclass
 class Model:
     langs: list[str]
-    table: np.ndarray  # (BUCKETS, languages): class scores of a bucket
+    table: np.ndarray  # (BUCKETS, languages): class scores of a bucket; with ``out`` (BUCKETS, DIM): embeddings
     bias: np.ndarray
+    out: np.ndarray | None = None  # (DIM, languages)
     warmth: float = 1.0
     cut: float = 0.0
 
     def logits(self, texts: list[bytes]) -> np.ndarray:
         b, t = ngrams(texts)
         n = np.maximum(np.bincount(t, minlength=len(texts)), 1)
-        score = np.column_stack([np.bincount(t, c[b], len(texts)) for c in self.table.T])
-        return score / n[:, None] + self.bias
+        score = np.column_stack([np.bincount(t, c[b], len(texts)) for c in self.table.T]) / n[:, None]
+        return (score if self.out is None else score @ self.out) + self.bias
+
+    def rows_at_once(self) -> int:
+        return max(1, (1 << 20) // max(1, len(self.langs)))
 
     def predict(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(language number, calibrated probability) of each text."""
@@ -82,34 +91,39 @@ class Model:
 
 
 def pieces_of(text: bytes, size: int = PIECE) -> list[bytes]:
-    """A text cut at spaces into pieces of about ``size`` bytes."""
+    """A text cut at spaces into pieces of ``size`` to twice as many bytes (the last: fewer);
+    words of more bytes are cut between characters."""
     words, out, held, n = text.split(), [], [], 0
     for w in words:
-        held.append(w)
-        n += len(w) + 1
-        if n >= size:
-            out.append(b" ".join(held))
-            held, n = [], 0
+        at = 0
+        while at < len(w):
+            end = min(len(w), at + size)
+            while at + size - 4 < end < len(w) and w[end] & 0xC0 == 0x80:
+                end -= 1
+            held.append(w[at:end])
+            n += end - at + 1
+            at = end
+            if n >= size:
+                out.append(b" ".join(held))
+                held, n = [], 0
     return out + [b" ".join(held)] * (n > 0)
 
 
-def train(texts: list[bytes], langs: list[str], epochs: int = 4, rate: float = 2.0, batch: int = 32, seed: int = 5) -> Model:
-    """Fit on whole texts cut into pieces; a fifth of the texts only calibrates."""
+def train(pieces: list[bytes], langs: list[str], seen: int = 24_000, rate: float = 2.0, batch: int = 32, seed: int = 5) -> Model:
+    """Fit on pieces of texts, all of them: four times, or more often until ``seen`` pieces have passed (at most 60 times)."""
     names = sorted(set(langs))
     number = {x: i for i, x in enumerate(names)}
     if len(names) < 2:
         return Model(names, np.zeros((BUCKETS, len(names)), np.float32), np.zeros(len(names)))
     rng = np.random.default_rng(seed)
-    y = np.array([number[x] for x in langs])
-    hold = np.arange(len(y)) % 5 == 4
-    if len(set(y[~hold])) < len(names):
-        hold[:] = False
-    cut = [(p, k) for t, k, h in zip(texts, y, hold) if not h for p in pieces_of(t)]
-    cut = [cut[i] for i in rng.permutation(len(cut))[:MAX_PIECES]]
+    cut = [(p, number[x]) for p, x in sorted(zip(pieces, langs))]
+    epochs = max(4, min(60, seen // len(cut)))
     emb = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM)).astype(np.float32)
     out, bias = np.zeros((DIM, len(names)), np.float32), np.zeros(len(names), np.float32)
     share = np.bincount([k for _, k in cut], minlength=len(names))
-    weight = (len(cut) / (len(names) * np.maximum(share, 1))).clip(max=20).astype(np.float32)
+    weight = (len(cut) / (len(names) * np.maximum(share, 1))).astype(np.float32)
+    cut = [x for x in cut for _ in range(int(weight[x[1]].clip(1, 20)))]  # rare languages: repeats, as large weights diverge
+    weight = weight.clip(max=1)
     steps = max(1, epochs * -(-len(cut) // batch))
     step = 0
     for _ in range(epochs):
@@ -131,26 +145,25 @@ def train(texts: list[bytes], langs: list[str], epochs: int = 4, rate: float = 2
             bias -= lr * p.sum(axis=0)
             np.add.at(emb, b, -(lr * len(some)) * back[t])
             step += 1
-    model = Model(names, (emb @ out).astype(np.float32), bias.astype(float))
-    if hold.any():
-        calibrate(model, [t for t, h in zip(texts, hold) if h], y[hold])
-    return model
+    if len(names) > DIM:
+        return Model(names, emb, bias.astype(float), out)
+    return Model(names, (emb @ out).astype(np.float32), bias.astype(float))
 
 
-def calibrate(model: Model, texts: list[bytes], y: np.ndarray) -> None:
-    """Temperature with the least log loss, and the rejection cut: the score that
-    all but one in a hundred right predictions reach."""
+def trials(model: Model, texts: list[bytes], y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(log loss, probability of the best class) by text and ``WARMTHS``, and whether the best class is right."""
     z = model.logits(texts)
+    z -= z.max(axis=1, keepdims=True)
+    whole = np.column_stack([np.log(np.exp(z / w).sum(axis=1)) for w in WARMTHS])
+    return whole - z[np.arange(len(y)), y][:, None] / WARMTHS, np.exp(-whole), z.argmax(axis=1) == y
 
-    def loss(w: float) -> float:
-        q = z / w
-        q = q - q.max(axis=1, keepdims=True)
-        return float(-(q[np.arange(len(y)), y] - np.log(np.exp(q).sum(axis=1))).mean())
 
-    model.warmth = float(min(np.geomspace(0.02, 20, 61), key=loss))
-    best, p = model.predict(texts)
-    right = p[best == y]
-    model.cut = float(np.quantile(right, 0.01)) if len(right) else 1.0
+def calibrate(model: Model, loss: np.ndarray, best: np.ndarray, right: np.ndarray) -> None:
+    """Temperature with the least log loss, and the rejection cut: the score that
+    all but one in a hundred right predictions reach."""
+    i = int(loss.mean(axis=0).argmin())
+    model.warmth = float(WARMTHS[i])
+    model.cut = float(np.quantile(best[right, i], 0.01)) if right.any() else 1.0
 
 
 def fold(id_col) -> F.Column:
@@ -158,36 +171,87 @@ def fold(id_col) -> F.Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % 3
 
 
-def training_rows(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> list:
-    """A bounded sample: about ``PER_LANG`` rows per language, chosen by id hash, outside the held-out fold."""
-    rows = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull() & (fold(id_col) != 1))
-    sizes = {r[0]: r[1] for r in rows.groupBy(F.col(lang_col).cast("string")).count()
-             .orderBy(F.desc("count"), F.col(lang_col).cast("string")).limit(MAX_LANGS).collect()}
-    if not sizes:
-        return []
-    part = F.element_at(F.create_map(*(F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, PER_LANG / n)))),
-                        F.col(lang_col).cast("string"))
-    u = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit(17)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return (rows.where(F.col(lang_col).cast("string").isin(list(sizes)) & (u < part))
-            .select(F.col(text_col).cast("binary").alias("t"), F.col(lang_col).cast("string").alias("lang"))
-            .orderBy(F.xxhash64("t", "lang")).limit(2 * PER_LANG * len(sizes)).collect())
+def training_rows(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+    """A written sample (t, lang, take, only) of every language's rows outside the held-out fold.
+
+    Of a language's distinct rows with a letter about ``PER_LANG`` (fewer with many languages) are chosen by hash of id and
+    text, all if it has no more.  ``take``: pieces to draw from a row, so that few rows give as many pieces as many do;
+    ``only``: the row only calibrates.
+    """
+    t, lang = F.col(text_col).cast("binary"), F.col(lang_col).cast("string")
+    rows = docs.where(F.col(text_col).isNotNull() & lang.isNotNull() & (fold(id_col) != 1) & F.col(text_col).cast("string").rlike(r"\p{L}")) \
+        .select(t.alias("t"), lang.alias("lang"), F.xxhash64(F.col(id_col).cast("string"), t, F.lit(17)).alias("_h"))
+    sizes = materialize(rows.groupBy("lang").agg(F.approx_count_distinct("_h").alias("_n")), "languages")
+    n = sizes.count()
+    pieces = min(MAX_PIECES, max(MIN_PIECES, PIECES // max(1, n)))
+    want = min(PER_LANG, pieces)
+    u = F.pmod("_h", F.lit(1 << 30)) / F.lit(float(1 << 30))
+    only = (F.col("_n") >= CALIBRATE) & (F.pmod(F.xxhash64("_h"), F.lit(5)) == 4)
+    some = (rows.join(broadcast_if_small(sizes, 100_000), "lang").where(u * F.col("_n") < want)
+            .select("t", "lang", F.ceil(F.lit(float(pieces)) / F.least("_n", F.lit(want))).cast("int").alias("take"), only.alias("only")))
+    return materialize(some, "sample")
+
+
+def sampled_pieces(sample: DataFrame) -> tuple[list[bytes], list[str]]:
+    """Distinct pieces with a letter, ``take`` by hash from each row that does not only calibrate, and their languages."""
+
+    def run(batches):
+        from xxhash import xxh64_intdigest
+
+        for b in batches:
+            for t, lang, take in zip(*(c.to_pylist() for c in b.columns)):
+                some = [p for p in set(pieces_of(t)) if has_letter(p)]
+                some = heapq.nsmallest(take, some, key=lambda p: (xxh64_intdigest(p, 3), p))
+                for i in range(0, len(some), 4096):
+                    part = some[i:i + 4096]
+                    yield pa.RecordBatch.from_arrays([pa.array(part, pa.binary()), pa.array([lang] * len(part), pa.string())], ["p", "lang"])
+
+    got = sample.where(~F.col("only")).select("t", "lang", "take").mapInArrow(run, "p binary, lang string").distinct().toArrow()
+    return got["p"].to_pylist(), got["lang"].to_pylist()
+
+
+def calibrated(model: Model, sample: DataFrame) -> Model:
+    """``model`` calibrated on the whole texts of the sample's other rows, which stay on the executors."""
+    shared = sample.sparkSession.sparkContext.broadcast(astuple(model))
+
+    def run(batches):
+        m = Model(*shared.value)
+        number = {x: i for i, x in enumerate(m.langs)}
+        for b in batches:
+            known = [(t, x) for t, x in zip(*(c.to_pylist() for c in b.columns)) if x in number]
+            texts, langs = [t for t, _ in known], [x for _, x in known]
+            for lo, hi in slices(texts, 1 << 20):
+                for i in range(lo, hi, m.rows_at_once()):
+                    j = min(hi, i + m.rows_at_once())
+                    loss, best, right = trials(m, texts[i:j], np.array([number[x] for x in langs[i:j]]))
+                    yield pa.RecordBatch.from_arrays([pa.array(list(loss), pa.list_(pa.float64())), pa.array(list(best), pa.list_(pa.float64())),
+                                                      pa.array(right)], ["loss", "best", "right"])
+
+    got = (sample.where("only").select("t", "lang").mapInArrow(run, "loss array<double>, best array<double>, right boolean").toArrow())
+    if len(got):
+        loss, best = (np.array(got[c].to_pylist()) for c in ("loss", "best"))
+        calibrate(model, loss, best, got["right"].to_numpy())
+    return model
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """(doc_id, held_out, lang_pred, score, rejected) of each row of ``docs``.
 
-    Learns from text and non-null ``lang_col`` of rows whose crc32(id as text)
-    mod 3 is not 1; predicts from the text alone.  lang_pred is a learned
+    Learns every non-null ``lang_col`` value that a text with a letter carries
+    in a row whose crc32(id as text) mod 3 is not 1, however many values there
+    are, from a sample of pieces of each (see :func:`training_rows`); predicts
+    from the text alone.  lang_pred is a learned
     value, or ``und`` (score 0) if the text is null or has no letter or nothing
     was learned.  score: the calibrated probability of lang_pred.  rejected:
     the score is below the calibrated cut, or lang_pred is ``und``.  A null id
     is in no fold: never held out, never learned from.  With one language it is
     always predicted.  Repeated rows each get a row; other columns are unread.
     """
-    rows = training_rows(docs, id_col, text_col, lang_col)
-    model = train([bytes(r.t) for r in rows], [r.lang for r in rows])
-    parts = (model.langs, model.table, model.bias, model.warmth, model.cut)
-    shared = docs.sparkSession.sparkContext.broadcast(parts)  # 256 KB per language, at most MAX_LANGS
+    sample = training_rows(docs, id_col, text_col, lang_col)
+    model = train(*sampled_pieces(sample))
+    if len(model.langs) > 1:
+        model = calibrated(model, sample)
+    shared = docs.sparkSession.sparkContext.broadcast(astuple(model))  # at most 4 MB, and 72 bytes per language
 
     def run(batches):
         m = Model(*shared.value)
@@ -197,9 +261,10 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
             lang, score = np.full(len(texts), "und", object), np.zeros(len(texts))
             for lo, hi in slices(texts, 1 << 20):
                 some = [i for i in range(lo, hi) if m.langs and texts[i] is not None and has_letter(texts[i])]
-                if some:
-                    best, p = m.predict([texts[i] for i in some])
-                    lang[some], score[some] = names[best], p
+                for k in range(0, len(some), m.rows_at_once()):
+                    part = some[k:k + m.rows_at_once()]
+                    best, p = m.predict([texts[i] for i in part])
+                    lang[part], score[part] = names[best], p
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(lang, pa.string()), pa.array(np.clip(score, 0, 1)),
                  pa.array((score < m.cut) | (lang == "und"))], ["doc_id", "held_out", "lang_pred", "score", "rejected"])

@@ -217,6 +217,33 @@ def test_ngrams_by_brute_force():
     assert len(b) == len(t) == want and b.max() < langid.BUCKETS
 
 
+def test_every_language_is_learned(spark):
+    import random
+    rng = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    names = [f"l{i:02d}" for i in range(80)]
+    parts = {x: ["".join(rng.choices(letters, k=3)) for _ in range(4)] for x in names}
+    say = lambda x, n: " ".join("".join(rng.choices(parts[x], k=2)) for _ in range(n))
+    rows = [(i, say(names[i % 80], 25), names[i % 80]) for i in range(1600)]
+    rows += [(i, say("l00", 15_000), "l00") for i in range(1600, 1660)]  # one language with very long texts
+    got = langid.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(8)).collect()
+    assert {r.lang_pred for r in got} == set(names)
+    want = {i: x for i, _, x in rows}
+    assert sum(r.lang_pred == want[r.doc_id] for r in got) >= 0.97 * len(rows)
+
+
+def test_pieces_are_bounded_and_from_all_of_a_text(spark):
+    text = "é" * 5000 + " word" * 3000
+    some = langid.pieces_of(text.encode())
+    assert max(map(len, some)) < 2 * langid.PIECE and b"".join(some).replace(b" ", b"") == text.replace(" ", "").encode()
+    assert all(p.decode() for p in some)
+    rows = [(i, " ".join(f"w{j}x{i}" for j in range(30_000)), "en") for i in range(30)]
+    sample = langid.training_rows(spark.createDataFrame(rows, "doc_id long, text string, lang string"), "doc_id", "text", "lang")
+    pieces, langs = langid.sampled_pieces(sample)
+    assert set(langs) == {"en"} and 1000 < len(pieces) <= langid.MAX_PIECES + 30
+    assert max(int(p.split()[-1][1:].split(b"x")[0]) for p in pieces) > 25_000
+
+
 # ------------------------------------------------------------ licences
 def brute_licences(text, templates):
     words = licences.words_of((text or "").encode())
