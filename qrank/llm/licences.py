@@ -9,6 +9,8 @@ A window with 0.8 of the template has a Jaccard similarity of at least
 With ``BANDS`` = 128 bands of one row a window meets its template with
 probability 1 - (1 - J)^128, over 0.9997 at J = 1/16, and each place lies in
 two windows.  Every window so found is then compared shingle for shingle.
+Notices of neighbouring versions share most of their shingles, so each place
+of a text counts for one notice only, the one of which it has most.
 """
 
 from __future__ import annotations
@@ -48,11 +50,79 @@ TEMPLATES = {
     "Unlicense": ["This is free and unencumbered software released into the public domain."],
 }
 
+_GNU = ("This {what} is free software; you can redistribute it and/or modify it under the terms of the GNU {kind}General Public "
+        "License as published by the Free Software Foundation; ")
+_BSD = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of "
+        "conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, "
+        "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+        "distribution.")
+_MIT = (TEMPLATES["MIT"][1] + ", including without limitation the rights to use, copy, modify, merge, publish, distribute, "
+        "sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so")
+_CC = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial", "BY-ND": "Attribution-NoDerivs",
+       "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivs"}
+
+
+def _gnu_notices() -> dict[str, list[str]]:
+    """Headers and one-line notices of the GNU licences, "or later" and of one version."""
+    out: dict[str, list[str]] = {"GPL-1.0-or-later": [_GNU.format(what="program", kind="")
+                                                      + "either version 1, or (at your option) any later version."]}
+    for short, kind, version in (("GPL", "", "2.0"), ("GPL", "", "3.0"), ("LGPL", "Library ", "2.0"), ("LGPL", "Lesser ", "2.1"),
+                                 ("LGPL", "Lesser ", "3.0"), ("AGPL", "Affero ", "3.0")):
+        v = version.removesuffix(".0")
+        name, later = f"{short}-{version}", f"{short}-{version}-or-later"
+        for what in ("program", "library") if short == "LGPL" else ("program",):
+            head = _GNU.format(what=what, kind=kind)
+            out.setdefault(later, []).append(head + f"either version {v} of the License, or (at your option) any later version.")
+            out.setdefault(name, []).extend([head + f"version {v}.", head + f"version {v} of the License."])
+        out[name] += [f"This work is licensed under the GNU {kind}General Public License, version {v}.",
+                      f"you can redistribute it and/or modify it under the terms of the GNU {kind}General Public License version {v} "
+                      "as published by the Free Software Foundation"]
+    return out
+
+
+def _cc_notices() -> dict[str, list[str]]:
+    out: dict[str, list[str]] = {}
+    for code, words in _CC.items():
+        for version, area in (("3.0", "Unported"), ("4.0", "International")):
+            w = words.replace("NoDerivs", "NoDerivatives") if version == "4.0" else words
+            out[f"CC-{code}-{version}"] = [f"Licensed under CC {code} {version}.",
+                                           f"This work is licensed under a Creative Commons {w} {version} {area} License."]
+    return out
+
+
+def _merged(*parts: dict[str, list[str]]) -> dict[str, list[str]]:
+    out: dict[str, list[str]] = {}
+    for part in parts:
+        for name, texts in part.items():
+            have = out.setdefault(name, [])
+            have += [t for t in texts if words_of(t.encode()) not in [words_of(x.encode()) for x in have]]
+    return out
+
 
 def words_of(text: bytes) -> list[bytes]:
     return WORD.findall(text.translate(LOWER))
 
 
+#: What is sought: ``TEMPLATES`` and their neighbours, the other versions and variants and the longer notices.
+NOTICES = _merged(TEMPLATES, _gnu_notices(), _cc_notices(), {
+    "0BSD": [TEMPLATES["ISC"][0] + ". THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO "
+             "THIS SOFTWARE"],
+    "Apache-1.1": ["Licensed under the Apache License, Version 1.1."],
+    "BSD-2-Clause": [_BSD],
+    "BSD-3-Clause": [_BSD + " 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse "
+                     "or promote products derived from this software without specific prior written permission."],
+    "CC0-1.0": ["To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to "
+                "this software to the public domain worldwide.", "Licensed under CC0 1.0 Universal."],
+    "ISC": [TEMPLATES["ISC"][0] + ", provided that the above copyright notice and this permission notice appear in all copies."],
+    "MIT": [_MIT + ", subject to the following conditions: The above copyright notice and this permission notice shall be included "
+            "in all copies or substantial portions of the Software."],
+    "MIT-0": [_MIT + ". THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND"],
+} | {f"MPL-{v}": [f"The contents of this file are subject to the Mozilla Public License Version {v} (the \"License\"); you may not use "
+                  "this file except in compliance with the License. You may obtain a copy of the License at "
+                  "http://www.mozilla.org/MPL/"] for v in ("1.0", "1.1")})
+
+
 def shingles_of(words: list[bytes]) -> list[tuple[bytes, ...]]:
     """Word 5-shingles; a shorter text is one shingle; no word, none."""
     return list(zip(*(words[i:] for i in range(SHINGLE)))) or ([tuple(words)] if words else [])
@@ -89,7 +159,7 @@ class Scanner:
 
     def __init__(self, templates: dict[str, list[str]]):
         self.mul, self.add = permutations()
-        self.items = []  # (licence, shingle set)
+        self.items = []  # (licence, shingle set, shingles)
         sizes: dict[int, list[int]] = {}
         mins = []
         for name in sorted(templates):
@@ -102,7 +172,7 @@ class Scanner:
                 while BLOCK << level < len(shingles_of(words)):
                     level += 1
                 sizes.setdefault(level, []).append(len(self.items))
-                self.items.append((name, some))
+                self.items.append((name, some, len(shingles_of(words))))
                 h = shingle_hashes(words, {})
                 mins.append((h[:, None] * self.mul + self.add).min(axis=0))
         self.levels = sorted(sizes.items())
@@ -141,27 +211,72 @@ class Scanner:
         found: list[dict[str, float]] = [{} for _ in texts]
         if not some or not self.items:
             return found
+        by_doc: dict[int, list[tuple[int, int, int]]] = {}
         for d, at, size, i in self.candidates([shingle_hashes(words[k], known) for k in some]):
-            name, template = self.items[i]
-            have = set(shingles_of(words[some[d]][at:at + size + SHINGLE - 1]))
-            share = len(template & have) / len(template)
-            if share >= CONTAINED and share > found[some[d]].get(name, 0):
-                found[some[d]][name] = share
+            by_doc.setdefault(some[d], []).append((at, size, i))
+        for k, places in by_doc.items():
+            found[k] = self.chosen(words[k], places)
         return found
 
+    def chosen(self, words: list[bytes], places: list[tuple[int, int, int]]) -> dict[str, float]:
+        """Licence -> best containment among ``places`` (first shingle, window, template) of one text.
+
+        The best match goes first (by shingles found in its tightest place, then by containment: a damaged "or later" header
+        holds a higher share of the shorter one without) and takes the shingles of that place; another match counts if its
+        window holds 0.8 of its template without taken shingles.  Equally good matches all count: nothing tells them apart.
+        """
+        ranked: dict[tuple[int, float], list[tuple[str, float, set, list, int, int, int]]] = {}
+        for at, size, i in sorted(places):
+            name, template, length = self.items[i]
+            window = shingles_of(words[at:at + size + SHINGLE - 1])
+            share = len(template & set(window)) / len(template)
+            if share >= CONTAINED:
+                first, most = tightest([x if x in template else None for x in window], length)
+                ranked.setdefault((most, most / len(template)), []).append((name, share, template, window, at, at + first, length))
+        taken: set[int] = set()
+        best: dict[str, float] = {}
+        names = set()
+        for key in sorted(ranked, reverse=True):
+            taking: set[int] = set()
+            for name, share, template, window, at, first, length in ranked[key]:
+                best[name] = max(best.get(name, 0), share)
+                free = {x for j, x in enumerate(window, at) if j not in taken}
+                if len(template & free) / len(template) >= CONTAINED:
+                    names.add(name)
+                    taking.update(range(first, first + length))
+            taken |= taking
+        return {x: best[x] for x in names}
+
+
+def tightest(hits: list, length: int) -> tuple[int, int]:
+    """Start of the first stretch of ``length`` entries with the most distinct ones but None, and how many."""
+    held: dict = {}
+    start, most = 0, -1
+    for j in range(len(hits)):
+        if hits[j] is not None:
+            held[hits[j]] = held.get(hits[j], 0) + 1
+        if j >= length and hits[j - length] is not None:
+            held[hits[j - length]] -= 1
+            if not held[hits[j - length]]:
+                del held[hits[j - length]]
+        if len(held) > most:
+            start, most = max(0, j - length + 1), len(held)
+    return start, most
+
 
 def scan_licences(docs: DataFrame, templates: dict[str, list[str]] | None = None, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
     """(doc_id, n_licences, licences, containment) of each row of ``docs``.
 
     licences: identifiers of the templates that a window contains to 0.8 or
-    more by word 5-shingles, sorted and comma-joined (none: empty);
-    containment: the best of them (none: 0).  Null, empty and wordless texts
+    more by word 5-shingles, at each place of the text the one with most shingles there,
+    sorted and comma-joined (none: empty); containment: the best of them
+    (none: 0).  Without ``templates`` the scan seeks ``NOTICES``.  Null, empty and wordless texts
     match nothing.  Repeated rows each get a row, null ids too; other columns
     are not read.  ``templates`` travels to the tasks and is the caller's
     bounded query set.
     """
-    chosen = TEMPLATES if templates is None else templates
+    chosen = NOTICES if templates is None else templates
 
     def run(batches):
         scanner, known = Scanner(chosen), {}
