@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, langid, licences, lines, packing, records, resample, rules, simhash
+from . import chat, decontam, langid, licences, lines, packing, records, resample, rules, simhash, trie, vafile
 from .common import shared_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -230,6 +230,71 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan_licences(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vafile.top_k(table(spark, sf_dir, "embeddings"), k=20, every=20)
+
+
+ORACLES["op11_exact_topk"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM pairs QUALIFY rank <= 20
+"""
+
+#: Entry n of the byte table of crc32, for SQL that computes it.
+CRC_TABLE = """SELECT list_transform(range(256), lambda n: list_reduce([0, 0, 0, 0, 0, 0, 0, 0],
+         lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n)) AS t"""
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+ORACLES["op12_prefix_trie"] = f"""
+WITH tab AS ({CRC_TABLE}),
+ids AS (SELECT DISTINCT conv_id AS c FROM conversations WHERE conv_id IS NOT NULL),
+heads AS (
+  SELECT c, c - c % 5 AS base, xor(list_reduce(list_transform(str_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+         lambda r, b: xor(r >> 8, t[xor(r & 255, b) + 1]), 4294967295), 4294967295) % 9 AS h
+  FROM ids, tab),
+placed AS (
+  SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS x,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i
+  FROM conversations WHERE conv_id IS NOT NULL),
+rebuilt AS (
+  SELECT heads.c, 0 AS part, i, r, x FROM heads JOIN placed p ON p.c = heads.base AND i <= h
+  UNION ALL
+  SELECT heads.c, 1, i, r, x FROM heads JOIN placed p ON p.c = heads.c AND i > h),
+turns AS (
+  SELECT c, row_number() OVER (PARTITION BY c ORDER BY part, i) AS d, md5(CAST(to_json([r, x]) AS VARCHAR)) AS turn, strlen(x) AS bytes
+  FROM rebuilt),
+member AS (
+  SELECT c, d, md5(string_agg(turn, ',') OVER (PARTITION BY c ORDER BY d)) AS k, bytes FROM turns
+  UNION ALL
+  SELECT c, 0, '', 0 FROM ids),
+node AS (SELECT d, k, min(c) AS conv_id, count(*) AS n_convs, min(bytes) AS bytes FROM member GROUP BY d, k),
+up AS (SELECT DISTINCT m.d, m.k, p.k AS pk FROM member m JOIN member p ON p.c = m.c AND p.d = m.d - 1),
+kids AS (SELECT d - 1 AS d, pk AS k, count(*) AS n_children FROM up GROUP BY ALL),
+below AS (SELECT DISTINCT a.d, a.k, b.d AS bd, b.k AS bk FROM member a JOIN member b ON a.c = b.c AND b.d >= a.d),
+totals AS (
+  SELECT below.d, below.k, count(*) FILTER (WHERE n_children IS NULL) AS n_leaves, sum((n_convs - 1) * bytes) AS saved_tokens
+  FROM below JOIN node ON node.d = bd AND node.k = bk LEFT JOIN kids ON kids.d = bd AND kids.k = bk GROUP BY ALL),
+ends AS (
+  SELECT d, k, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c)) AS ends_sha256
+  FROM (SELECT c, max(d) AS d, arg_max(k, d) AS k FROM member GROUP BY c) GROUP BY d, k)
+SELECT n.conv_id, n.d AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children,
+       n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, coalesce(ends_sha256, sha256('')) AS ends_sha256
+FROM node n JOIN totals USING (d, k) LEFT JOIN kids USING (d, k) LEFT JOIN ends USING (d, k)
+LEFT JOIN up USING (d, k) LEFT JOIN node p ON p.d = n.d - 1 AND p.k = up.pk
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
