@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, langid, licences, lines, packing, records, resample, rules, simhash, trie, vafile
+from . import chat, decontam, langid, licences, lines, packing, records, resample, rules, simhash, spelling, trie, vafile
 from .common import shared_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -295,6 +295,51 @@ LEFT JOIN up USING (d, k) LEFT JOIN node p ON p.d = n.d - 1 AND p.k = up.pk
 """
 
 
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variant_groups(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_spelling_variants"] = f"""
+WITH RECURSIVE tab AS ({CRC_TABLE}),
+runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM documents WHERE text IS NOT NULL),
+counted AS (
+  SELECT run, count(*) AS n, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS hx
+  FROM runs WHERE length(run) >= 7 GROUP BY doc_id, run),
+hashed AS (
+  SELECT run, n, xor(list_reduce(list_transform(range(CAST(length(hx) / 2 AS BIGINT)), lambda i: CAST('0x' || substr(hx, 2 * i + 1, 2) AS BIGINT)),
+         lambda r, b: xor(r >> 8, t[xor(r & 255, b) + 1]), 4294967295), 4294967295) AS h
+  FROM counted, tab),
+vocabulary AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n
+  FROM (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM hashed)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+cut AS (
+  SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+  FROM (SELECT word, n, unnest(range(length(word))) AS i FROM vocabulary)),
+near AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION
+  SELECT a.word, v.word, v.n FROM cut a JOIN vocabulary v ON a.rest = v.word
+  UNION
+  SELECT v.word, a.word, a.n FROM cut a JOIN vocabulary v ON a.rest = v.word),
+ranked AS (
+  SELECT word, near, near_n, count(*) OVER (PARTITION BY word) AS n_near,
+         row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) AS place FROM near),
+formed AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 10 * v.n THEN near END AS form,
+         CASE WHEN near_n >= 10 * v.n THEN near_n END AS form_n
+  FROM vocabulary v LEFT JOIN ranked r ON r.word = v.word AND place = 1),
+chain AS (
+  SELECT word, word AS root FROM formed WHERE form IS NULL
+  UNION ALL
+  SELECT f.word, c.root FROM chain c JOIN formed f ON f.form = c.word)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN chain USING (word)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

@@ -121,7 +121,7 @@ def search_block(q: np.ndarray, x: np.ndarray, code: np.ndarray, marks: np.ndarr
     descending order of the upper bounds, until no unread bound reaches the
     ``k``-th best score.
     """
-    width = np.arange(x.shape[1])
+    width, code = np.arange(x.shape[1]), code.astype(np.intp)
     low, high = marks[width, code], np.maximum(marks[width, code + 1] - 1, marks[width, code])
     middle, half = (low + high) / 2, (high - low) / 2
     least = np.iinfo(np.int64).min

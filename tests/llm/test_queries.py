@@ -16,7 +16,7 @@ pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="driver tables no
 @pytest.mark.parametrize("name", sorted(catalog.ORACLES))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "labels", "conversations"):
+    for t in ("documents", "benchmark", "labels", "conversations", "embeddings"):
         con.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
     assert rows_of(catalog.QUERIES[name](spark, SF).toPandas()) == rows_of(con.sql(catalog.ORACLES[name]).df())
 
