@@ -473,6 +473,52 @@ def _prefs_ctes(single_judge: bool) -> list[tuple[str, str]]:
     ]
 
 
+def _closed_ctes() -> list[tuple[str, str]]:
+    """The counts of :func:`_prefs_ctes` for judge groups with several sub-groups: the
+    closure of all document pairs, by recursion."""
+    base = dict(_prefs_ctes(False))
+    return [
+        ("qp", "select qid, jg, jsg, docno, rel_level from prefs"),
+        *((n, base[n]) for n in ("rx", "jd", "rr", "tp")),
+        ("direct", """select distinct a.qid, a.jg, a.docno as a, b.docno as b from qp a join qp b
+  on a.qid = b.qid and a.jg = b.jg and a.jsg = b.jsg and a.rel_level > b.rel_level"""),
+        ("closed", """select qid, jg, a, b from direct union
+  select c.qid, c.jg, c.a, d.b from closed c join direct d on c.qid = d.qid and c.jg = d.jg and c.b = d.a"""),
+        ("docs", """select t.run_id, p.qid, p.jg, p.docno, p.rel_level, rr.rank
+  from tp t join (select distinct qid, jg, docno, rel_level from qp) p on t.qid = p.qid
+  left join rr on rr.run_id = t.run_id and rr.qid = p.qid and rr.docno = p.docno"""),
+        ("pairs", """select t.run_id, c.qid, c.jg, c.a, c.b, x.rank as ra, y.rank as rb from tp t join closed c on t.qid = c.qid
+  left join rr x on x.run_id = t.run_id and x.qid = c.qid and x.docno = c.a
+  left join rr y on y.run_id = t.run_id and y.qid = c.qid and y.docno = c.b"""),
+        ("cnt0", base["cnt0"]), ("cnt1", base["cnt1"]),
+        ("gi", """select run_id, qid, jg,
+  count(*) filter (where rel_level > 0) as num_rel, count(*) filter (where rel_level > 0 and rank is not null) as num_rel_ret,
+  count(*) filter (where rel_level = 0) as num_nonrel, count(*) filter (where rel_level = 0 and rank is not null) as num_nonrel_ret
+  from docs group by run_id, qid, jg"""),
+        ("kept", """select d.run_id, d.qid, d.jg, d.docno from (
+    select *, count(*) filter (where rel_level = 0) over (partition by run_id, qid, jg order by rank is null, rank, docno) as zeros from docs) d
+  join gi g on d.run_id = g.run_id and d.qid = g.qid and d.jg = g.jg where d.rel_level <> 0 or d.zeros <= g.num_rel"""),
+        ("rn", """select p.run_id, p.qid, p.jg,
+  count(*) filter (where ra is not null and (rb is null or ra < rb)) as f, count(*) as p,
+  count(*) filter (where ra < rb) as fr, count(*) filter (where ra is not null and rb is not null) as pr
+  from pairs p join kept x on x.run_id = p.run_id and x.qid = p.qid and x.jg = p.jg and x.docno = p.a
+  join kept y on y.run_id = p.run_id and y.qid = p.qid and y.jg = p.jg and y.docno = p.b group by p.run_id, p.qid, p.jg"""),
+        ("cnt", """select c.*, g.num_rel, g.num_rel_ret, g.num_nonrel, g.num_nonrel_ret,
+  case when g.num_rel >= g.num_nonrel then c.ful_ret + c.ful_imp + g.num_rel_ret * (g.num_rel - g.num_nonrel) else coalesce(r.f, 0) end as rn_ful,
+  case when g.num_rel >= g.num_nonrel then c.poss_ret + c.poss_imp + c.notoccur + g.num_rel * (g.num_rel - g.num_nonrel) else coalesce(r.p, 0) end as rn_poss,
+  case when g.num_rel_ret >= g.num_nonrel_ret then c.ful_ret + g.num_rel_ret * (g.num_rel_ret - g.num_nonrel_ret) else coalesce(r.fr, 0) end as rr_ful,
+  case when g.num_rel_ret >= g.num_nonrel_ret then c.poss_ret + g.num_rel * (g.num_rel_ret - g.num_nonrel_ret) else coalesce(r.pr, 0) end as rr_poss
+  from cnt1 c join gi g on c.run_id = g.run_id and c.qid = g.qid and c.jg = g.jg
+  left join rn r on c.run_id = r.run_id and c.qid = r.qid and c.jg = r.jg"""),
+    ]
+
+
+def prefs_closure_sql() -> str:
+    head = ctes("prefs", "runs", extra=_closed_ctes()).replace("with ", "with recursive ", 1)
+    cols = ["ful_ret", "poss_ret", "ful_imp", "poss_imp", "notoccur", "num_rel", "num_rel_ret", "num_nonrel", "num_nonrel_ret"]
+    return head + "select run_id, qid, jg, " + ", ".join(f"cast({c} as bigint) as {c}" for c in cols) + " from cnt"
+
+
 def prefs_counts_sql() -> str:
     return ctes("qrels_prefs", "runs", extra=_prefs_ctes(False)) + (
         "select run_id, qid, jg, cast(ful_ret as bigint) as ful_ret, cast(poss_ret as bigint) as poss_ret, "
@@ -480,7 +526,7 @@ def prefs_counts_sql() -> str:
         "cast(notoccur as bigint) as notoccur from cnt")
 
 
-def prefs_measures_sql(pair: bool = False) -> str:
+def prefs_measures_sql(pair: bool = False, closed: bool = False) -> str:
     div = lambda a, b: f"case when ({b}) > 0 then ({a}) / ({b}) else 0 end"
     pa = "(poss_ret + poss_imp + notoccur)"    # poss_imp: pairs with exactly one doc retrieved
     fa = "(ful_ret + ful_imp)"
@@ -501,21 +547,26 @@ def prefs_measures_sql(pair: bool = False) -> str:
     pt = " union all ".join(f"select run_id, qid, '{m}' as measure, cast({exprs[m]} as double) as value from per" for m in names)
     summed = ("prefs_num_prefs_poss", "prefs_num_prefs_ful", "prefs_num_prefs_ful_ret")
     head = ctes("qrels_prefs", "runs", extra=_prefs_ctes(pair) + [("per", per), ("pt", pt)])
+    if closed:
+        head = ctes("prefs", "runs", extra=_closed_ctes() + [("per", per), ("pt", pt)]).replace("with ", "with recursive ", 1)
     return head + ("select run_id, qid, measure, round(value, 6) as value from pt union all "
                    "select run_id, 'all' as qid, measure, round(case when measure in ("
                    + ", ".join(f"'{m}'" for m in summed) + ") then sum(value) else sum(value) / count(*) end, 6) as value "
                    "from pt group by run_id, measure")
 
 
-def prefs_pair_multi_sql() -> str:
+def prefs_pair_multi_sql(closed: bool = False) -> str:
     """Pair vote shares across all judge groups, by enumerating doc pairs."""
-    ex = _prefs_ctes(False) + [
+    ex = (_closed_ctes() if closed else _prefs_ctes(False)) + [
         ("da", "select distinct t.run_id, p.qid, p.docno from tp t join qp p on t.qid = p.qid"),
         ("dr", "select da.*, rr.rank from da left join rr on rr.run_id = da.run_id and rr.qid = da.qid and rr.docno = da.docno"),
         ("pp", """select a.run_id, a.qid, a.docno as a, b.docno as b, a.rank as ra, b.rank as rb from dr a join dr b
   on a.run_id = b.run_id and a.qid = b.qid
   where (a.rank is not null and (b.rank is null or a.rank < b.rank)) or (a.rank is null and b.rank is null and a.docno < b.docno)"""),
-        ("pv", """select pp.run_id, pp.qid, pp.a, pp.b, any_value(ra) as ra, any_value(rb) as rb,
+        ("pv", """select pp.run_id, pp.qid, pp.a, pp.b, any_value(pp.ra) as ra, any_value(pp.rb) as rb,
+  count(*) filter (where c.a = pp.a) as f, count(*) filter (where c.a = pp.b) as g
+  from pp left join closed c on c.qid = pp.qid and ((c.a = pp.a and c.b = pp.b) or (c.a = pp.b and c.b = pp.a))
+  group by pp.run_id, pp.qid, pp.a, pp.b""" if closed else """select pp.run_id, pp.qid, pp.a, pp.b, any_value(ra) as ra, any_value(rb) as rb,
   count(*) filter (where pa.rel_level > pb.rel_level) as f, count(*) filter (where pb.rel_level > pa.rel_level) as g
   from pp join qp pa on pa.qid = pp.qid and pa.docno = pp.a join qp pb on pb.qid = pp.qid and pb.jg = pa.jg and pb.docno = pp.b
   group by pp.run_id, pp.qid, pp.a, pp.b"""),
@@ -528,6 +579,6 @@ def prefs_pair_multi_sql() -> str:
   union all select t.run_id, t.qid, 'prefs_pair_ret', case when coalesce(n_ret, 0) > 0 then s_ret / n_ret else 0 end from tp t left join agg a on a.run_id = t.run_id and a.qid = t.qid
   union all select t.run_id, t.qid, 'prefs_pair_imp', case when coalesce(n_imp, 0) > 0 then s_all / n_imp else 0 end from tp t left join agg a on a.run_id = t.run_id and a.qid = t.qid"""),
     ]
-    head = ctes("qrels_prefs", "runs", extra=ex)
+    head = ctes("prefs" if closed else "qrels_prefs", "runs", extra=ex).replace("with ", "with recursive " if closed else "with ", 1)
     return head + ("select run_id, qid, measure, round(value, 6) as value from pt union all "
                    "select run_id, 'all' as qid, measure, round(sum(value) / count(*), 6) as value from pt group by run_id, measure")

@@ -13,13 +13,14 @@ The ``_Rnonrel`` variants (non-relevant documents capped at the number of
 relevant ones) reuse the same pass: the capped class is the first R
 documents of the lowest level in compact order.
 
-``prefs_pair*`` (vote share per document pair across judge groups) group
-documents into classes by their vector of levels per judge: a pair's votes
-depend only on the two classes, so class-level ordered counts replace the
-document pairs (``pair_measures``).
+A judge group with several sub-groups prefers what a chain of sub-groups
+prefers.  Its documents are counted by class (see :mod:`prefclosure`): the
+closure is a relation of classes, and the ordered counts of two classes are
+taken half by half of the ranking.
 
-Not built: judge groups with several sub-groups (their preferences are the
-transitive closure of pair sets, which needs the pairs).
+``prefs_pair*`` (vote share per document pair across judge groups) group
+documents by their classes in all judge groups: a pair's votes depend only on
+the two classes, for any number of them (``pair_measures``).
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.tables import written
+from . import prefclosure as C
 from .judge import EvalOptions
 from .ranking import running
 
@@ -42,12 +45,6 @@ SUMMED = {"prefs_num_prefs_poss", "prefs_num_prefs_ful", "prefs_num_prefs_ful_re
 PAIR = {"prefs_pair", "prefs_pair_ret", "prefs_pair_imp"}
 
 
-def check_single_subgroup(prefs: DataFrame) -> None:
-    bad = (prefs.groupBy("qid", "jg").agg(F.countDistinct("jsg").alias("n")).where("n > 1").limit(1).count())
-    if bad:
-        raise NotImplementedError("judge groups with several sub-groups need pairwise closure (not built)")
-
-
 def higher_before(docs: DataFrame, keys: list[str], order: list[Column], extra: dict[str, Column],
                   prefs: DataFrame, skew_safe: bool) -> DataFrame:
     """``docs`` with ``_hi``, the retrieved docs (``_ret`` = 1) of a higher level that come
@@ -72,23 +69,82 @@ def higher_before(docs: DataFrame, keys: list[str], order: list[Column], extra:
     return out.drop("_lid")
 
 
-def prefs_counts(run: DataFrame, prefs: DataFrame, validate: bool = True,
-                 skew_safe: bool | None = None) -> DataFrame:
+COUNTS = ["ful_ret", "poss_ret", "ful_imp", "poss_imp", "notoccur", "num_rel", "num_rel_ret", "num_nonrel", "num_nonrel_ret",
+          "rn_ful", "rn_poss", "rn_ful_ret", "rn_poss_ret"]
+
+
+def prefs_counts(run: DataFrame, prefs: DataFrame, skew_safe: bool | None = None) -> DataFrame:
     """Per (run_id, qid, jg): ful_ret, poss_ret, ful_imp, poss_imp, notoccur,
-    num_rel, num_rel_ret, num_nonrel, num_nonrel_ret."""
-    if validate:
-        check_single_subgroup(prefs)
+    num_rel, num_rel_ret, num_nonrel, num_nonrel_ret.
+
+    A judge group of a topic with one sub-group is counted by levels, one with
+    several by classes of the closed relation.  Equal rows count once.  A
+    document at two levels of one sub-group ends the job; with several
+    sub-groups so does one at 0 and above 0, and a contradiction.
+    """
     if skew_safe is None:
         from .ranking import decide
         skew_safe, run = decide(run, ["run_id", "qid"], None)
+    prefs = prefs.select("qid", "jg", "jsg", "docno", "rel_level").distinct()
+    kinds = written(prefs.groupBy("qid", "jg").agg((F.countDistinct("jsg") > 1).alias("several")), "judge-groups")
+    found = {r.several for r in kinds.select("several").distinct().collect()}
+    if found != {True, False}:
+        return (_closed_counts if True in found else _level_counts)(run, prefs, prefs, skew_safe)
+    part = lambda several: prefs.join(kinds.where(F.col("several") == several).select("qid", "jg"), ["qid", "jg"], "left_semi")
+    return _level_counts(run, part(False), prefs, skew_safe).unionByName(_closed_counts(run, part(True), prefs, skew_safe))
+
+
+def judged_ranks(run: DataFrame, prefs: DataFrame, skew_safe: bool) -> DataFrame:
+    """(run_id, qid, docno, rank): the retrieved documents that any group of the topic judges, in order."""
+    judged = prefs.select("qid", "docno").distinct()
+    r = run.select("run_id", "qid", "docno", "sim").join(judged, ["qid", "docno"], "left_semi")
+    return running(r, ["run_id", "qid"], [F.desc("sim"), F.asc("docno")], {}, skew_safe=skew_safe).drop("sim")
+
+
+def _closed_counts(run: DataFrame, prefs: DataFrame, all_prefs: DataFrame, skew_safe: bool) -> DataFrame:
+    """:func:`prefs_counts` of judge groups with any number of sub-groups, by classes."""
+    group, keys = C.GROUP, ["run_id", *C.GROUP]
+    classes = written(C.document_classes(prefs), "classes")
+    pairs = written(C.preferred(C.class_levels(classes)), "class-pairs")
+    topics = run.select("run_id", "qid").distinct().join(prefs.select("qid").distinct(), "qid")
+    members = classes.select(*group, "docno", "cls", "level").join(
+        classes.groupBy(*group).agg(F.count_if(F.col("level") > 0).alias("num_rel"), F.count_if(F.col("level") == 0).alias("num_nonrel")), group)
+    docs = topics.join(members, "qid").join(judged_ranks(run, all_prefs, skew_safe), ["run_id", "qid", "docno"], "left")
+    ret, zero = F.col("rank").isNotNull(), F.col("level") == 0
+    # the recount leaves out documents at level 0 behind the first num_rel of them
+    docs = running(docs, keys, [F.desc(ret), F.asc("rank"), F.asc("docno")], {"_zeros": zero.cast("long")}, skew_safe=skew_safe, rank_col=None)
+    docs = written(docs.withColumn("kept", ~zero | (F.col("_zeros") <= F.col("num_rel"))), "judged")
+    own = docs.groupBy(*keys, "cls", "kept").agg(F.count(F.lit(1)).alias("n"), F.count_if(ret).alias("r"))
+    order = C.ordered_pairs(docs.where(ret), keys, ["cls", "kept"], F.col("rank"))
+    order = order.select(*keys, F.col("u.cls").alias("u"), F.col("u.kept").alias("ku"), F.col("v.cls").alias("v"),
+                         F.col("v.kept").alias("kv"), "pr")
+    side = lambda x: own.select(*keys, F.col("cls").alias(x), F.col("kept").alias("k" + x), F.col("n").alias("n" + x),
+                                F.col("r").alias("r" + x))
+    both = (side("u").join(pairs, [*group, "u"]).join(side("v"), [*keys, "v"]).join(order, [*keys, "u", "ku", "v", "kv"], "left"))
+    nu, ru, nv, rv, pr = F.col("nu"), F.col("ru"), F.col("nv"), F.col("rv"), F.coalesce("pr", F.lit(0))
+    kept = F.col("ku") & F.col("kv")
+    total = lambda e, name: F.sum(e).alias(name)
+    when = lambda e: F.when(kept, e).otherwise(0)
+    counted = both.groupBy(*keys).agg(
+        total(pr, "ful_ret"), total(ru * rv, "poss_ret"), total(ru * (nv - rv), "ful_imp"),
+        total(ru * (nv - rv) + (nu - ru) * rv, "poss_imp"), total((nu - ru) * (nv - rv), "notoccur"),
+        total(when(pr + ru * (nv - rv)), "rn_ful"), total(when(nu * nv), "rn_poss"),
+        total(when(pr), "rn_ful_ret"), total(when(ru * rv), "rn_poss_ret"))
+    nums = docs.groupBy(*keys).agg(F.max("num_rel").alias("num_rel"), F.count_if(ret & (F.col("level") > 0)).alias("num_rel_ret"),
+                                   F.max("num_nonrel").alias("num_nonrel"), F.count_if(ret & zero).alias("num_nonrel_ret"))
+    return nums.join(counted, keys, "left").select(*keys, *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in COUNTS))
+
+
+def _level_counts(run: DataFrame, prefs: DataFrame, all_prefs: DataFrame, skew_safe: bool) -> DataFrame:
+    """:func:`prefs_counts` of judge groups with one sub-group, by levels."""
     levels = [r.rel_level for r in prefs.select("rel_level").distinct().limit(MAX_LEVELS + 1).collect()]
     many, levels = len(levels) > MAX_LEVELS, sorted(levels)
-    p = prefs.select("qid", "jg", "docno", "rel_level")
+    p = prefs.groupBy("qid", "jg", "docno").agg(F.min("rel_level").alias("rel_level"), F.max("rel_level").alias("_high"))
+    two = F.raise_error(F.concat(F.lit("document "), "docno", F.lit(" of topic "), "qid", F.lit(", judge group "), "jg",
+                                 F.lit(" has two levels in one sub-group"))).cast("double")
+    p = p.select("qid", "jg", "docno", F.when(F.col("rel_level") < F.col("_high"), two).otherwise(F.col("rel_level")).alias("rel_level"))
     # Retrieved judged docs of each run and topic (judged = in any group of the topic).
-    judged_docs = p.select("qid", "docno").distinct()
-    r = run.select("run_id", "qid", "docno", "sim").join(judged_docs, ["qid", "docno"], "left_semi")
-    r = running(r, ["run_id", "qid"], [F.desc("sim"), F.asc("docno")], {}, skew_safe=skew_safe)
-    r = r.drop("sim")
+    r = judged_ranks(run, all_prefs, skew_safe)
     topics = run.select("run_id", "qid").distinct().join(p.select("qid").distinct(), "qid")
     last_level = p.groupBy("qid", "jg").agg(F.min("rel_level").alias("_min_level"))
     # Every judged doc of the run's topics, with its rank if retrieved.
@@ -186,8 +242,7 @@ def _ratio(a: Column, b: Column) -> Column:
 
 
 def evaluate_prefs(run: DataFrame, prefs: DataFrame, measures=PREFS_MEASURES,
-                   opts: EvalOptions = EvalOptions(), per_topic: bool = True, summary: bool = True,
-                   validate: bool = True) -> DataFrame:
+                   opts: EvalOptions = EvalOptions(), per_topic: bool = True, summary: bool = True) -> DataFrame:
     """Long table (run_id, qid, measure, value) of preference measures."""
     from .measures import stack_long
     from .summary import summarize
@@ -197,7 +252,7 @@ def evaluate_prefs(run: DataFrame, prefs: DataFrame, measures=PREFS_MEASURES,
         from .ranking import decide
         flag, run = decide(run, ["run_id", "qid"], None)
         opts = replace(opts, skew_safe=flag)
-    c = prefs_counts(run, prefs, validate, opts.skew_safe)
+    c = prefs_counts(run, prefs, opts.skew_safe)
     rn_ful, rn_poss = rnonrel_value(False)
     rr_ful, rr_poss = rnonrel_value(True)
     poss_all = F.col("poss_ret") + F.col("poss_imp") + F.col("notoccur")
@@ -248,81 +303,59 @@ def evaluate_prefs(run: DataFrame, prefs: DataFrame, measures=PREFS_MEASURES,
 
 # ------------------------------------------------- pair votes across judges
 
-# Documents are grouped into classes by their vector of levels per judge
-# group; vote ratios depend only on the two classes of a pair.
-MAX_CLASSES = 512
-
+def class_votes(prefs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(classes, votes) across the judge groups of each topic.
 
-def _class_votes(u: str, v: str) -> tuple[int, int]:
-    """(votes u over v, votes v over u) of two level vectors 'jg=level;...'."""
-    a = dict(x.split("=", 1) for x in u.split(";") if x)
-    b = dict(x.split("=", 1) for x in v.split(";") if x)
-    f = sum(1 for g in a if g in b and float(a[g]) > float(b[g]))
-    r = sum(1 for g in a if g in b and float(b[g]) > float(a[g]))
-    return f, r
+    classes: (qid, docno, c), c numbers the documents' classes in all judge
+    groups together.  votes: (qid, u, v, f, g) with u < v and f + g > 0, the
+    number of judge groups that prefer u to v, and v to u.
+    """
+    prefs = prefs.select("qid", "jg", "jsg", "docno", "rel_level").distinct()
+    own = written(C.document_classes(prefs), "classes")
+    levels = C.class_levels(own)
+    several = not levels.groupBy(*C.GROUP).agg(F.countDistinct("jsg").alias("n")).where("n > 1").isEmpty()
+    pairs = C.preferred(levels, several)
+    docs = own.groupBy("qid", "docno").agg(F.array_sort(F.collect_list(F.struct("jg", "cls"))).alias("all"))
+    docs = written(C.numbered(docs, ["qid"], "all", "c"), "vote-classes")
+    parts = docs.select("qid", "c", "all").distinct().select("qid", "c", F.explode("all").alias("x")).select("qid", "c", "x.jg", "x.cls")
+    part = lambda x, c: parts.select(*C.GROUP, F.col("cls").alias(x), F.col("c").alias(c))
+    # each judge group tells every pair of its classes once, in one direction: a vote for u, or for v
+    voted = pairs.join(part("u", "a"), [*C.GROUP, "u"]).join(part("v", "b"), [*C.GROUP, "v"])
+    votes = voted.groupBy("qid", F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).agg(
+        F.count_if(F.col("a") < F.col("b")).alias("f"), F.count_if(F.col("a") > F.col("b")).alias("g"))
+    return docs.select("qid", "docno", "c"), votes
 
 
 def pair_measures(run: DataFrame, prefs: DataFrame, skew_safe: bool | None = None) -> DataFrame:
     """Per (run_id, qid): prefs_pair, prefs_pair_ret, prefs_pair_imp over
-    any number of judge groups (one sub-group each).
+    any number of judge groups, sub-groups and judgment vectors.
 
     For an unordered pair of judged docs with votes, the better-placed doc
     (retrieved docs in rank order, then the rest by docno) scores the share
-    of votes preferring it.  Sums come from class-level counts: P(u, v) =
-    number of (retrieved doc of class u placed before a doc of class v),
-    obtained from running counts per class in rank order.
+    of votes preferring it.  Votes and sizes are those of the two classes,
+    and so is the number of pairs in which the one class comes first.
     """
     from .ranking import decide
     if skew_safe is None:
         skew_safe, run = decide(run, ["run_id", "qid"], None)
-    p = prefs.select("qid", "jg", "docno", "rel_level")
-    cls = (p.groupBy("qid", "docno")
-            .agg(F.array_join(F.array_sort(F.collect_list(
-                F.concat("jg", F.lit("="), F.col("rel_level").cast("string")))), ";").alias("cls")))
-    names = [r.cls for r in cls.select("cls").distinct().limit(MAX_CLASSES + 1).collect()]
-    if len(names) > MAX_CLASSES:
-        raise NotImplementedError(f"more than {MAX_CLASSES} distinct judgment vectors")
-    names.sort()
-    idx = F.create_map(*[x for i, n in enumerate(names) for x in (F.lit(n), F.lit(i))])
-    cls = cls.withColumn("c", idx[F.col("cls")]).drop("cls")
-    spark = prefs.sparkSession
-    votes = [(i, j, *_class_votes(a, b)) for i, a in enumerate(names) for j, b in enumerate(names) if i != j]
-    # Class-pair table: bounded by the square of the number of classes.
-    wt = spark.createDataFrame([(i, j, f / (f + r) if f + r else 0.0, 1 if f + r else 0) for i, j, f, r in votes],
-                               "u int, v int, w double, voted int")
-
-    judged = cls.select("qid", "docno")
-    r = run.select("run_id", "qid", "docno", "sim").join(judged, ["qid", "docno"], "left_semi")
-    r = running(r, ["run_id", "qid"], [F.desc("sim"), F.asc("docno")], {}, skew_safe=skew_safe).drop("sim")
-    topics = run.select("run_id", "qid").distinct().join(p.select("qid").distinct(), "qid")
-    docs = topics.join(cls, "qid").join(r, ["run_id", "qid", "docno"], "left")
-    ret = F.col("rank").isNotNull()
+    classes, votes = class_votes(prefs)
     keys = ["run_id", "qid"]
-    # Retrieved docs in rank order: running count of retrieved docs per class.
-    sums = {f"_b{k}": (F.col("c") == k).cast("long") for k in range(len(names))}
-    rd = running(docs.where(ret), keys, [F.asc("rank")], sums, skew_safe=skew_safe, rank_col=None)
-    before = [(F.col(f"_b{k}") - (F.col("c") == k).cast("long")).alias(f"_b{k}") for k in range(len(names))]
-    pret = rd.select(*keys, "c", *before).groupBy(*keys, F.col("c").alias("v")).agg(
-        *[F.sum(f"_b{k}").alias(f"_p{k}") for k in range(len(names))])
-    pret = pret.select(*keys, "v", F.explode(F.array(*[F.struct(F.lit(k).alias("u"), F.col(f"_p{k}").alias("pr"))
-                                                       for k in range(len(names))])).alias("_x")) \
-               .select(*keys, "v", "_x.u", "_x.pr")
+    topics = run.select(*keys).distinct().join(prefs.select("qid").distinct(), "qid")
+    docs = written(topics.join(classes, "qid").join(judged_ranks(run, prefs, skew_safe), [*keys, "docno"], "left"), "judged")
+    ret = F.col("rank").isNotNull()
     cnt = docs.groupBy(*keys, "c").agg(F.count(F.lit(1)).alias("n"), F.count_if(ret).alias("r"))
-    cu = cnt.select(*keys, F.col("c").alias("u"), F.col("n").alias("nu"), F.col("r").alias("ru"))
-    cv = cnt.select(*keys, F.col("c").alias("v"), F.col("n").alias("nv"), F.col("r").alias("rv"))
-    # Ordered class pairs present in a topic (bounded by classes squared).
-    pairs = (cu.join(cv, keys).where(F.col("u") != F.col("v"))
-               .join(pret, keys + ["u", "v"], "left").join(F.broadcast(wt), ["u", "v"]))
-    pr = F.coalesce(F.col("pr"), F.lit(0))
-    full = (F.col("nv") - F.col("rv")) * F.col("ru") + pr       # u retrieved, placed before any v
-    upper = F.col("u") < F.col("v")                               # each unordered pair once
+    side = lambda x: cnt.select(*keys, F.col("c").alias(x), F.col("n").alias("n" + x), F.col("r").alias("r" + x))
+    # of two classes only the one direction: in the other stand the remaining pairs
+    order = C.ordered_pairs(docs.where(ret), keys, ["c"], F.col("rank"), F.expr("u.c < v.c")).select(
+        *keys, F.col("u.c").alias("u"), F.col("v.c").alias("v"), "pr")
+    pairs = side("u").join(votes, ["qid", "u"]).join(side("v"), [*keys, "v"]).join(order, [*keys, "u", "v"], "left")
+    nu, ru, nv, rv, pr = F.col("nu"), F.col("ru"), F.col("nv"), F.col("rv"), F.coalesce("pr", F.lit(0))
+    wu = F.col("f") / (F.col("f") + F.col("g"))
+    wv = F.col("g") / (F.col("f") + F.col("g"))
+    both = wu * pr + wv * (ru * rv - pr)
     agg = pairs.groupBy(*keys).agg(
-        F.sum(F.col("w") * full).alias("s_all"), F.sum(F.col("w") * pr).alias("s_ret"),
-        F.sum(F.when(upper, F.col("voted") * F.col("nu") * F.col("nv")).otherwise(0)).alias("n_all"),
-        F.sum(F.when(upper, F.col("voted") * F.col("ru") * F.col("rv")).otherwise(0)).alias("n_ret"),
-        F.sum(F.when(upper, F.col("voted") * (F.col("nu") * F.col("nv")
-                                              - (F.col("nu") - F.col("ru")) * (F.col("nv") - F.col("rv"))))
-               .otherwise(0)).alias("n_imp"))
+        F.sum(both + wu * ru * (nv - rv) + wv * rv * (nu - ru)).alias("s_all"), F.sum(both).alias("s_ret"),
+        F.sum(nu * nv).alias("n_all"), F.sum(ru * rv).alias("n_ret"), F.sum(nu * nv - (nu - ru) * (nv - rv)).alias("n_imp"))
     return (topics.select(*keys).join(agg, keys, "left")
                   .select(*keys, _ratio(F.coalesce("s_all", F.lit(0.0)), F.coalesce("n_all", F.lit(0))).alias("prefs_pair"),
                           _ratio(F.coalesce("s_ret", F.lit(0.0)), F.coalesce("n_ret", F.lit(0))).alias("prefs_pair_ret"),
