@@ -4,21 +4,24 @@
 * dictionary(field, term, df, cf)
 * field_stats(field, N, sum_dl, avgdl)  - documents having the field
 
-Built with two aggregations over the token table; vocabulary filters
-(stemming, folding) are applied to the distinct vocabulary and joined back
-to the raw postings.  ``save_index`` writes postings range-partitioned and
-sorted by term so that searches skip row groups by min/max statistics.
+``build_index`` indexes a whole corpus; vocabulary filters (stemming,
+folding) are applied to the distinct vocabulary and joined back to the raw
+postings.  ``query_index`` answers given queries from raw text: one pass over
+the tokens keeps the postings of the query terms alone, and the lengths of
+all documents.  ``save_index`` writes postings and dictionary in buckets of
+terms, sorted, so that a search reads only the buckets of its terms.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.analysis import Analyzer, analyze, term_map
 from ..plans.sizing import bounded_broadcast
+from ..plans.tables import written
 
 FIELDS = ("headline", "date", "text")
 # Vocabulary maps up to this many terms are broadcast; larger ones shuffle.
@@ -27,14 +30,18 @@ MAX_BROADCAST_TERMS = 5_000_000
 
 @dataclass
 class Index:
+    """``buckets``: number of term buckets that a saved index is partitioned by, else None."""
+
     postings: DataFrame
     dictionary: DataFrame
     field_stats: DataFrame
     analyzer: Analyzer
+    buckets: int | None = None
+
 
-    def release(self) -> None:
-        """Give back the memory that a built (not loaded) index holds."""
-        self.postings.unpersist()
+def bucket_of(term: str, buckets: int) -> Column:
+    """The bucket (a partition of a saved index) that holds a term."""
+    return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
 def map_terms(df: DataFrame, analyzer: Analyzer, keys: list[str], sum_cols: list[str],
@@ -69,33 +76,74 @@ def build_dictionary(postings: DataFrame) -> DataFrame:
     return postings.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
 
 
-def build_field_stats(postings: DataFrame) -> DataFrame:
+def field_totals(lengths: DataFrame) -> DataFrame:
     """One row per field: N (documents with the field), sum_dl, avgdl."""
-    docs = postings.select("field", "docno", "dl").distinct()
-    return docs.groupBy("field").agg(F.count(F.lit(1)).alias("N"), F.sum("dl").alias("sum_dl")) \
-               .withColumn("avgdl", F.col("sum_dl") / F.col("N"))
+    return lengths.groupBy("field").agg(F.count(F.lit(1)).alias("N"), F.sum("dl").alias("sum_dl")) \
+                  .withColumn("avgdl", F.col("sum_dl") / F.col("N"))
+
+
+def build_field_stats(postings: DataFrame) -> DataFrame:
+    return field_totals(postings.select("field", "docno", "dl").distinct())
 
 
 def build_index(docs: DataFrame, analyzer: Analyzer = Analyzer(), fields=FIELDS, id_col: str = "docno") -> Index:
-    """Postings are persisted (memory, then disk), so that the corpus is tokenized
-    once for postings, dictionary and statistics; see :meth:`Index.release`.
-    An index for several jobs is better saved and loaded."""
-    p = build_postings(docs, analyzer, fields, id_col).persist()
+    """The index of the whole corpus; postings are written once to the shared folder."""
+    p = written(build_postings(docs, analyzer, fields, id_col), "postings")
     return Index(p, build_dictionary(p), build_field_stats(p), analyzer)
 
 
-def save_index(index: Index, path: str, num_files: int | None = None) -> None:
-    """Persist the index (overwrite).  Postings are range-partitioned and
-    sorted by (field, term) so term lookups prune files and row groups."""
+def query_index(docs: DataFrame, analyzer: Analyzer, query_terms: DataFrame, fields=FIELDS, id_col: str = "docno") -> Index:
+    """The part of the index that ``query_terms`` (a ``term`` column) can touch.
+
+    Tokens meet the query vocabulary before anything is grouped; what is kept
+    grows with the query terms' own postings, plus one row per document and
+    field that carries its length, so that N, lengths and averages are those
+    of the whole corpus.  Same scores as with :func:`build_index`.
+    """
+    wanted = query_terms.select("term").distinct()
+    if "stop" in analyzer.vocab_filters():  # lengths follow only when every token has its final form
+        whole = build_index(docs, analyzer, fields, id_col)
+        p = written(whole.postings.join(bounded_broadcast(wanted, MAX_BROADCAST_TERMS), "term", "left_semi"), "postings")
+        return Index(p, build_dictionary(p), whole.field_stats, analyzer)
+    toks = analyze(docs, id_col, list(fields), analyzer).withColumn("dl", F.size("tokens"))
+    # explode_outer: a plain explode makes the optimizer run the tokenizer again in a size() > 0 filter
+    rows = lambda tokens: toks.select("field", F.col(id_col).alias("docno"), "dl", F.explode_outer(tokens).alias("raw"))
+    if analyzer.vocab_filters():
+        vocabulary = rows("tokens").where(F.col("raw").isNotNull())
+        kept = term_map(vocabulary, analyzer, "raw").select(F.col("term").alias("raw"), F.col("out_term").alias("term")) \
+            .join(wanted, "term", "left_semi").select("raw", "term")
+    else:
+        kept = wanted.select(F.col("term").alias("raw"), "term")
+    # the null at the end of each document's tokens brings its length along
+    marked = rows(F.array_append("tokens", F.lit(None).cast("string")))
+    found = (marked.join(bounded_broadcast(kept, MAX_BROADCAST_TERMS), "raw", "left")
+             .where(F.col("raw").isNull() | F.col("term").isNotNull())
+             .groupBy("field", "docno", "dl", "term").agg(F.count(F.lit(1)).alias("tf")))
+    found = written(found.select("field", "term", "docno", F.col("tf").cast("long").alias("tf"), F.col("dl").cast("long").alias("dl")), "postings")
+    postings = found.where(F.col("term").isNotNull())
+    lengths = found.where(F.col("term").isNull() & (F.col("dl") > 0))
+    return Index(postings, build_dictionary(postings), field_totals(lengths), analyzer)
+
+
+def save_index(index: Index, path: str, buckets: int | None = None) -> None:
+    """Write the index (overwrite) in ``buckets`` partitions of terms.
+
+    Rows are dealt to their bucket's files by field and term and sorted, so a
+    search reads the buckets of its terms and of these only the row groups
+    that hold them.  Without a number there are as many buckets as shuffle
+    partitions; about the number of executors' cores suits a large index.
+    """
     spark = index.postings.sparkSession
-    n = num_files or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (index.postings.repartitionByRange(n, "field", "term").sortWithinPartitions("field", "term", "docno")
-          .write.mode("overwrite").parquet(f"{path}/postings"))
-    index.dictionary.repartitionByRange(n, "field", "term").sortWithinPartitions("field", "term") \
-        .write.mode("overwrite").parquet(f"{path}/dictionary")
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for name, df, order in (("postings", index.postings, ["field", "term", "docno"]), ("dictionary", index.dictionary, ["field", "term"])):
+        (df.withColumn("bucket", bucket_of("term", n))
+         # by range: a term that a third of all postings hold spreads over the bucket's files
+         .repartitionByRange(max(n, shuffles), "bucket", *order).sortWithinPartitions("bucket", *order)
+         .write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/{name}"))
     index.field_stats.coalesce(1).write.mode("overwrite").parquet(f"{path}/field_stats")
-    spark.createDataFrame([(index.analyzer.tokenizer, ",".join(index.analyzer.filters))],
-                          "tokenizer string, filters string").coalesce(1) \
+    spark.createDataFrame([(index.analyzer.tokenizer, ",".join(index.analyzer.filters), n)],
+                          "tokenizer string, filters string, buckets int").coalesce(1) \
         .write.mode("overwrite").parquet(f"{path}/analyzer")
 
 
@@ -103,4 +151,4 @@ def load_index(spark: SparkSession, path: str) -> Index:
     a = spark.read.parquet(f"{path}/analyzer").first()
     analyzer = Analyzer(a.tokenizer, tuple(x for x in a.filters.split(",") if x))
     return Index(spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/dictionary"),
-                 spark.read.parquet(f"{path}/field_stats"), analyzer)
+                 spark.read.parquet(f"{path}/field_stats"), analyzer, a.buckets)

@@ -2,14 +2,17 @@
 
 score(q, d) = sum over (field, term) of weight(q, field, term) * sim(tf, dl, df, ...)
 
-Plan: the query side (query terms joined with their dictionary rows and
-the per-field statistics) is small and broadcast after a size check; the
-postings are scanned once (with a pushed-down term filter when the query
-vocabulary is small) and joined map-side; contributions are summed per
-(qid, docno) with partial aggregation; the top k per query use
-``row_number() <= k`` which Spark plans as a partial per-partition limit
-before the shuffle (WindowGroupLimit), so a query matching every document
-never ships all of them to one task.
+Plan: the query side (query terms joined with their dictionary rows and the
+per-field statistics) is written once and broadcast if it is small; the
+postings are read once and joined to it.  Postings of a saved index are
+partitioned by buckets of terms, and the join on the bucket prunes the
+partitions that no query term falls into.  A query side beyond the broadcast
+bound meets the postings in a shuffle, in which a term with many postings is
+split by a hash of the document and its query rows are copied once per part.
+Contributions are summed per (qid, docno) with partial aggregation; the top k
+per query use ``row_number() <= k``, which Spark plans as a partial
+per-partition limit before the shuffle (WindowGroupLimit), so a query matching
+every document never ships all of them to one task.
 """
 
 from __future__ import annotations
@@ -17,54 +20,48 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.analysis import Analyzer
+from ..plans import sizing
 from ..plans.sizing import bounded_broadcast
-from .index import Index
+from ..plans.tables import written
+from .index import Index, bucket_of, query_index
 
 # Query sides up to this many (qid, field, term) rows are broadcast.
 MAX_BROADCAST_QUERY_TERMS = 2_000_000
-# Query vocabularies up to this size are pushed into the postings scan.
-MAX_PUSHED_TERMS = 20_000
+# Postings of a term that one part of a shuffled join holds about.
+TERM_PART = 2_000_000
 SCORE_DIGITS = 6
 
 
-def query_side(query_terms: DataFrame, index: Index, vocab: list[str] | None = None,
-               small: bool | None = None) -> DataFrame:
-    """(qid, field, term, weight, df, cf, N, avgdl, sum_dl) for the query terms.
-
-    ``query_terms`` is broadcast only after a row-count check.  The result
-    has at most one dictionary row per query-term row, so its size is bounded
-    by that same check and it can be broadcast to the postings scan as well.
-    """
-    if small is None:
-        small = query_terms.limit(MAX_BROADCAST_QUERY_TERMS + 1).count() <= MAX_BROADCAST_QUERY_TERMS
-    qt = F.broadcast(query_terms) if small else query_terms
+def query_side(query_terms: DataFrame, index: Index) -> DataFrame:
+    """(qid, field, term, weight, df, cf, N, avgdl, sum_dl) for the query terms; with
+    ``bucket`` for a saved index, whose dictionary is read in the terms' buckets only."""
+    on = ["field", "term"]
+    if index.buckets:
+        # weights are never 0: the filter tells the optimizer that this side is worth pruning by
+        query_terms = query_terms.where(F.col("weight") != 0).withColumn("bucket", bucket_of("term", index.buckets))
+        on = ["bucket", *on]
     fs = F.broadcast(index.field_stats)  # one row per field
-    d = index.dictionary
-    if vocab is not None:
-        d = d.where(F.col("term").isin(vocab))
-    return d.join(qt, ["field", "term"]).join(fs, "field")
+    return index.dictionary.join(bounded_broadcast(query_terms, MAX_BROADCAST_QUERY_TERMS), on).join(fs, "field")
 
 
-def matches(query_terms: DataFrame, index: Index, push_terms: bool = True) -> DataFrame:
+def matches(query_terms: DataFrame, index: Index) -> DataFrame:
     """Unaggregated matches: one row per (query term, posting) with every
-    column a similarity needs.
-
-    The query-term table is persisted and inspected once: its row count
-    decides the broadcasts, its vocabulary (when small) becomes a pushed
-    ``term IN (...)`` filter on dictionary and postings.
-    """
-    qt = query_terms.persist()
-    n = qt.limit(MAX_BROADCAST_QUERY_TERMS + 1).count()
-    small = n <= MAX_BROADCAST_QUERY_TERMS
-    vocab = None
-    if push_terms:
-        few = qt.select("term").distinct().limit(MAX_PUSHED_TERMS + 1).collect()
-        vocab = [r.term for r in few] if len(few) <= MAX_PUSHED_TERMS else None
-    qs = query_side(qt, index, vocab, small)
-    postings = index.postings
-    if vocab is not None:
-        postings = postings.where(F.col("term").isin(vocab))
-    return postings.join(F.broadcast(qs) if small else qs, ["field", "term"])
+    column a similarity needs."""
+    qs = written(query_side(query_terms, index), "query-side")
+    on = ["field", "term"]
+    if index.buckets:
+        qs, on = qs.where(F.col("weight") != 0), ["bucket", *on]
+    n, size = qs.agg(F.count(F.lit(1)), F.sum(sizing.row_bytes(qs))).first()
+    if n <= MAX_BROADCAST_QUERY_TERMS and (size or 0) <= sizing.MAX_BROADCAST_BYTES:
+        return index.postings.join(F.broadcast(qs), on)
+    qs = qs.withColumn("_parts", F.ceil(F.col("df") / TERM_PART))
+    # one row per term with more than TERM_PART postings
+    often = bounded_broadcast(qs.where("_parts > 1").select("field", "term", "_parts").distinct(), 1_000_000)
+    postings = index.postings.join(often, ["field", "term"], "left").withColumn(
+        "_part", F.coalesce(F.pmod(F.xxhash64("docno"), F.col("_parts")), F.lit(0))).drop("_parts")
+    qs = qs.withColumn("_part", F.explode(F.expr("sequence(0L, _parts - 1)"))).drop("_parts")
+    return postings.join(qs, [*on, "_part"]).drop("_part")
 
 
 def score(query_terms: DataFrame, index: Index, sim: Column, keep_zero: bool = False) -> DataFrame:
@@ -92,3 +89,10 @@ def search(query_terms: DataFrame, index: Index, sim: Column, k: int = 1000, run
     """Run table (run_id, qid, docno, rank, sim)."""
     t = top_k(score(query_terms, index, sim, keep_zero), k)
     return t.select(F.lit(run_id).alias("run_id"), "qid", "docno", "rank", F.col("score").alias("sim"))
+
+
+def search_text(query_terms: DataFrame, docs: DataFrame, analyzer: Analyzer, sim: Column, k: int = 1000, run_id: str = "run",
+                keep_zero: bool = False) -> DataFrame:
+    """:func:`search` over raw text: the corpus is read for the query terms, no index stays behind."""
+    query_terms = written(query_terms, "query-terms")
+    return search(query_terms, query_index(docs, analyzer, query_terms), sim, k, run_id, keep_zero)

@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from ..functions import similarity as S
 from ..functions.analysis import Analyzer
-from ..operators import index as I
 from ..operators import measures as M
 from ..operators import query as Q
 from ..operators import search as SE
 from ..sources import fixtures as fx
 from .registry import r6, register
+from .tables import written
 
 
 def _o(expr_fn):
@@ -24,16 +24,15 @@ def _o(expr_fn):
 
 def text_run(spark: SparkSession, sf_dir: str, analyzer: Analyzer = Analyzer(), k: int = 1000) -> DataFrame:
     """BM25 (tuned) multi-field run of the sectioned topics over the corpus."""
-    idx = I.build_index(fx.corpus(spark, sf_dir), analyzer)
     qt = Q.query_terms(Q.prepare_topics(fx.topics(spark, sf_dir)), analyzer)
-    return SE.search(qt, idx, S.bm25(*S.BM25_TUNED), k=k, run_id="bm25_tuned")
+    return SE.search_text(qt, fx.corpus(spark, sf_dir), analyzer, S.bm25(*S.BM25_TUNED), k=k, run_id="bm25_tuned")
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-topic MAP, nDCG and P@10 of the BM25 run (plus 'all' summary)."""
     run = text_run(spark, sf_dir)
     # Derived judgments (a shingle join) are read twice by the evaluation.
-    qrels = fx.passage_qrels(spark, sf_dir).persist()
+    qrels = written(fx.passage_qrels(spark, sf_dir), "qrels")
     # The run is a top-1000 search result: topic groups are bounded by k.
     ev = M.evaluate(run, qrels, ["map", "ndcg", ("P", (10,))], EvalOptions(skew_safe=False))
     wide = ev.groupBy("run_id", "qid").pivot("measure", ["map", "ndcg", "P_10"]).agg(F.first("value"))
@@ -166,6 +165,26 @@ def q_prefs_pair_multi(spark, sf_dir):
     return ev.select("run_id", "qid", "measure", r6("value").alias("value"))
 
 
+@register("prefs_closure", _o(lambda O: O.prefs_closure_sql()))
+def q_prefs_closure(spark, sf_dir):
+    """Preference counts of judge groups with two sub-groups each: the closed relation of both."""
+    c = PR.prefs_counts(fx.runs(spark, sf_dir), fx.prefs(spark, sf_dir))
+    return c.select("run_id", "qid", "jg", *PR.COUNTS[:9])
+
+
+@register("m_prefs_multi", _o(lambda O: O.prefs_measures_sql(closed=True)))
+def q_prefs_multi(spark, sf_dir):
+    ev = PR.evaluate_prefs(fx.runs(spark, sf_dir), fx.prefs(spark, sf_dir), [m for m in PR.PREFS_MEASURES if m not in PR.PAIR])
+    return ev.select("run_id", "qid", "measure", r6("value").alias("value"))
+
+
+@register("m_prefs_pair_closure", _o(lambda O: O.prefs_pair_multi_sql(closed=True)))
+def q_prefs_pair_closure(spark, sf_dir):
+    """Pair vote shares across judge groups whose votes come from closed relations."""
+    ev = PR.evaluate_prefs(fx.runs(spark, sf_dir), fx.prefs(spark, sf_dir), sorted(PR.PAIR))
+    return ev.select("run_id", "qid", "measure", r6("value").alias("value"))
+
+
 @register("m_runid", _o(lambda O: O.ctes("runs") + "select distinct run_id from runs"))
 def q_runid(spark, sf_dir):
     """Run tags present in the evaluated runs."""

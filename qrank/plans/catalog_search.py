@@ -12,6 +12,7 @@ from ..operators import query as Q
 from ..operators import search as SE
 from ..sources import fixtures as fx
 from .registry import r6, register
+from .tables import shared_path
 
 # Analyzer the DuckDB oracle can reproduce (no stemming / folding).
 PLAIN = Analyzer("standard", ("lowercase", "stop"))
@@ -62,12 +63,11 @@ def q_field_stats(spark, sf_dir):
 
 def _search(sim_col, run_id, sectioned=False, analyzer=PLAIN, k=1000):
     def q(spark, sf_dir):
-        idx = plain_index(spark, sf_dir, analyzer)
         if sectioned:
             qt = Q.query_terms(Q.prepare_topics(fx.topics(spark, sf_dir)), analyzer)
         else:
             qt = flat_queries(spark, sf_dir, analyzer)
-        return SE.search(qt, idx, sim_col(), k=k, run_id=run_id)
+        return SE.search_text(qt, fx.corpus(spark, sf_dir), analyzer, sim_col(), k=k, run_id=run_id)
     return q
 
 
@@ -83,6 +83,17 @@ register("search_lmj", _oracle("search_sql", "lmj", {"lam": 0.5}, run_id="lmj"))
     _search(lambda: S.lm_jelinek_mercer(0.5), "lmj"))
 register("search_multifield", _oracle("search_sql", "bm25", {"k1": 0.6, "b": 0.7}, sectioned=True, run_id="mf"))(
     _search(lambda: S.bm25(0.6, 0.7), "mf", sectioned=True))
+
+
+@register("search_saved", _oracle("search_sql", "bm25", {"k1": 0.6, "b": 0.7}, sectioned=True, run_id="saved"))
+def q_search_saved(spark, sf_dir):
+    """The multi-field search over an index that was saved and loaded again."""
+    path = shared_path(spark, "saved-index")
+    I.save_index(plain_index(spark, sf_dir), path, buckets=64)
+    qt = Q.query_terms(Q.prepare_topics(fx.topics(spark, sf_dir)), PLAIN)
+    return SE.search(qt, I.load_index(spark, path), S.bm25(0.6, 0.7), run_id="saved")
+
+
 # Full analyzer (Porter stemming + folding): no SQL equivalent offline.
 register("search_stemmed")(_search(lambda: S.bm25(0.6, 0.7), "stem", sectioned=True, analyzer=FULL))
 
@@ -98,9 +109,8 @@ def q_search_expanded(spark, sf_dir):
     field with weight 1, default BM25 (1.2, 0.75), top 1000."""
     from .catalog_sources import q_numbered
     queries = q_numbered(spark, sf_dir)
-    idx = plain_index(spark, sf_dir, FULL)
     qt = Q.flat_query_terms(queries, EXPANDED_QUERY)
-    return SE.search(qt, idx, S.bm25(*S.BM25_DEFAULT), k=1000, run_id="expanded")
+    return SE.search_text(qt, fx.corpus(spark, sf_dir), FULL, S.bm25(*S.BM25_DEFAULT), k=1000, run_id="expanded")
 
 
 @register("search_synonyms")
@@ -116,6 +126,5 @@ def q_search_synonyms(spark, sf_dir):
     # expanded blocks still carry their <top> wrapper; parse sections from them
     inner = expanded.select(F.regexp_extract("raw", r"<top>\s([\s\S]*?)</top>", 1).alias("raw"))
     topics = TP.topics_from_blocks(inner)
-    idx = plain_index(spark, sf_dir, FULL)
     qt = Q.query_terms(topics, FULL)
-    return SE.search(qt, idx, S.bm25(*S.BM25_TUNED), k=1000, run_id="synonyms")
+    return SE.search_text(qt, fx.corpus(spark, sf_dir), FULL, S.bm25(*S.BM25_TUNED), k=1000, run_id="synonyms")

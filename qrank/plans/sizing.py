@@ -2,20 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .tables import written
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only after checking it has at most ``max_rows`` rows.
 
-    The side is persisted and counted first (one small job); beyond the bound
-    the plain DataFrame is returned and Spark plans a shuffle join.  Persisted
-    blocks lost with an executor are recomputed from lineage.
+#: Largest table that is broadcast, whatever its row count.
+MAX_BROADCAST_BYTES = 64 << 20
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row of ``df`` takes: 8 for a number, the text's own length else."""
+    numbers = ("int", "bigint", "double", "float", "boolean", "smallint", "tinyint", "date", "timestamp")
+    size = F.lit(16 + 8 * len(df.columns))
+    for c, kind in df.dtypes:
+        if kind not in numbers:
+            size = size + F.coalesce(F.octet_length(F.col(c) if kind in ("string", "binary") else F.to_json(F.struct(c))), F.lit(0))
+    return size
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast ``df`` only if it has at most ``max_rows`` rows and ``max_bytes`` bytes.
+
+    The side is written to the shared folder and measured there; beyond either
+    bound the plain table is returned and Spark plans a shuffle join.
     """
-    df = df.persist()
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    df = written(df, "side")
+    n, size = df.agg(F.count(F.lit(1)), F.sum(row_bytes(df))).first()
+    return F.broadcast(df) if n <= max_rows and (size or 0) <= max_bytes else df
 
 
 def sequential_index(df: DataFrame, order_col: str, out: str = "idx") -> DataFrame:

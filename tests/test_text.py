@@ -42,7 +42,7 @@ def test_saved_index_pushes_term_filter(spark, tmpdir_path):
     docs = spark.createDataFrame([(f"d{i}", f"h{i}", f"word{i % 7} common text {i}", "1990") for i in range(200)],
                                  "docno string, headline string, text string, date string")
     a = Analyzer("standard", ("lowercase", "stop"))
-    I.save_index(I.build_index(docs, a), f"{tmpdir_path}/idx", num_files=4)
+    I.save_index(I.build_index(docs, a), f"{tmpdir_path}/idx", buckets=4)
     idx = I.load_index(spark, f"{tmpdir_path}/idx")
     assert idx.analyzer == a
     q = spark.createDataFrame([("1", "word3")], "qid string, text string")
