@@ -121,7 +121,12 @@ rows AS (
   SELECT r.conv_id, 'result', r.call_id, r.turn, coalesce(d.depth, 0), CASE WHEN c.call_id IS NULL THEN 'no_call' ELSE 'linked' END, '',
     '{"content":' || coalesce(CAST(to_json(r.text) AS VARCHAR), 'null') || ',"id":' || CAST(to_json(r.call_id) AS VARCHAR) || ',"type":"result"}'
   FROM results r LEFT JOIN calls c ON r.conv_id = c.conv_id AND r.call_id = c.call_id
-  LEFT JOIN depth d ON d.conv_id = c.conv_id AND d.turn = c.turn)
+  LEFT JOIN depth d ON d.conv_id = c.conv_id AND d.turn = c.turn
+  UNION ALL
+  SELECT DISTINCT conv_id, 'message', CAST(NULL AS VARCHAR), turn, 0, CASE WHEN conv_id IS NULL THEN 'no_id' ELSE 'message' END, '',
+    '{"content":' || coalesce(CAST(to_json(text) AS VARCHAR), 'null') || ',"role":' || coalesce(CAST(to_json(role) AS VARCHAR), 'null')
+      || ',"type":"message"}'
+  FROM conversations WHERE role IS NULL OR role NOT IN ('user', 'assistant'))
 SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY depth, turn, kind, call_id, record) - 1 AS position,
        kind, call_id, CAST(turn AS BIGINT) AS turn, CAST(depth AS BIGINT) AS depth, status, errors, md5(record) AS record_md5
 FROM rows
