@@ -5,8 +5,9 @@ within each piece.  Words recur, so each Python worker remembers the ids of
 words and of pieces (bounded, least recently used half first) and asks the
 library's BPE model for new pieces alone; that also skips its slow splitting.
 Texts whose pieces depend on longer runs of white space, or with characters
-outside the ranges below, are encoded whole by the library.  The result is the
-library's own for every text (tested).
+outside the ranges below, or with the string of an added token, are encoded whole
+by the library.  The result is the library's own for every text, with its default
+settings: such a string becomes the token's id (tested).
 """
 
 from __future__ import annotations
@@ -80,7 +81,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True  # such a string in a text is ordinary text
+        # a text that holds the string of an added token goes to the library whole, which finds the token in it
+        self.added = tuple(t.content for t in self.tok.get_added_tokens_decoder().values())
         self.model = self.tok.model
         self.by_word = (type(self.tok.pre_tokenizer).__name__ == "ByteLevel" and type(self.model).__name__ == "BPE"
                         and self.tok.normalizer is None and self.tok.post_processor is None)
@@ -117,7 +119,7 @@ class Encoder:
             return self._whole(texts)
         for memory in (self.first, self.later, self.pieces):
             memory.trim()
-        out = [self._lines(t) if simple(t) else None for t in texts]
+        out = [self._lines(t) if simple(t) and not any(x in t for x in self.added) else None for t in texts]
         if None in out:
             direct = iter(self._whole([t for t, x in zip(texts, out) if x is None]))
             out = [next(direct) if x is None else x for x in out]

@@ -14,9 +14,7 @@ from . import data
 
 @pytest.fixture(scope="module")
 def tok():
-    t = Tokenizer.from_file(tokenizer_file())
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(tokenizer_file())
 
 
 def ids_of(tok, text, end):
@@ -31,6 +29,8 @@ def test_encoder_is_the_librarys(tok):
     got = Encoder(tokenizer_file()).encode(texts)
     want = [e.ids for e in tok.encode_batch(texts, add_special_tokens=False)]
     assert [np.frombuffer(g, "<u4").tolist() for g in got] == want
+    special = np.frombuffer(Encoder(tokenizer_file()).encode(["<|endoftext|> text"])[0], "<u4")
+    assert special.tolist() == [50256, 2420]
 
 
 def test_records_round_trip(spark, tok, tmp_path):
