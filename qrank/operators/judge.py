@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.sizing import bounded_broadcast
+from ..plans.tables import written
 
 NONPOOL = -1
 UNJUDGED = -2
@@ -38,7 +39,7 @@ class EvalOptions:
     gains: dict = field(default_factory=dict)  # level -> gain overrides
     skew_safe: bool | None = None        # ranking plan: None = chosen from the largest topic
     topic: str | None = None             # evaluate this one topic only
-    validate: bool = False               # reject duplicate documents in a topic (one extra job)
+    validate: bool = True                # a document twice in a topic, of the run or the judgments, ends the job
 
 
 def rank_run(run: DataFrame, docno_desc: bool = True) -> DataFrame:
@@ -138,18 +139,35 @@ def topic_stats(qrels: DataFrame, opts: EvalOptions = EvalOptions(), keys: tuple
         F.coalesce("ideal_dcg", F.lit(0.0)).alias("ideal_dcg"))
 
 
-def check_duplicates(run: DataFrame, qrels: DataFrame, keys=("qid",)) -> None:
-    """A document listed twice for a topic (in a run or in the judgments)
-    is an input error."""
-    keys = list(keys)
-    dup_run = run.groupBy("run_id", *keys, "docno").count().where("count > 1").limit(1).count()
-    dup_q = qrels.groupBy(*keys, "docno").count().where("count > 1").limit(1).count()
-    if dup_run or dup_q:
-        raise ValueError("duplicate document for a topic in the " + ("run" if dup_run else "judgments"))
+def unique_judgments(qrels: DataFrame, keys=("qid",)) -> DataFrame:
+    """(keys, docno, rel): the judgments; a document judged twice ends the job that reads them."""
+    said = F.raise_error(F.concat(F.lit("duplicate document for a topic in the judgments: "), *keys_text(keys), "docno"))
+    return (qrels.groupBy(*keys, "docno").agg(F.count(F.lit(1)).alias("_n"), F.max("rel").alias("rel"))
+            .withColumn("rel", F.when(F.col("_n") > 1, said.cast("bigint")).otherwise(F.col("rel"))).select(*keys, "docno", "rel"))
+
+
+def keys_text(keys) -> list[F.Column]:
+    return [x for k in keys for x in (F.coalesce(F.col(k).cast("string"), F.lit("null")), F.lit(" "))]
+
+
+def unique_documents(ranked: DataFrame, keys=("qid",), skew_safe: bool | None = False) -> DataFrame:
+    """``ranked`` as it is; a document twice in a topic of a run ends the job that reads it.
+
+    The rows of a topic lie together already, to be ranked, so a sort by docno
+    brings equal ones next to each other without a shuffle; where topics are
+    too large for that (``skew_safe``) the documents are dealt out by name.
+    """
+    group = ["run_id", *keys]
+    if skew_safe:
+        again = F.row_number().over(Window.partitionBy(*group, "docno").orderBy("docno")) > 1
+    else:
+        again = F.coalesce(F.lag("docno").over(Window.partitionBy(*group).orderBy("docno")) == F.col("docno"), F.lit(False))
+    said = F.raise_error(F.concat(F.lit("duplicate document for a topic in the run: "), *keys_text(group), "docno")).cast("boolean")
+    return ranked.withColumn("_again", again).where(F.when(F.col("_again"), said).otherwise(F.lit(True))).drop("_again")
 
 
 def restrict(run: DataFrame, qrels: DataFrame, opts: EvalOptions) -> tuple[DataFrame, DataFrame]:
-    """Apply the one-topic filter and the duplicate check of ``opts``."""
+    """Apply the one-topic filter of ``opts``."""
     if opts.topic is not None:
         run = run.where(F.col("qid") == opts.topic)
         qrels = qrels.where(F.col("qid") == opts.topic)
@@ -168,10 +186,8 @@ def judge(run: DataFrame, qrels: DataFrame, opts: EvalOptions = EvalOptions(),
     """
     keys = list(keys)
     run, qrels = restrict(run, qrels, opts)
-    if opts.validate:
-        # checked on the rows kept after the top-M cut, as the evaluator does
-        kept = run if opts.max_docs is None else rank_run(run).where(F.col("rank") <= opts.max_docs).drop("rank")
-        check_duplicates(kept, qrels, keys)
+    if opts.validate and stats is None:  # who gives the statistics has looked at the judgments
+        qrels = written(unique_judgments(qrels, keys), "judgments")
     if opts.skew_safe is None:
         from dataclasses import replace
         from .ranking import decide
@@ -195,6 +211,8 @@ def judge(run: DataFrame, qrels: DataFrame, opts: EvalOptions = EvalOptions(),
     j = _with_running(j, opts, keys)
     if opts.max_docs is not None:
         j = j.where(F.col("rank") <= opts.max_docs)
+    if opts.validate:  # among the rows kept after the top-M cut
+        j = unique_documents(j, keys, opts.skew_safe)
     if opts.judged_only:
         j = _with_running(j.where(F.col("rel") >= 0).drop("rank", "isrel", "k", "nj", "u", "gain"), opts, keys)
     return j

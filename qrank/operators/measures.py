@@ -592,8 +592,11 @@ def evaluate(run: DataFrame, qrels: DataFrame, measures="official",
     from .summary import summarize  # local import: summary uses this module
 
     ms = resolve(measures)
-    from .judge import restrict
+    from ..plans.tables import written
+    from .judge import restrict, unique_judgments
     run, qrels = restrict(run, qrels, opts)
+    if opts.validate:
+        qrels = written(unique_judgments(qrels), "judgments")
     if opts.skew_safe is None:
         from dataclasses import replace
         from .ranking import decide
@@ -608,8 +611,8 @@ def evaluate(run: DataFrame, qrels: DataFrame, measures="official",
     names = measure_summaries(ms)
     if per_topic and summary:
         # Both outputs read the per-topic table (one row per run and topic):
-        # keep it instead of recomputing the judged ranking for each branch.
-        wide = wide.persist()
+        # written once instead of computing the judged ranking for each branch.
+        wide = written(wide, "topic-values")
     long = stack_long(wide, list(names))
     parts = []
     hidden = [n for m in ms if not m.per_topic for n, _ in m.parts()[1]]
@@ -666,11 +669,6 @@ def relstring(judged: DataFrame, n: int = RELSTRING_LEN) -> DataFrame:
                                              lambda s: s["c"]), "").alias("relstring")))
 
 
-def runid(run: DataFrame) -> DataFrame:
-    """Run tags present; for the tag of a run file's last line see ``runfiles.last_run_tag``."""
-    return run.select("run_id").distinct()
-
-
 # ------------------------------------------------------- judge-group averages
 
 # Measures averaged over judge groups and their base measure.
@@ -729,7 +727,7 @@ DOUBLE_CUTOFFS = {"iprec_at_recall", "Rprec_mult", "Rprec_mult_avgjg"}
 def parse_spec(spec: str):
     """'name' or 'name.params' -> (name, params, gains, display).
 
-    Cut-off lists are sorted (duplicates and non-positive values rejected);
+    Cut-off lists are sorted (duplicates rejected, and of whole-number ones what is not positive);
     'level=gain' pairs become a gain table; other lists keep their order.
     """
     if "." not in spec or spec.split(".", 1)[0] not in REGISTRY:
@@ -742,7 +740,10 @@ def parse_spec(spec: str):
             raise ValueError(f"bad cut-offs in {spec}")
         return name, tuple(vals), {}, None
     if name in DOUBLE_CUTOFFS:
-        return name, tuple(sorted({float(x) for x in items})), {}, None
+        vals = sorted({float(x) for x in items})
+        if len(vals) != len(items):
+            raise ValueError(f"bad cut-offs in {spec}")
+        return name, tuple(vals), {}, None
     if name in GAIN_MEASURES and any("=" in x for x in items):
         gains, p = {}, None
         for x in items:

@@ -134,6 +134,13 @@ def test_duplicates_and_single_topic(spark):
     run, qrels = _frames(spark, topics)
     one = M.evaluate(run, qrels, ["map", "num_q"], EvalOptions(topic="2"), per_topic=False).collect()
     assert {r.measure: r.value for r in one} == {"map": 1.0, "num_q": 1.0}
-    dup = run.unionByName(run.where("docno = 'a'"))
-    with pytest.raises(ValueError):
-        M.evaluate(dup, qrels, ["map"], EvalOptions(validate=True)).collect()
+    again = run.where("docno = 'a'").withColumn("sim", run.sim - 5)
+    for skew_safe in (False, True):
+        with pytest.raises(Exception, match="duplicate document for a topic in the run: .*1 a"):
+            M.evaluate(run.unionByName(again), qrels, ["num_ret"], EvalOptions(skew_safe=skew_safe)).collect()
+        kept = M.evaluate(run.unionByName(again), qrels, ["num_ret"], EvalOptions(skew_safe=skew_safe, max_docs=2), per_topic=False)
+        assert kept.first().value == 3  # the second place of the document is below the cut
+    with pytest.raises(Exception, match="duplicate document for a topic in the judgments: 2 c"):
+        M.evaluate(run, qrels.unionByName(qrels.where("docno = 'c'")), ["num_ret"]).collect()
+    twice = M.evaluate(run.unionByName(again), qrels, ["num_ret"], EvalOptions(validate=False), per_topic=False)
+    assert twice.first().value == 4
