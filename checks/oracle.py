@@ -65,8 +65,11 @@ def r6(expr: str) -> str:
 # ---------------------------------------------------------- judged ranking
 
 def judged_ctes(level: int = 1, run: str = "run", max_docs: int | None = None,
-                judged_only: bool = False) -> list[tuple[str, str]]:
+                judged_only: bool = False, gains: dict | None = None) -> list[tuple[str, str]]:
     L = level
+    gain = "cast(rel as double)"
+    if gains:
+        gain = "case rel " + " ".join(f"when {k} then {float(v)}" for k, v in gains.items()) + f" else {gain} end"
     trunc = f"where rank0 <= {max_docs}" if max_docs is not None else ""
     j0 = f"""select r.run_id, r.qid, r.docno, r.sim,
        case when q.rel is null then -1 when q.rel < 0 then -2 else q.rel end as rel
@@ -79,7 +82,7 @@ where r.qid in (select qid from qrels)"""
     j = f"""select run_id, qid, docno, sim, rel,
        row_number() over w as rank,
        rel >= {L} as isrel,
-       case when rel >= 0 then cast(rel as double) else 0.0 end as gain,
+       case when rel >= 0 then {gain} else 0.0 end as gain,
        sum(case when rel >= {L} then 1 else 0 end) over w as k,
        sum(case when rel >= 0 and rel < {L} then 1 else 0 end) over w as nj,
        sum(case when rel = -2 then 1 else 0 end) over w as u
@@ -90,9 +93,9 @@ window w as (partition by run_id, qid order by sim desc, docno desc rows between
        count(*) filter (where rel > 0) as num_rel_pos,
        max(rel) filter (where rel >= 0) as max_level
 from qrels group by qid"""
-    ideal = """select qid, cast(rel as double) as g,
-       row_number() over (partition by qid order by rel desc, docno) as pos
-from qrels where rel > 0"""
+    ideal = f"""select qid, {gain} as g,
+       row_number() over (partition by qid order by {gain} desc, docno) as pos
+from qrels where rel >= 0 and {gain} > 0"""
     ist = """select qid, count(*) as ideal_n, sum(g) as ideal_gain_sum, sum(g / log2(pos + 1)) as ideal_dcg
 from ideal group by qid"""
     jt = """select j.*, s.num_rel, s.num_nonrel, s.max_level, coalesce(i.ideal_n, 0) as ideal_n,
@@ -268,9 +271,9 @@ NDCG_CUT_CTE = ("icut", "select qid, " + ", ".join(
 
 def measure_query(name: str, runs: str = "runs", level: int = 1, summary: bool = True,
                   complete: bool = False, max_docs: int | None = None, judged_only: bool = False,
-                  digits: int = 6) -> str:
+                  digits: int = 6, gains: dict | None = None) -> str:
     extra_aggs, vals, kind = measure_sql_parts(name)
-    ex = judged_ctes(level, run=runs, max_docs=max_docs, judged_only=judged_only)
+    ex = judged_ctes(level, run=runs, max_docs=max_docs, judged_only=judged_only, gains=gains)
     src = "jt"
     if name in WINDOWED:
         ex += IDEAL_POS_CTES

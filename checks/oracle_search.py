@@ -264,3 +264,14 @@ def sweep_tokenizers_sql() -> str:
             passage_qrels_cte()] + _map_sql("runs_t", "pq")
         parts.append(f"select '{t}' as run_id, round(coalesce((select map from ({_with(ctes)} select map from mp)), 0), 6) as map")
     return "\nunion all ".join(parts)
+
+
+def match_all_sql() -> str:
+    """Default search of the readable lines; the first 1,000 documents for each of the others."""
+    found = search_sql("bm25", {"k1": 1.2, "b": 0.75}, run_id="all")
+    broken = "(item_id % 7 = 3 or item_id % 11 = 5)"
+    clean = f"(select item_id, regexp_replace(text, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g') as text from benchmark where not {broken})"
+    found = found.replace("from benchmark)\n  cross join", f"from {clean})\n  cross join")
+    return f"""select * from ({found}) union all
+select 'all', cast(401 + item_id as varchar), docno, rank, 1.0 from benchmark, (
+  select docno, row_number() over (order by docno) as rank from ({FIXTURE_CTES['corpus']}) qualify rank <= 1000) where {broken}"""

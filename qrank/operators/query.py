@@ -10,7 +10,7 @@ sections summed - no query tree.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.analysis import Analyzer
@@ -82,3 +82,19 @@ def flat_query_terms(queries: DataFrame, analyzer: Analyzer, text_col: str = "te
     q = (toks.withColumn("field", F.explode(F.array(*[F.lit(f) for f in fields])))
              .groupBy("qid", "field", "term").agg(F.count(F.lit(1)).cast("double").alias("weight")))
     return map_terms(q, analyzer, ["qid", "field"], ["weight"])
+
+
+def usable(text: Column) -> Column:
+    """Whether a raw query text can be searched as it stands.
+
+    It cannot if a double quote, a parenthesis, a bracket or a brace is left
+    open or closed without being opened, if it begins with AND, OR, ``*`` or
+    ``?``, or if it ends with AND, OR, NOT, ``+``, ``-``, ``!`` or ``^``.  A
+    character behind a backslash and what stands in quotes are plain text.
+    """
+    plain = F.regexp_replace(F.coalesce(text, F.lit("")), r"\\.", "x")
+    plain = F.regexp_replace(plain, r'"[^"]*"', " x ")
+    depth = lambda a, b: F.length(F.regexp_replace(plain, f"[^{a}]", "")) == F.length(F.regexp_replace(plain, f"[^{b}]", ""))
+    closed = depth(r"\(", r"\)") & depth(r"\[", r"\]") & depth(r"\{", r"\}") & ~plain.contains('"')
+    ends = plain.rlike(r"(^|\s)(AND|OR|NOT)\s*$|[+\-!^]\s*$") | plain.rlike(r"^\s*((AND|OR)(\s|$)|[*?])")
+    return closed & ~ends & ~plain.rlike(r"^[^(]*\)|^[^\[]*\]|^[^{]*\}")

@@ -96,3 +96,29 @@ def search_text(query_terms: DataFrame, docs: DataFrame, analyzer: Analyzer, sim
     """:func:`search` over raw text: the corpus is read for the query terms, no index stays behind."""
     query_terms = written(query_terms, "query-terms")
     return search(query_terms, query_index(docs, analyzer, query_terms), sim, k, run_id, keep_zero)
+
+
+def match_all(queries: DataFrame, docs: DataFrame, k: int = 1000, run_id: str = "run", id_col: str = "docno") -> DataFrame:
+    """Run rows for queries (qid) that match every document alike: the ``k`` smallest docnos, score 1.
+
+    The documents are cut to ``k`` once, by a top-k of each partition; only
+    those meet the queries, joined on the rank.
+    """
+    first = docs.select(F.col(id_col).alias("docno")).distinct().orderBy("docno").limit(k)
+    first = written(first, "first-documents")
+    ranked = first.withColumn("rank", F.row_number().over(Window.orderBy("docno")))  # at most k rows
+    every = queries.select("qid", F.explode(F.sequence(F.lit(1), F.lit(k))).alias("rank"))
+    return every.join(F.broadcast(ranked), "rank").select(F.lit(run_id).alias("run_id"), "qid", "docno", "rank", F.lit(1.0).alias("sim"))
+
+
+def search_expanded(queries: DataFrame, docs: DataFrame, analyzer: Analyzer, query_analyzer: Analyzer, sim: Column, k: int = 1000,
+                    run_id: str = "run") -> DataFrame:
+    """Runs of single-text queries (qid, text) over raw text, every field with weight 1.
+
+    A query that cannot be parsed (see :func:`query.usable`) matches all documents.
+    """
+    from .query import flat_query_terms, usable
+
+    queries = written(queries.select("qid", "text", usable(F.col("text")).alias("usable")), "queries")
+    found = search_text(flat_query_terms(queries.where("usable"), query_analyzer), docs, analyzer, sim, k, run_id)
+    return found.unionByName(match_all(queries.where("not usable"), docs, k, run_id))

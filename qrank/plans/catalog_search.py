@@ -109,8 +109,17 @@ def q_search_expanded(spark, sf_dir):
     field with weight 1, default BM25 (1.2, 0.75), top 1000."""
     from .catalog_sources import q_numbered
     queries = q_numbered(spark, sf_dir)
-    qt = Q.flat_query_terms(queries, EXPANDED_QUERY)
-    return SE.search_text(qt, fx.corpus(spark, sf_dir), FULL, S.bm25(*S.BM25_DEFAULT), k=1000, run_id="expanded")
+    return SE.search_expanded(queries, fx.corpus(spark, sf_dir), FULL, EXPANDED_QUERY, S.bm25(*S.BM25_DEFAULT), k=1000, run_id="expanded")
+
+
+@register("search_match_all", _oracle("match_all_sql"))
+def q_search_match_all(spark, sf_dir):
+    """The query list with an open quote or a dangling operator in some lines: these match all documents."""
+    b = fx.table(spark, sf_dir, "benchmark")
+    text = F.when(F.col("item_id") % 7 == 3, F.concat(F.lit('"'), "text")).when(F.col("item_id") % 11 == 5, F.concat("text", F.lit(" AND"))) \
+        .otherwise(F.regexp_replace("text", r"[^\p{L}\p{N}]+", " "))
+    queries = b.select((F.lit(401) + F.col("item_id")).cast("string").alias("qid"), text.alias("text"))
+    return SE.search_expanded(queries, fx.corpus(spark, sf_dir), PLAIN, PLAIN, S.bm25(*S.BM25_DEFAULT), k=1000, run_id="all")
 
 
 @register("search_synonyms")

@@ -74,7 +74,7 @@ def oracles() -> dict:
 
 def _load_all():
     # Modules registering further queries.
-    from . import catalog_eval, catalog_search, catalog_sources, catalog_sweep  # noqa: F401
+    from . import catalog_eval, catalog_files, catalog_search, catalog_sources, catalog_sweep  # noqa: F401
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

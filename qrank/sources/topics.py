@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from ..functions.text import QUERY_SPECIAL, topic_dates
 from ..plans.sizing import sequential_index
+from ..plans.tables import written
+from .lines import placed_lines
 
 # The formats of topic blocks, section labels and synonym facts.
 TOP_RE = r"<top>\s([\s\S]*?)</top>"
@@ -56,16 +58,20 @@ def read_topics(spark: SparkSession, path: str) -> DataFrame:
 def numbered_queries(lines: DataFrame, first_qid: int = 401, order_col: str = "line_no",
                      text_col: str = "value") -> DataFrame:
     """Numbered lines ('n. text') -> (qid, text): numbering stripped,
-    blank lines dropped, qid = first_qid + position among kept lines."""
+    blank lines dropped, qid = first_qid + position among kept lines.
+
+    ``order_col`` is any order of the lines.  Positions come from a range sort
+    that is written once and the sizes of its parts.
+    """
     t = F.regexp_replace(F.trim(F.col(text_col)), r"^\d+\.\s*", "")
-    kept = lines.select(order_col, t.alias("text")).where(F.col("text") != "")
-    kept = sequential_index(kept, order_col)
+    kept = lines.select(F.col(order_col).alias("_o"), t.alias("text")).where(F.col("text") != "")
+    kept = written(kept.repartitionByRange("_o").sortWithinPartitions("_o").select("text", F.monotonically_increasing_id().alias("_at")), "numbered")
+    kept = sequential_index(kept, "_at")
     return kept.select((F.lit(first_qid - 1) + F.col("idx")).cast("string").alias("qid"), "text")
 
 
 def read_numbered_queries(spark: SparkSession, path: str, first_qid: int = 401) -> DataFrame:
-    lines = spark.read.text(path).withColumn("line_no", F.monotonically_increasing_id())
-    return numbered_queries(lines, first_qid)
+    return numbered_queries(placed_lines(spark, path), first_qid)
 
 
 def synsets(lines: DataFrame, order_col: str = "line_no", text_col: str = "value") -> DataFrame:
@@ -77,30 +83,28 @@ def synsets(lines: DataFrame, order_col: str = "line_no", text_col: str = "value
 
 
 def read_synsets(spark: SparkSession, path: str) -> DataFrame:
-    lines = spark.read.text(path).withColumn("line_no", F.monotonically_increasing_id())
-    return synsets(lines)
+    return synsets(placed_lines(spark, path))
 
 
-def synonym_map(syn: DataFrame) -> DataFrame:
-    """(word_lower, synonyms array) - for each word the members of the first
-    synset (in file order) that contains it, in file order, without the
-    word itself."""
+def synset_of(syn: DataFrame) -> DataFrame:
+    """(wl, synset_id): for each lower-cased word the first synset (in file order) that contains it."""
     first_seen = syn.groupBy("synset_id").agg(F.min("seq").alias("first"))
-    members = syn.join(first_seen, "synset_id")
-    w_first = (members.groupBy(F.lower("word").alias("wl"))
-                      .agg(F.min_by("synset_id", "first").alias("synset_id")))
-    lists = members.groupBy("synset_id").agg(F.array_sort(F.collect_list(F.struct("seq", "word"))).alias("m"))
-    return (w_first.join(lists, "synset_id")
-                   .select("wl", F.transform(F.filter("m", lambda s: F.lower(s["word"]) != F.col("wl")),
-                                             lambda s: s["word"]).alias("syns")))
+    return (syn.select("synset_id", F.lower("word").alias("wl")).distinct().join(first_seen, "synset_id")
+            .groupBy("wl").agg(F.min_by("synset_id", F.struct("first", "synset_id")).alias("synset_id")))
 
 
 def expand_synonyms(blocks: DataFrame, syn: DataFrame, raw_col: str = "raw", key: str = "block_id") -> DataFrame:
     """Raw topic text with each whitespace-separated word followed by its
-    synonyms (equi-join on the lower-cased word)."""
+    synonyms: the other members of its synset, in file order.
+
+    Words meet synsets, and synsets their members, in equi-joins: a synset of
+    any size stays a table of one row per member, and only a text that uses it
+    is as long as its members.
+    """
     words = blocks.select(key, F.posexplode(F.split(F.col(raw_col), r"\s+")).alias("pos", "word"))
-    sm = synonym_map(syn)
-    j = words.join(sm, F.lower(words.word) == sm.wl, "left")
-    expanded = j.select(key, "pos", F.concat(F.array("word"), F.coalesce("syns", F.array().cast("array<string>"))).alias("ws"))
-    return (expanded.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "ws"))).alias("parts"))
-                    .select(key, F.array_join(F.flatten(F.transform("parts", lambda p: p["ws"])), " ").alias(raw_col)))
+    named = words.select(key, "pos", F.lower("word").alias("wl")).join(synset_of(syn), "wl")
+    members = syn.select("synset_id", "seq", "word")
+    added = named.join(members, "synset_id").where(F.lower("word") != F.col("wl")).select(key, "pos", "seq", "word")
+    rows = words.select(key, "pos", F.lit(None).cast(dict(syn.dtypes)["seq"]).alias("seq"), "word").unionByName(added)
+    return (rows.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", F.col("seq").isNotNull().alias("more"), "seq", "word"))).alias("parts"))
+            .select(key, F.array_join(F.col("parts.word"), " ").alias(raw_col)))

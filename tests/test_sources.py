@@ -121,6 +121,52 @@ def test_numbered_queries(spark, tmpdir_path):
     assert rows == [("401", "first query"), ("402", "second query"), ("403", "third")]
 
 
+def test_line_numbers_do_not_depend_on_splits(spark, tmpdir_path):
+    from qrank.sources.lines import placed_lines
+    os.makedirs(f"{tmpdir_path}/q")
+    want = []
+    for f in "ab":
+        lines = [f"{i}. query {f}{i} {'x' * (i % 50)}" if i % 7 else "" for i in range(1, 900)]
+        open(f"{tmpdir_path}/q/{f}", "w").write("\n".join(lines) + "\n")
+        want += [x.split(". ", 1)[1].strip() for x in lines if x]
+    conf = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(conf)
+    try:
+        for size in ("128m", "1k"):
+            spark.conf.set(conf, size)
+            assert spark.read.text(f"{tmpdir_path}/q").rdd.getNumPartitions() > (1 if size == "128m" else 30) or size == "128m"
+            rows = TP.read_numbered_queries(spark, f"{tmpdir_path}/q").collect()
+            assert sorted((int(r.qid), r.text) for r in rows) == [(401 + i, t) for i, t in enumerate(want)]
+            lines = placed_lines(spark, f"{tmpdir_path}/q").orderBy("line_no").collect()
+            assert [r.line_no for r in lines] == list(range(len(lines)))
+    finally:
+        spark.conf.set(conf, before)
+
+
+def test_synset_of_100_000_words(spark):
+    """One row per member, and only texts that use the synset grow."""
+    n = 100_000
+    syn = spark.range(n).selectExpr("'1' as synset_id", "id as seq", "concat('W', id) as word").unionByName(
+        spark.createDataFrame([("2", n + 1, "w5"), ("2", n + 2, "late"), ("3", n + 3, "ox"), ("3", n + 4, "Ox"), ("3", n + 5, "cow")],
+                              "synset_id string, seq long, word string"))
+    blocks = spark.createDataFrame([(1, "a w5 OX"), (2, "late b")], "block_id int, raw string")
+    got = {r.block_id: r.raw for r in TP.expand_synonyms(blocks, syn).collect()}
+    assert got[2] == "late w5 b"
+    words = got[1].split(" ")
+    assert words[:3] == ["a", "w5", "W0"] and words[-2:] == ["OX", "cow"] and len(words) == 4 + n - 1
+    assert words[2:-2] == [f"W{i}" for i in range(n) if i != 5]
+
+
+def test_unusable_queries(spark):
+    from pyspark.sql import functions as F
+
+    from qrank.operators.query import usable
+    good = ["plain words", "(a b) [c]", '"a (b" c', "a - b", "wh?t*", "AND1 x", "it's", r"a \" b", r"\(x", "", None, "no and"]
+    bad = ['"open', "(a", "b)", "a) (b", "x AND", "OR x", "*x", "x -", "y !", "[a", "{a", '"a" "b', "not NOT"]
+    rows = spark.createDataFrame([(t,) for t in good + bad], "t string").select(usable(F.col("t")).alias("ok")).collect()
+    assert [r.ok for r in rows] == [True] * len(good) + [False] * len(bad)
+
+
 def test_run_and_qrels_files(spark, tmpdir_path):
     open(f"{tmpdir_path}/run", "w").write("# comment\n1 Q0 d1 1 2.5 tagA extra junk\n\n1 Q0 d2 2 1.5 tagA\n")
     open(f"{tmpdir_path}/qrels", "w").write("# c\n1 0 d1 1\n1 0 d2 -1\n")
