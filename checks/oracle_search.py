@@ -6,8 +6,10 @@ tokenizer + lowercase + stop; no stemming, which DuckDB cannot do offline).
 
 from __future__ import annotations
 
+from . import oracle_sources as SRC
 from .oracle import FIXTURE_CTES
 from .oracle_sources import QUERY_SPECIAL
+from .porter_sql import folded, stem_ctes
 
 # Restated here, not imported from the code under test.
 STANDARD_RE = r"[\p{L}\p{N}]+(?:['’.][\p{L}\p{N}]+)*"
@@ -66,6 +68,20 @@ def index_ctes(tokenizer: str | None = None) -> list[tuple[str, str]]:
     ]
 
 
+def stemmed(index: list[tuple[str, str]], queries: list[tuple[str, str]], tokens: str = "stok", out: str = "folded",
+            keys: str = "qid, section, has_date") -> list[tuple[str, str]]:
+    """Index and query CTEs whose terms are stemmed and folded; query tokens come from the CTE
+    ``tokens`` and take their ``out`` form."""
+    at = [n for n, _ in index].index("tok1")
+    mine = [(("raw_" + n) if n == tokens else n, q) for n, q in queries]
+    cut = [n for n, _ in mine].index("raw_" + tokens) + 1
+    return (index[:at] + [("raw_tok1", index[at][1])] + mine[:cut]
+            + [("all_terms", f"select term from raw_tok1 union select term from raw_{tokens}")] + stem_ctes("all_terms")
+            + [("tok1", "select docno, field, dl, folded as term from raw_tok1 join ps using (term)"),
+               (tokens, f"select {keys}, {out} as term from raw_{tokens} join ps using (term)")]
+            + index[at + 1:] + mine[cut:])
+
+
 def _with(ctes: list[tuple[str, str]]) -> str:
     return "with " + ",\n".join(f"{n} as ({q})" for n, q in ctes) + "\n"
 
@@ -126,8 +142,9 @@ def sectioned_queries_cte(weights=TUNED_WEIGHTS, boosts=TUNED_BOOSTS, tokenizer:
     ]
 
 
-def search_sql(sim: str, params: dict, sectioned: bool = False, k: int = 1000, run_id: str = "run") -> str:
-    ctes = index_ctes() + (sectioned_queries_cte() if sectioned else [flat_queries_cte()])
+def search_sql(sim: str, params: dict, sectioned: bool = False, k: int = 1000, run_id: str = "run",
+               ctes: list[tuple[str, str]] | None = None) -> str:
+    ctes = ctes or index_ctes() + (sectioned_queries_cte() if sectioned else [flat_queries_cte()])
     expr = SIMS[sim].format(**params)
     ctes += [
         ("sc", f"""select qid, docno, sum(weight * ({expr})) as score
@@ -275,3 +292,87 @@ def match_all_sql() -> str:
     return f"""select * from ({found}) union all
 select 'all', cast(401 + item_id as varchar), docno, rank, 1.0 from benchmark, (
   select docno, row_number() over (order by docno) as rank from ({FIXTURE_CTES['corpus']}) qualify rank <= 1000) where {broken}"""
+
+
+# ------------------------------------------------- stemmed and folded searches
+
+TUNED = {"k1": 0.6, "b": 0.7}
+
+
+def search_stemmed_sql(run_id: str = "stem") -> str:
+    return search_sql("bm25", TUNED, run_id=run_id, ctes=stemmed(index_ctes(), sectioned_queries_cte()))
+
+
+def search_expanded_sql() -> str:
+    """Numbered lines over every field, stemmed but not folded, against the folded index."""
+    fields = "[" + ", ".join(_lit(f) for f in DOC_FIELDS) + "]"
+    queries = [("lines", SRC.numbered_queries_sql()),
+               ("stok", f"select qid, unnest({tokens_sql(sanitize_sql('text'))}) as term from lines"),
+               ("qt", f"select qid, field, term, count(*) * 1.0 as weight from stok cross join (select unnest({fields}) as field) group by qid, field, term")]
+    return search_sql("bm25", {"k1": 1.2, "b": 0.75}, run_id="expanded",
+                      ctes=stemmed(index_ctes(), queries, out="stem", keys="qid"))
+
+
+def search_synonyms_sql() -> str:
+    """Topics parsed from blocks whose words are followed by their synonyms."""
+    parsed = SRC.topics_of_blocks(f"(select regexp_extract(raw, '<top>\\s([\\s\\S]*?)</top>', 1) as raw from ({SRC.synonym_expand_sql()}))")
+    q = sectioned_queries_cte()
+    names = [n for n, _ in q]
+    queries = [("tp", f'select qid, title, "desc" as desc_text, narr, date, date <> \'null\' as has_date from ({parsed})')] + q[names.index("secs"):]
+    return search_sql("bm25", TUNED, run_id="synonyms", ctes=stemmed(index_ctes(), queries))
+
+
+def flagship_sql() -> str:
+    """MAP, nDCG and P@10 of the stemmed search, per topic and on average."""
+    ctes = [("run", f"select run_id, qid, docno, sim from ({search_stemmed_sql('bm25_tuned')})"), passage_qrels_cte()] + _map_sql("run", "pq") + [
+        ("gains", """select run_id, qid, coalesce(sum(case when rel > 0 then rel / log2(rank + 1) end), 0) as dcg,
+  count(*) filter (where rel >= 1 and rank <= 10) / 10.0 as p10 from jr group by run_id, qid"""),
+        ("best", """select qid, sum(rel / log2(pos + 1)) as ideal from (
+  select qid, rel, row_number() over (partition by qid order by rel desc, docno) as pos from pq where rel > 0) group by qid"""),
+        ("per", """select run_id, qid, ap as map, case when ideal > 0 then dcg / ideal else 0 end as ndcg, p10 as P_10
+  from ap join gains using (run_id, qid) left join best using (qid)""")]
+    return _with(ctes) + """select run_id, qid, round(map, 6) as map, round(ndcg, 6) as ndcg, round(P_10, 6) as P_10 from per
+union all select run_id, 'all', round(avg(map), 6), round(avg(ndcg), 6), round(avg(P_10), 6) from per group by run_id"""
+
+
+#: Filters of the sweep in chain order; bit j of a subset's number stands for filter j.
+SWEEP_FILTERS = ("lowercase", "stop", "porterstem", "apostrophe", "elision", "asciifolding")
+PREFIXES = ("l", "m", "t", "qu", "n", "s", "j", "d", "c", "jusqu", "quoiqu", "lorsqu", "puisqu")
+
+
+def sweep_filters_sql() -> str:
+    """MAP of the tuned search for all 64 filter subsets on the standard tokenizer."""
+    names = [(i, "-".join(f for j, f in enumerate(SWEEP_FILTERS) if i >> j & 1) or "none") for i in range(64)]
+    cfg = ", ".join(f"({i}, '{n}')" for i, n in names)
+    on = lambda j: f"(sid >> {j}) & 1 = 1"
+    term = f"case when {on(2)} then case when {on(0)} then stem_low else stem_raw end when {on(0)} then low else raw end"
+    term = f"case when {on(3)} then regexp_replace({term}, '[''’].*$', '') else {term} end"
+    inner = f"select sid, raw, low, {term} as t from forms, cfg where not ({on(1)} and list_contains({STOP_LIST}, case when {on(0)} then low else raw end))"
+    elided = f"case when {on(4)} then regexp_replace(t, '^(?i)({'|'.join(PREFIXES)})[''’]', '') else t end"
+    q = sectioned_queries_cte(tokenizer="standard")
+    cut = [n for n, _ in q].index("wts")
+    bm = SIMS["bm25"].format(**TUNED)
+    wanted_q = q[-1][1].replace("from stok s", "from (select qid, section, has_date, sid, m.t as term from stok join maps m on m.raw = stok.term) s")
+    wanted_q = wanted_q.replace("select qid, field, term,", "select sid, qid, field, term,").replace("group by qid, field, term", "group by sid, qid, field, term")
+    kept = f"case when not ({on(1)}) then true when {on(0)} then not list_contains({STOP_LIST}, lower(raw)) else not list_contains({STOP_LIST}, raw) end"
+    ctes = index_ctes("standard")[:4] + q[:cut] + [
+        ("cfg", f"select * from (values {cfg}) t(sid, run_id)"),
+        ("rawp", "select field, docno, term as raw, count(*) as tf from tok1 group by field, docno, term"),
+        ("voc", "select distinct raw from (select raw from rawp union select term from stok)"),
+        ("vw", "select raw as term from voc union select lower(raw) from voc"), *stem_ctes("vw"),
+        ("forms", """select raw, lower(raw) as low, a.stem as stem_raw, b.stem as stem_low from voc
+  join ps a on a.term = raw join ps b on b.term = lower(raw)"""),
+        ("maps", f"select sid, raw, case when {on(5)} then {folded('x')} else x end as t from (select sid, raw, {elided} as x from ({inner}))"),
+        q[cut], ("qt", wanted_q),
+        ("need", "select distinct sid, term from qt"),
+        ("post", """select m.sid, field, docno, m.t as term, sum(tf) as tf from maps m join need n on n.sid = m.sid and n.term = m.t
+  join rawp using (raw) group by m.sid, field, docno, m.t"""),
+        ("lens", f"select sid, field, docno, sum(case when {kept} then tf else 0 end) as dl from rawp, cfg group by sid, field, docno having dl > 0"),
+        ("fs", "select sid, field, count(*) as N, sum(dl) as sum_dl, sum(dl) / count(*) as avgdl from lens group by sid, field"),
+        ("dict", "select sid, field, term, count(*) as df, sum(tf) as cf from post group by sid, field, term"),
+        ("sc", f"""select sid, qid, docno, sum(weight * ({bm})) as score from post join qt using (sid, field, term)
+  join dict using (sid, field, term) join fs using (sid, field) join lens using (sid, field, docno) group by sid, qid, docno"""),
+        ("rk", "select cast(sid as varchar) as run_id, qid, docno, round(score, 6) as sim from sc where score > 0"),
+        ("runs_t", "select * from (select *, row_number() over (partition by run_id, qid order by sim desc, docno desc) as rn from rk) where rn <= 1000"),
+        passage_qrels_cte()] + _map_sql("runs_t", "pq")
+    return _with(ctes) + "select c.run_id, round(coalesce(map, 0), 6) as map from cfg c left join mp on mp.run_id = cast(c.sid as varchar)"

@@ -65,7 +65,8 @@ def collection_counts_sql() -> str:
     return _parsed() + "select collection, count(*) as n_docs from parsed group by collection"
 
 
-def _topics() -> str:
+def _topic_parts() -> tuple[str, str]:
+    """Select lists: a block without syntax characters, and its sections."""
     def sec(tag, nxt):
         pat = f"<{tag}>([\\s\\S]*?)<{nxt}>" if nxt else f"<{tag}>([\\s\\S]*?)$"
         has = f"regexp_matches(b, '{pat}')"
@@ -75,12 +76,22 @@ def _topics() -> str:
     years = (f"flatten(list_transform({found}, lambda m: case when lower(m) like '%s' then "
              "list_transform(range(cast(left(m, 4) as int), cast(left(m, 4) as int) + 10), lambda y: cast(y as varchar)) "
              "else [m] end))")
+    block = f"regexp_replace(regexp_replace(raw, '[\\n\\t]', ' ', 'g'), {_lit(QUERY_SPECIAL)}, '', 'g') as b"
+    return block, f"""trim({sec('num', 'title')}) as qid, {sec('title', 'desc')} as title, {sec('desc', 'narr')} as "desc",
+  {sec('narr', None)} as narr, case when len({years}) = 0 then 'null' else array_to_string({years}, ', ') end as date"""
+
+
+def topics_of_blocks(blocks: str) -> str:
+    """Topic sections of a table of blocks (column raw)."""
+    block, parts = _topic_parts()
+    return f"select {parts} from (select {block} from {blocks})"
+
+
+def _topics() -> str:
     return f"""with tb as ({topic_blocks_sql("benchmark")}),
 files as (select file_id, string_agg(block, chr(10) || chr(10) order by item_id) as value from tb group by file_id),
 blocks as (select unnest(regexp_extract_all(value, '<top>\\s([\\s\\S]*?)</top>', 1)) as raw from files),
-sb as (select regexp_replace(regexp_replace(raw, '[\\n\\t]', ' ', 'g'), {_lit(QUERY_SPECIAL)}, '', 'g') as b from blocks),
-tp as (select trim({sec('num', 'title')}) as qid, {sec('title', 'desc')} as title, {sec('desc', 'narr')} as "desc",
-  {sec('narr', None)} as narr, case when len({years}) = 0 then 'null' else array_to_string({years}, ', ') end as date from sb)
+tp as ({topics_of_blocks("blocks")})
 """
 
 

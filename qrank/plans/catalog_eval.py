@@ -39,7 +39,12 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wide.select("run_id", "qid", r6("map").alias("map"), r6("ndcg").alias("ndcg"), r6("P_10").alias("P_10"))
 
 
-register("flagship_eval")(flagship)
+def _flagship_sql() -> str:
+    from checks import oracle_search as OS
+    return OS.flagship_sql()
+
+
+register("flagship_eval", _flagship_sql)(flagship)
 
 
 @register("passage_qrels", _o(lambda O: O.PASSAGE_QRELS))

@@ -14,7 +14,7 @@ from ..sources import fixtures as fx
 from .registry import r6, register
 from .tables import shared_path
 
-# Analyzer the DuckDB oracle can reproduce (no stemming / folding).
+# Lower case and stop words only.
 PLAIN = Analyzer("standard", ("lowercase", "stop"))
 FULL = Analyzer()  # standard, lowercase, stop, porterstem, asciifolding
 
@@ -94,8 +94,8 @@ def q_search_saved(spark, sf_dir):
     return SE.search(qt, I.load_index(spark, path), S.bm25(0.6, 0.7), run_id="saved")
 
 
-# Full analyzer (Porter stemming + folding): no SQL equivalent offline.
-register("search_stemmed")(_search(lambda: S.bm25(0.6, 0.7), "stem", sectioned=True, analyzer=FULL))
+# Full analyzer (Porter stemming + folding).
+register("search_stemmed", _oracle("search_stemmed_sql"))(_search(lambda: S.bm25(0.6, 0.7), "stem", sectioned=True, analyzer=FULL))
 
 
 # Query-side analyzer of the expanded-query search: no ASCII folding, while
@@ -103,7 +103,7 @@ register("search_stemmed")(_search(lambda: S.bm25(0.6, 0.7), "stem", sectioned=T
 EXPANDED_QUERY = Analyzer("standard", ("lowercase", "stop", "porterstem"))
 
 
-@register("search_expanded")
+@register("search_expanded", _oracle("search_expanded_sql"))
 def q_search_expanded(spark, sf_dir):
     """Numbered query list (one line per benchmark item) searched in every
     field with weight 1, default BM25 (1.2, 0.75), top 1000."""
@@ -122,7 +122,7 @@ def q_search_match_all(spark, sf_dir):
     return SE.search_expanded(queries, fx.corpus(spark, sf_dir), PLAIN, PLAIN, S.bm25(*S.BM25_DEFAULT), k=1000, run_id="all")
 
 
-@register("search_synonyms")
+@register("search_synonyms", _oracle("search_synonyms_sql"))
 def q_search_synonyms(spark, sf_dir):
     """Topics whose raw text is expanded with noun synonyms before parsing,
     searched with the tuned multi-field BM25."""
