@@ -10,8 +10,9 @@ size.  A bucket counts only where target and raw differ by more than chance
 (``Z`` standard errors), since over long texts the noise of millions of rare
 buckets would drown the evidence; each weight is divided by the square root of
 the text's n-grams for the same reason.  k is not a constant: it is the number
-of documents whose weight passes a threshold set on labelled rows that the
-target model has not seen.
+of documents that a cut is expected to keep, noise included.  The cut is set on
+labelled rows that the target model has not seen, low quality and toxic ones
+weighed apart, so that the expected share of clean rows stays above a bound.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import LOWER, broadcast_if_small, content_key, materialize, slices
@@ -28,10 +29,9 @@ from .rules import label_rows
 
 #: Buckets of unigrams and of bigrams.
 UNI, BI = 1 << 20, 1 << 16
-SMOOTH, Z = 0.5, 4.0
+SMOOTH, Z = 0.5, 2.5
 #: Share of labelled documents kept out of the target model for the threshold: one of this many.
 HOLD_OUT = 4
-MAX_CALIBRATION = 20_000
 TOKEN = re.compile(rb"[a-z0-9\x80-\xff]+|[^\sa-z0-9\x80-\xff]+")
 
 
@@ -117,11 +117,17 @@ def kth_largest(keys: DataFrame, k: int, column: str = "key") -> tuple[float, in
 
 
 def importance_resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                        temperature: float = 0.01, seed: int = 11) -> DataFrame:
+                        temperature: float = 0.05, clean_share: float = 0.99, max_calibration: int = 20_000,
+                        seed: int = 11) -> DataFrame:
     """(doc_id, _k1, _k2, log_weight, gumbel_key, kept) of each row of ``docs``.
 
     kept: the row is among the k largest Gumbel keys (weight / temperature +
-    noise); equal keys at the border go by content key, and wholly repeated
+    noise).  k is the sum, over all rows, of the chance that the key passes
+    cut / temperature; the cut is the one that keeps least of the held-out low
+    quality rows and of the toxic ones (two shares, added) among those that
+    are expected to keep ``clean_share`` of the held-out clean rows.  It is set
+    on at most ``max_calibration`` held-out rows, drawn by a hash of the id;
+    counts, weights and k cover all rows.  Equal keys at the border go by content key, and wholly repeated
     rows are kept or dropped together.  The noise is a hash of the row's
     content, so a re-run task draws the same.  Null, empty and unknown texts
     have weight 0.  Without any target label every row is kept.  Of repeated
@@ -129,7 +135,8 @@ def importance_resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_i
     not read.
     """
     known = materialize(label_rows(labels).where(F.col("quality").isNotNull())
-                        .select("doc_id", ((F.col("quality") >= 1) & (F.coalesce("toxic", F.lit(0)) == 0)).alias("good")), "labels")
+                        .select("doc_id", ((F.col("quality") >= 1) & (F.coalesce("toxic", F.lit(0)) == 0)).alias("good"),
+                                (F.coalesce("toxic", F.lit(0)) != 0).alias("toxic")), "labels")
     held = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(HOLD_OUT)) == 0
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("t"))
     marked = d.join(broadcast_if_small(known.where("good").where(~held).select("doc_id", "good"), 2_000_000, 16), "doc_id", "left")
@@ -152,20 +159,36 @@ def importance_resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_i
                          .mapInArrow(run, "doc_id long, _k1 long, _k2 long, log_weight double"), "weights")
     u = (F.pmod(F.xxhash64("_k1", "_k2", F.lit(seed)), F.lit(1 << 52)) + F.lit(0.5)) / F.lit(float(1 << 52))
     keyed = scored.withColumn("gumbel_key", F.col("log_weight") / temperature - F.log(-F.log(u)))
-    cal = (scored.join(known, "doc_id").where(held).orderBy(F.xxhash64("doc_id", F.lit(seed + 1))).limit(MAX_CALIBRATION)
-           .select("log_weight", "good").toArrow())
-    s, y = cal["log_weight"].to_numpy(), cal["good"].to_numpy().astype(bool)
-    if not learned or not len(y) or y.all() or not y.any():
-        return keyed.withColumn("kept", F.lit(True)) if not learned else _top(keyed, F.col("log_weight") >= 0)
-    grid = np.unique(np.quantile(s, np.linspace(0, 1, 513)))
-    won = [3 * (s[y] >= t).mean() + (s[~y] < t).mean() for t in grid]  # losing a clean document costs more
-    return _top(keyed, F.col("log_weight") >= float(grid[int(np.argmax(won))]))
-
-
-def _top(keyed: DataFrame, passes) -> DataFrame:
-    """``kept`` for the k rows of the largest key, k the number of rows that pass."""
+    if not learned:
+        return keyed.withColumn("kept", F.lit(True))
+    cal = (scored.join(known, "doc_id").where(held).orderBy(F.xxhash64("doc_id", F.lit(seed + 1))).limit(max_calibration)
+           .select("log_weight", "good", "toxic").toArrow())
+    w, good, toxic = (cal[c].to_numpy() for c in ("log_weight", "good", "toxic"))
+    cut = choose_cut(w, good.astype(bool), toxic.astype(bool), temperature, clean_share)
+    chance = 1 - F.exp(-F.exp((F.col("log_weight") - cut) / temperature))
+    return _top(keyed, chance)
+
+
+def choose_cut(w: np.ndarray, good: np.ndarray, toxic: np.ndarray, temperature: float, clean_share: float) -> float:
+    """The cut that is expected to keep least of the bad and of the toxic weights, two shares, while
+    it keeps ``clean_share`` of the good ones; 0 without good or without other weights."""
+    parts = [good, ~good & ~toxic, ~good & toxic]
+    if not good.any() or good.all():
+        return 0.0
+    grid = np.r_[w.min() - 10 * temperature, np.unique(np.quantile(w, np.linspace(0, 1, 513)))]
+    kept = np.zeros((3, len(grid)))
+    for i, part in enumerate(parts):
+        if part.any():
+            power = np.minimum((w[part][None, :] - grid[:, None]) / temperature, 50)
+            kept[i] = (1 - np.exp(-np.exp(power))).mean(axis=1)
+    fine = kept[0] >= clean_share
+    return float(grid[np.argmin(np.where(fine, kept[1] + kept[2], np.inf))]) if fine.any() else float(grid[0])
+
+
+def _top(keyed: DataFrame, chance: Column) -> DataFrame:
+    """``kept`` for the k rows of the largest key, k the sum of the rows' chances."""
     keyed = materialize(keyed, "gumbel")
-    k = keyed.where(passes).count()
+    k = round(keyed.agg(F.sum(chance)).first()[0] or 0)
     if not k:
         return keyed.withColumn("kept", F.lit(False))
     edge, above = kth_largest(keyed, k, "gumbel_key")
@@ -177,7 +200,10 @@ def _top(keyed: DataFrame, passes) -> DataFrame:
 
 
 def keep_resampled(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that the resampling keeps, columns as they came."""
+    """The rows of ``docs`` that the resampling keeps, columns as they came (names that clash with
+    internal ones too).  Null and empty texts are rows like others, of weight 0; repeated rows stay
+    or go together, rows of one id and different texts each by its own text; an empty table stays
+    empty, and without any target label every row stays."""
     kept = importance_resample(docs, labels, id_col, text_col).where("kept").select("_k1", "_k2").distinct()
     keyed = docs.select(F.struct(*docs.columns).alias("_row"), *content_key(id_col, text_col))
     return keyed.join(kept, ["_k1", "_k2"], "left_semi").select("_row.*")

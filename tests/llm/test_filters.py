@@ -4,6 +4,8 @@ import re
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from qrank.llm import decontam, langid, licences, resample, rules
 from qrank.llm.common import LOWER
 
@@ -167,6 +169,25 @@ def test_weights_by_brute_force(spark):
     assert (resample.buckets(b"A B", {}) == resample.buckets(b"a b", {})).all()
 
 
+def test_cut_and_noise(spark):
+    """The cut weighs low quality and toxic rows apart and keeps the clean share; the noise decides between the classes."""
+    rng = np.random.default_rng(2)
+    w = np.r_[rng.normal(0.4, 0.15, 4000), rng.normal(-3, 1, 900), rng.normal(-0.5, 0.3, 100)]
+    good, toxic = np.arange(5000) < 4000, np.arange(5000) >= 4900
+    chance = lambda t, x: 1 - np.exp(-np.exp(np.minimum((x - t) / 0.05, 50)))
+    cut = resample.choose_cut(w, good, toxic, 0.05, 0.99)
+    assert chance(cut, w[good]).mean() >= 0.99 and chance(cut, w[toxic]).mean() < 0.2 and chance(cut + 0.05, w[good]).mean() < 0.99
+    assert resample.choose_cut(w[good], good[good], toxic[good], 0.05, 0.99) == 0.0
+    assert chance(resample.choose_cut(w, good, toxic, 0.05, 1 - 1e-9), w[good]).mean() > 0.999
+    rows = spark.createDataFrame([(i, i, i, float(x)) for i, x in enumerate(w)], "doc_id long, _k1 long, _k2 long, log_weight double")
+    u = (F.pmod(F.xxhash64("_k1"), F.lit(1 << 52)) + F.lit(0.5)) / F.lit(float(1 << 52))
+    got = resample._top(rows.withColumn("gumbel_key", F.col("log_weight") / 0.05 - F.log(-F.log(u))),
+                        1 - F.exp(-F.exp((F.col("log_weight") - cut) / 0.05))).toPandas()
+    k = round(chance(cut, w).sum())
+    plain = set(np.argsort(-w)[:k])
+    assert got.kept.sum() == k and 5 < len(plain - set(got[got.kept].doc_id)) < 0.05 * k
+
+
 @pytest.mark.parametrize("k", [1, 2, 7, 50, 99, 100])
 def test_kth_largest(spark, k):
     values = [round(float(x), 3) for x in np.random.default_rng(3).normal(size=90)] + [0.5] * 10
