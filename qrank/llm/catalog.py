@@ -232,7 +232,8 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licences.scan_licences(table(spark, sf_dir, "documents"))
+    found = licences.scan_licences(table(spark, sf_dir, "documents"))
+    return found.withColumn("spans", F.to_json("spans"))
 
 
 @query

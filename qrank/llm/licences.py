@@ -4,11 +4,13 @@ A document's word 5-shingles are cut into blocks of ``BLOCK``; a window is an
 even power of two of blocks, and windows start at every block.  A template of c
 shingles is sought in windows of 2L shingles, L the least multiple of BLOCK by
 a power of two that holds it, so any place of the template lies in a window.
-A window with 0.8 of the template has a Jaccard similarity of at least
-0.8 c / (2L + 0.2 c): 1/16 for a one-shingle template, about 1/5 for c near L.
-With ``BANDS`` = 128 bands of one row a window meets its template with
-probability 1 - (1 - J)^128, over 0.9997 at J = 1/16, and each place lies in
-two windows.  Every window so found is then compared shingle for shingle.
+A window with k = 0.8 c of the template (rounded up) has a Jaccard similarity J of at
+least k / (2L + c - k): 1/16 for a one-shingle template, 1/5 to 1/3 for long ones.
+Bands hold one row, so with b of them a window meets its template with
+probability 1 - (1 - J)^b; each template takes as many as its own J needs for
+0.9997 (:func:`bands_for`: 126 for one shingle, some 20 to 40 for long texts), and each
+place lies in two windows.  Every window so found is then compared shingle for
+shingle.  Templates may be single sentences or whole licence texts.
 Notices of neighbouring versions share most of their shingles, so each place
 of a text counts for one notice only, the one of which it has most.
 """
@@ -22,9 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, slices
+from .common import LOWER, materialize, slices
 
 SHINGLE, BLOCK, BANDS, CONTAINED = 5, 8, 128, 0.8
+#: Chance that a window with just enough of its template meets it in no band.
+MISSED = 3e-4
 WORD = re.compile(rb"[a-z0-9\x80-\xff]+")
 
 #: Public licence notices by SPDX identifier.
@@ -154,6 +158,19 @@ def permutations() -> tuple[np.ndarray, np.ndarray]:
     return rng.integers(1, 1 << 32, BANDS, dtype=np.uint32) | np.uint32(1), rng.integers(0, 1 << 32, BANDS, dtype=np.uint32)
 
 
+def level_of(shingles: int) -> int:
+    """The least level whose L = BLOCK << level holds a template of so many shingles."""
+    return max(0, -(-shingles // BLOCK) - 1).bit_length()
+
+
+def bands_for(shingles: int) -> int:
+    """Bands that a template of so many shingles needs: a window of 2L with 0.8 of it stays
+    unmet with probability ``MISSED`` at most."""
+    least = int(np.ceil(CONTAINED * shingles))
+    low = least / (2 * (BLOCK << level_of(shingles)) + shingles - least)
+    return min(BANDS, int(np.ceil(np.log(MISSED) / np.log1p(-low))))
+
+
 class Scanner:
     """Templates with their signatures, grouped by window size."""
 
@@ -168,14 +185,13 @@ class Scanner:
                 some = set(shingles_of(words))
                 if not some:
                     continue
-                level = 0
-                while BLOCK << level < len(shingles_of(words)):
-                    level += 1
-                sizes.setdefault(level, []).append(len(self.items))
-                self.items.append((name, some, len(shingles_of(words))))
+                n = len(shingles_of(words))
+                sizes.setdefault(level_of(n), []).append(len(self.items))
+                self.items.append((name, some, n))
                 h = shingle_hashes(words, {})
                 mins.append((h[:, None] * self.mul + self.add).min(axis=0))
         self.levels = sorted(sizes.items())
+        self.bands = [bands_for(n) for _, _, n in self.items]
         self.mins = np.array(mins, np.uint32).reshape(-1, BANDS)
 
     def candidates(self, hashes: list[np.ndarray]) -> set[tuple[int, int, int, int]]:
@@ -196,7 +212,7 @@ class Scanner:
                 while width < 2 << level:
                     x = np.minimum(x, np.r_[x[width:], x[-width:]])
                     width *= 2
-                for i in items:
+                for i in (i for i in items if j < self.bands[i]):
                     at = np.flatnonzero(x == self.mins[i, j])
                     if len(at):
                         at = at[left[at] >= width]
@@ -204,11 +220,11 @@ class Scanner:
                         hit[key] = np.union1d(hit[key], at) if key in hit else at
         return {(int(doc[a]), int(start[a]) * BLOCK, w * BLOCK, i) for (i, w), at in hit.items() for a in at}
 
-    def scan(self, texts: list[bytes], known: dict[bytes, int]) -> list[dict[str, float]]:
-        """Licence -> best containment (0.8 or more) of each text."""
+    def scan(self, texts: list[bytes], known: dict[bytes, int]) -> list[dict[str, tuple[float, int, int]]]:
+        """Licence -> (best containment, 0.8 or more; first word and number of words of that place) of each text."""
         words = [words_of(t) for t in texts]
         some = [i for i, w in enumerate(words) if w]
-        found: list[dict[str, float]] = [{} for _ in texts]
+        found: list[dict[str, tuple[float, int, int]]] = [{} for _ in texts]
         if not some or not self.items:
             return found
         by_doc: dict[int, list[tuple[int, int, int]]] = {}
@@ -218,8 +234,8 @@ class Scanner:
             found[k] = self.chosen(words[k], places)
         return found
 
-    def chosen(self, words: list[bytes], places: list[tuple[int, int, int]]) -> dict[str, float]:
-        """Licence -> best containment among ``places`` (first shingle, window, template) of one text.
+    def chosen(self, words: list[bytes], places: list[tuple[int, int, int]]) -> dict[str, tuple[float, int, int]]:
+        """Licence -> best containment, and its place in words, among ``places`` (first shingle, window, template) of one text.
 
         The best match goes first (by shingles found in its tightest place, then by containment: a damaged "or later" header
         holds a higher share of the shorter one without) and takes the shingles of that place; another match counts if its
@@ -234,12 +250,14 @@ class Scanner:
                 first, most = tightest([x if x in template else None for x in window], length)
                 ranked.setdefault((most, most / len(template)), []).append((name, share, template, window, at, at + first, length))
         taken: set[int] = set()
-        best: dict[str, float] = {}
+        best: dict[str, tuple[float, int, int]] = {}
         names = set()
         for key in sorted(ranked, reverse=True):
             taking: set[int] = set()
             for name, share, template, window, at, first, length in ranked[key]:
-                best[name] = max(best.get(name, 0), share)
+                if share > best.get(name, (0.0,))[0]:
+                    mine = [j for j in range(first, min(first + length, at + len(window))) if window[j - at] in template]
+                    best[name] = share, mine[0], min(mine[-1] + SHINGLE, len(words)) - mine[0]
                 free = {x for j, x in enumerate(window, at) if j not in taken}
                 if len(template & free) / len(template) >= CONTAINED:
                     names.add(name)
@@ -264,29 +282,52 @@ def tightest(hits: list, length: int) -> tuple[int, int]:
     return start, most
 
 
-def scan_licences(docs: DataFrame, templates: dict[str, list[str]] | None = None, id_col: str = "doc_id",
+def template_texts(templates: DataFrame, max_bytes: int = 64 << 20) -> dict[str, list[str]]:
+    """A template table (identifier, text) as a dictionary; rows with a null are passed over.
+
+    The texts travel to every task, so their size is checked before they come
+    to the driver: beyond ``max_bytes`` that is an error.
+    """
+    some = materialize(templates.select("identifier", "text").where("identifier is not null and text is not null").distinct(), "templates")
+    size = some.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    if size > max_bytes:
+        raise ValueError(f"templates of {size} bytes; at most {max_bytes}")
+    out: dict[str, list[str]] = {}
+    for r in some.orderBy("identifier", "text").toArrow().to_pylist():
+        out.setdefault(r["identifier"], []).append(r["text"])
+    return out
+
+
+def scan_licences(docs: DataFrame, templates: DataFrame | dict[str, list[str]] | None = None, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
-    """(doc_id, n_licences, licences, containment) of each row of ``docs``.
+    """(doc_id, n_licences, licences, containment, spans) of each row of ``docs``.
 
     licences: identifiers of the templates that a window contains to 0.8 or
     more by word 5-shingles, at each place of the text the one with most shingles there,
     sorted and comma-joined (none: empty); containment: the best of them
-    (none: 0).  Without ``templates`` the scan seeks ``NOTICES``.  Null, empty and wordless texts
-    match nothing.  Repeated rows each get a row, null ids too; other columns
-    are not read.  ``templates`` travels to the tasks and is the caller's
-    bounded query set.
+    (none: 0); spans: (licence, first_word, n_words, containment) of each,
+    where its best place begins and how long it is, words counted from 0.
+    ``templates`` is a table (identifier, text) of notices or whole licence
+    texts of any length, or such a dictionary; without it the scan seeks
+    ``NOTICES``.  See :func:`template_texts` for its bound.  Null, empty and
+    wordless texts match nothing.  Repeated rows each get a row, null ids too;
+    an empty table gives none; other columns are not read.
     """
-    chosen = NOTICES if templates is None else templates
+    chosen = NOTICES if templates is None else templates if isinstance(templates, dict) else template_texts(templates)
+    span = pa.struct([("licence", pa.string()), ("first_word", pa.int64()), ("n_words", pa.int64()), ("containment", pa.float64())])
 
     def run(batches):
         scanner, known = Scanner(chosen), {}
         for b in batches:
             texts = [t.as_py() or b"" for t in b.column(1)]
             found = [x for lo, hi in slices(texts, 1 << 20) for x in scanner.scan(texts[lo:hi], known)]
+            spans = [[(n, x[n][1], x[n][2], x[n][0]) for n in sorted(x)] for x in found]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([len(x) for x in found], pa.int64()), pa.array([",".join(sorted(x)) for x in found], pa.string()),
-                 pa.array([max(x.values(), default=0.0) for x in found], pa.float64())],
-                ["doc_id", "n_licences", "licences", "containment"])
+                 pa.array([max((v[0] for v in x.values()), default=0.0) for x in found], pa.float64()),
+                 pa.array([[dict(zip(span.names, y)) for y in x] for x in spans], pa.list_(span))],
+                ["doc_id", "n_licences", "licences", "containment", "spans"])
 
     return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("t"))
-            .mapInArrow(run, "doc_id long, n_licences long, licences string, containment double"))
+            .mapInArrow(run, "doc_id long, n_licences long, licences string, containment double, "
+                             "spans array<struct<licence: string, first_word: long, n_words: long, containment: double>>"))
