@@ -22,9 +22,8 @@ from pyspark.sql import functions as F
 from .common import broadcast_if_small, materialize, slices
 
 BUCKETS, DIM = 1 << 16, 16
-#: Training sample: expected rows per language, bytes of a piece (at most twice as many), pieces aimed at over all
-#: languages and the least and most of them per language, rows from which a fifth of a language only calibrates.
-PER_LANG, PIECE, PIECES, MIN_PIECES, MAX_PIECES, CALIBRATE = 400, 240, 24_000, 256, 4_000, 10
+#: Bytes of a piece (at most twice as many), least pieces of a language, and rows from which a fifth of a language only calibrates.
+PIECE, MIN_PIECES, CALIBRATE = 240, 256, 10
 #: Temperatures that calibration tries.
 WARMTHS = np.geomspace(0.02, 20, 61)
 #: ASCII letters lower-cased, bytes of non-ASCII characters as they are, all else a space.
@@ -171,11 +170,12 @@ def fold(id_col) -> F.Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % 3
 
 
-def training_rows(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+def training_rows(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_lang: int = 400, all_pieces: int = 24_000,
+                  max_pieces: int = 4_000) -> DataFrame:
     """A written sample (t, lang, take, only) of every language's rows outside the held-out fold.
 
-    Of a language's distinct rows with a letter about ``PER_LANG`` (fewer with many languages) are chosen by hash of id and
-    text, all if it has no more.  ``take``: pieces to draw from a row, so that few rows give as many pieces as many do;
+    Of a language's distinct rows with a letter about ``per_lang`` (fewer with many languages) are chosen by hash of id and
+    text, all if it has no more; ``all_pieces`` are aimed at over all languages, ``max_pieces`` for one at most.  ``take``: pieces to draw from a row, so that few rows give as many pieces as many do;
     ``only``: the row only calibrates.
     """
     t, lang = F.col(text_col).cast("binary"), F.col(lang_col).cast("string")
@@ -183,8 +183,8 @@ def training_rows(docs: DataFrame, id_col: str, text_col: str, lang_col: str) ->
         .select(t.alias("t"), lang.alias("lang"), F.xxhash64(F.col(id_col).cast("string"), t, F.lit(17)).alias("_h"))
     sizes = materialize(rows.groupBy("lang").agg(F.approx_count_distinct("_h").alias("_n")), "languages")
     n = sizes.count()
-    pieces = min(MAX_PIECES, max(MIN_PIECES, PIECES // max(1, n)))
-    want = min(PER_LANG, pieces)
+    pieces = min(max_pieces, max(MIN_PIECES, all_pieces // max(1, n)))
+    want = min(per_lang, pieces)
     u = F.pmod("_h", F.lit(1 << 30)) / F.lit(float(1 << 30))
     only = (F.col("_n") >= CALIBRATE) & (F.pmod(F.xxhash64("_h"), F.lit(5)) == 4)
     some = (rows.join(broadcast_if_small(sizes, 100_000), "lang").where(u * F.col("_n") < want)
@@ -234,20 +234,21 @@ def calibrated(model: Model, sample: DataFrame) -> Model:
     return model
 
 
-def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_lang: int = 400,
+             all_pieces: int = 24_000, max_pieces: int = 4_000) -> DataFrame:
     """(doc_id, held_out, lang_pred, score, rejected) of each row of ``docs``.
 
     Learns every non-null ``lang_col`` value that a text with a letter carries
     in a row whose crc32(id as text) mod 3 is not 1, however many values there
-    are, from a sample of pieces of each (see :func:`training_rows`); predicts
-    from the text alone.  lang_pred is a learned
+    are, from a sample of pieces of each, bounded by the last three arguments
+    (see :func:`training_rows`); predicts from the text alone.  lang_pred is a learned
     value, or ``und`` (score 0) if the text is null or has no letter or nothing
     was learned.  score: the calibrated probability of lang_pred.  rejected:
     the score is below the calibrated cut, or lang_pred is ``und``.  A null id
     is in no fold: never held out, never learned from.  With one language it is
     always predicted.  Repeated rows each get a row; other columns are unread.
     """
-    sample = training_rows(docs, id_col, text_col, lang_col)
+    sample = training_rows(docs, id_col, text_col, lang_col, per_lang, all_pieces, max_pieces)
     model = train(*sampled_pieces(sample))
     if len(model.langs) > 1:
         model = calibrated(model, sample)

@@ -62,7 +62,8 @@ def dedup_lines(docs: DataFrame, min_sites: int = 4, id_col: str = "doc_id", tex
     copies one remains.  Lines without a word are never removed.  Null text
     stays null, a text that loses all lines becomes empty, a null site counts
     as no site, a null id comes after all others (a line of null ids alone
-    keeps no first place).  Rows that agree on id and text are treated alike.
+    keeps no first place).  Rows that agree on id and text are treated alike;
+    rows of one id with different texts each keep the line's first place.
     Other columns pass through.  ``counts`` adds n_lines and n_removed.
     """
     lines = numbered_lines(docs, id_col, text_col, site_col)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import column_slices
+from .common import broadcast_if_small, column_slices, materialize
 from .tokens import encoder
 
 #: Fixed value of the record format (checksum masking).
@@ -81,7 +81,7 @@ def read_at(data: bytes, byte_offset: int) -> tuple[int | None, np.ndarray]:
 
 
 def write_records(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, id_col: str = "doc_id",
-                  text_col: str = "text", file_bytes: int = 16 << 20) -> None:
+                  text_col: str = "text", file_bytes: int | None = None) -> None:
     """Encode every text and write its ids, in ascending id order, as records.
 
     Null text counts as empty (its record holds the end id alone); null ids
@@ -91,10 +91,13 @@ def write_records(docs: DataFrame, path: str, tokenizer_path: str, end_id: int,
     The rows are range-partitioned by (id, row number), so that even one id
     with a third of all rows is split; ``file_bytes`` is the text that a
     file's records are made from (a single longer text gets a longer file).
+    Without it that is 16 MB, more for a table of over 4,096 such files, and
+    128 MB at most, as files are read back whole.
     """
     d = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     total = d.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     d = d.withColumn("row", F.monotonically_increasing_id())
+    file_bytes = file_bytes or min(128 << 20, max(16 << 20, total // 4096))
     parts = max(1, -(-total // file_bytes))
     ordered = d.repartitionByRange(parts, "id", "row").sortWithinPartitions(F.asc_nulls_first("id"), "row")
     end = struct.pack("<I", end_id)
@@ -145,8 +148,14 @@ def build_index(spark: SparkSession, path: str, index_path: str) -> DataFrame:
 
 
 def with_starts(index: DataFrame) -> DataFrame:
-    """Adds ``start``: the ids of all records before it, over all files."""
-    files = index.groupBy("part").agg(F.sum("n_tokens").alias("n"))  # a row per file
-    w = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    firsts = files.select("part", F.coalesce(F.sum("n").over(w), F.lit(0)).alias("first"))
-    return index.join(F.broadcast(firsts), "part").withColumn("start", F.col("first") + F.col("before"))
+    """Adds ``start``: the ids of all records before it, over all files.
+
+    Files are added up in runs of 1,024, and the runs by themselves, so no
+    window holds a row per file; the files' offsets are broadcast only if few.
+    """
+    files = index.groupBy("part").agg(F.sum("n_tokens").alias("n")).withColumn("run", F.floor(F.col("part") / 1024))
+    before = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    runs = files.groupBy("run").agg(F.sum("n").alias("n")).select("run", before(Window.orderBy("run")).alias("base"))
+    firsts = files.select("part", "run", before(Window.partitionBy("run").orderBy("part")).alias("inside")).join(runs, "run")
+    firsts = materialize(firsts.select("part", (F.col("base") + F.col("inside")).alias("first")), "file-starts")
+    return index.join(broadcast_if_small(firsts, 1_000_000, 16), "part").withColumn("start", F.col("first") + F.col("before")).drop("first")

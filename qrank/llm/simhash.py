@@ -4,8 +4,9 @@ Fingerprints within ``budget`` differing bits agree on at least one of any
 ``budget + 1`` parts of the 64 bits.  So the fingerprints are dealt into groups
 that agree on a whole part (a subtrie whose leading bits are that part), once
 for each part.  A group larger than ``GROUP`` is dealt again by the parts of
-its remaining bits, and so on: a group at the last level has at most 8 bits
-left, hence at most 256 distinct fingerprints.  No group is unbounded, however
+its remaining bits, and so on: at the last level, where some part leaves 8 bits
+or fewer, the others leave up to 10, so a group holds at most 1,024 distinct
+fingerprints.  No group is unbounded, however
 many near copies there are, and no pair is lost.
 
 Inside a group the binary trie is joined with itself: starting from the pair

@@ -238,6 +238,20 @@ def test_ngrams_by_brute_force():
     assert len(b) == len(t) == want and b.max() < langid.BUCKETS
 
 
+def test_texts_of_no_learned_language_are_rejected(spark):
+    import random
+    rng = random.Random(6)
+    parts = {"en": ["the", "ing", "er", "on", "ly"], "de": ["sch", "ung", "ä", "ich", "en"], "fr": ["eau", "que", "é", "ou", "les"]}
+    say = lambda some, n=60: " ".join("".join(rng.choices(some, k=rng.randint(1, 3))) for _ in range(n))
+    names = sorted(parts)
+    rows = [(i, say(parts[names[i % 3]]), names[i % 3]) for i in range(600)]
+    foreign = ["日本語 文章 です", "Ελληνικά κείμενο εδώ", "русский текст здесь", "xqzj wvkx jjqz"]
+    rows += [(1000 + i, say(foreign[i % 4].split()), None) for i in range(80)]
+    got = langid.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string"), per_lang=300, all_pieces=6_000).collect()
+    known, unknown = [r for r in got if r.doc_id < 1000], [r for r in got if r.doc_id >= 1000]
+    assert sum(r.rejected for r in unknown) >= 0.9 * len(unknown) and sum(r.rejected for r in known) <= 0.05 * len(known)
+
+
 def test_every_language_is_learned(spark):
     import random
     rng = random.Random(4)
@@ -261,7 +275,7 @@ def test_pieces_are_bounded_and_from_all_of_a_text(spark):
     rows = [(i, " ".join(f"w{j}x{i}" for j in range(30_000)), "en") for i in range(30)]
     sample = langid.training_rows(spark.createDataFrame(rows, "doc_id long, text string, lang string"), "doc_id", "text", "lang")
     pieces, langs = langid.sampled_pieces(sample)
-    assert set(langs) == {"en"} and 1000 < len(pieces) <= langid.MAX_PIECES + 30
+    assert set(langs) == {"en"} and 1000 < len(pieces) <= 4_000 + 30
     assert max(int(p.split()[-1][1:].split(b"x")[0]) for p in pieces) > 25_000
 
 

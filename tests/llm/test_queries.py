@@ -45,3 +45,24 @@ def test_pipeline_stages(spark):
         before = docs
     packed = corpus_pipeline.run(spark, SF)
     assert {r.doc_id for r in packed.collect()} == {r.doc_id for r in docs.collect()}
+
+
+def test_stages_take_awkward_rows(spark):
+    """Every stage on nulls, empty and very long texts, repeated rows and clashing columns: columns stay, and
+    no row appears that was not there."""
+    from . import data
+    docs = data.documents(spark)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SF)
+        if name == "packing":
+            got = out.groupBy("doc_id").count().collect()
+            assert {r.doc_id for r in got} == {r[0] for r in data.rows()}
+            continue
+        assert out.columns == docs.columns, name
+        rows, before = [tuple(r) for r in out.collect()], data.rows()
+        assert rows and len(rows) <= len(before), name
+        if name != "line dedup":
+            assert set(rows) <= set(before), name
+        else:
+            assert sorted(r[0] or -1 for r in rows) == sorted(r[0] or -1 for r in before)
+        assert stage(spark, data.empty(spark), SF).count() == 0, name
