@@ -49,3 +49,10 @@ def one_topic_sql(qid: str) -> str:
 def group_set_sql() -> str:
     return O.eval_union(["num_q", "num_ret", "num_rel", "num_rel_ret", "set_P", "set_recall", "set_relative_P", "set_map", "set_F",
                          "utility"], per_topic=True)
+
+
+def leaderboard_sql() -> str:
+    best = O.measure_query("map")
+    return f"""with m as (select run_id, round(value, 4) as map from ({best}) where qid = 'all'),
+a as (select * from m union all select 'runD', map from m where run_id = 'runB')
+select dense_rank() over (order by map desc) as place, run_id, map from a"""

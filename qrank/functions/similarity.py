@@ -72,7 +72,7 @@ class Similarity:
 
     def expr(self) -> Column:
         """The similarity as a column over matches."""
-        args = {"bm25": (self.p1, self.p2), "tfidf": (), "lmd": (self.p1,), "lmj": (self.p1,)}[self.kind]
+        args = {"tfidf": (), "lmd": (self.p1,), "lmj": (self.p1,)}.get(self.kind, (self.p1, self.p2))
         return REGISTRY[self.kind](*args)
 
     @property
@@ -83,7 +83,17 @@ class Similarity:
             return "tfidf"
         if self.kind == "lmd":
             return f"lmd_mu={self.p1:g}"
-        return f"lmj_lambda={self.p1:g}"
+        if self.kind == "lmj":
+            return f"lmj_lambda={self.p1:g}"
+        return f"{self.kind}_{self.p1:g}_{self.p2:g}"
 
 
 REGISTRY = {"bm25": bm25, "tfidf": tfidf, "lmd": lm_dirichlet, "lmj": lm_jelinek_mercer}
+
+
+def register_similarity(name: str, build) -> None:
+    """Make ``build(p1, p2)``, a column over matches (tf, dl, df, cf, N, avgdl, sum_dl), available as
+    ``Similarity(name, p1, p2)``.  A name is given once."""
+    if name in REGISTRY:
+        raise ValueError(f"similarity {name!r} exists")
+    REGISTRY[name] = build

@@ -114,3 +114,13 @@ def q_group_set(spark, sf_dir):
     """The named group of set measures."""
     ev = evaluate_group(fx.runs(spark, sf_dir), fx.qrels(spark, sf_dir), "set")
     return ev.select("run_id", "qid", "measure", r6("value").alias("value"))
+
+
+@register("leaderboard", _o("leaderboard_sql"))
+def q_leaderboard(spark, sf_dir):
+    """Runs by MAP to four decimals, equal ones in one place; a copy of a run under another tag ties with it."""
+    from ..sinks import ranked
+    from .sweep import leaderboard
+    runs = fx.runs(spark, sf_dir)
+    runs = runs.unionByName(runs.where("run_id = 'runB'").withColumn("run_id", F.lit("runD")))
+    return ranked(leaderboard(M.evaluate(runs, fx.qrels(spark, sf_dir), ["map"], per_topic=False)))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -41,8 +41,18 @@ def write_eval(ev: DataFrame, path: str, fmt: str = "parquet") -> None:
         out.write.mode("overwrite").parquet(path)
 
 
+def ranked(lb: DataFrame, measure: str = "map", digits: int = 4) -> DataFrame:
+    """A leaderboard with ``place``, from 1: configurations that agree to ``digits`` decimals, as
+    evaluations print them, share a place; the value is rounded to these."""
+    value = F.round(F.coalesce(F.col(measure), F.lit(0.0)), digits)
+    values = lb.select(value.alias(measure)).distinct()
+    # one row per distinct value: bounded by the decimals
+    values = values.withColumn("place", F.row_number().over(Window.orderBy(F.desc(measure))))
+    return lb.withColumn(measure, value).join(F.broadcast(values), measure).select("place", *lb.columns)
+
+
 def write_leaderboard(lb: DataFrame, path: str, measure: str = "map") -> None:
-    """CSV ``config,<measure>`` sorted best first (ties by name)."""
+    """CSV ``config,<measure>`` sorted best first; equal places together, in the order of names."""
     key = lb.columns[0]
-    (lb.orderBy(F.desc(measure), F.asc(key)).coalesce(1)
+    (ranked(lb, measure).orderBy("place", F.asc(key)).select(*lb.columns).coalesce(1)
        .write.mode("overwrite").option("header", True).csv(path))

@@ -71,7 +71,8 @@ def test_sinks_read_back(spark, tmpdir_path):
     sinks.write_eval(ev, f"{tmpdir_path}/ev")
     got = {(r.qid, r.measure): r.text for r in spark.read.parquet(f"{tmpdir_path}/ev").collect()}
     assert got["1", "map"] == "0.5000" and got["all", "num_ret"] == "10"
-    lb = spark.createDataFrame([("b", 0.5), ("a", 0.5), ("c", 0.9)], "run_id string, map double")
+    lb = spark.createDataFrame([("b", 0.50002), ("a", 0.5), ("c", 0.9)], "run_id string, map double")
+    assert sorted(map(tuple, sinks.ranked(lb).collect())) == [(1, "c", 0.9), (2, "a", 0.5), (2, "b", 0.5)]
     sinks.write_leaderboard(lb, f"{tmpdir_path}/lb")
     rows = [open(f"{tmpdir_path}/lb/{f}").read().split() for f in os.listdir(f"{tmpdir_path}/lb") if f.startswith("part")]
     assert rows == [["run_id,map", "c,0.9", "a,0.5", "b,0.5"]]

@@ -98,3 +98,19 @@ def test_match_all(spark):
     got = _rows(SE.search_expanded(queries, _corpus(spark), a, a, S.bm25(1.2, 0.75), k=7))
     assert [r for r in got if r[0] in "24"] == [(q, i + 1, f"d{i:03d}", 1.0) for q in "24" for i in range(7)]
     assert {r[0] for r in got} == {"1", "2", "4"} and sum(r[0] == "1" for r in got) == 7
+
+
+def test_own_similarity_and_quantized_lengths(spark):
+    import pytest
+
+    from qrank.functions import similarity as S
+    S.register_similarity("flat", lambda p1, p2: F.col("tf") * p1 + p2)
+    try:
+        rows = spark.createDataFrame([(float(d), 3.0) for d in (1, 40, 41, 47, 100, 1000)], "dl double, tf double")
+        got = rows.select("dl", S.Similarity("flat", 2.0, 1.0).expr().alias("s"), S.doc_len(True).alias("q")).collect()
+        assert {r.s for r in got} == {7.0} and S.Similarity("flat", 2.0, 1.0).name == "flat_2_1"
+        assert [r.q for r in got] == [1, 40, 40, 44, 96, 960]
+        with pytest.raises(ValueError):
+            S.register_similarity("flat", S.bm25)
+    finally:
+        S.REGISTRY.pop("flat")
