@@ -57,7 +57,7 @@ def higher_before(docs: DataFrame, keys: list[str], order: list[Column], extra:
     """
     from ..plans.sizing import sequential_index
 
-    levels = prefs.select("rel_level").distinct().orderBy("rel_level").withColumn("_o", F.monotonically_increasing_id()).persist()
+    levels = written(prefs.select("rel_level").distinct().orderBy("rel_level").withColumn("_o", F.monotonically_increasing_id()), "levels")
     bits = max(1, int(levels.count()).bit_length())
     docs = docs.join(sequential_index(levels, "_o", "_lid").select("rel_level", "_lid"), "rel_level")
     out = running(docs, keys, order, extra, skew_safe=skew_safe, rank_col=None).withColumn("_hi", F.lit(0).cast("long"))
