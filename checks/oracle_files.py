@@ -56,3 +56,16 @@ def leaderboard_sql() -> str:
     return f"""with m as (select run_id, round(value, 4) as map from ({best}) where qid = 'all'),
 a as (select * from m union all select 'runD', map from m where run_id = 'runB')
 select dense_rank() over (order by map desc) as place, run_id, map from a"""
+
+
+def params_sql() -> str:
+    """The default measures' SQL with other numbers in it."""
+    n = 50_000
+    f = O.measure_query("set_F").replace(
+        "2.0 * (rr / ret) * (rr / num_rel) / ((rr / ret) + (rr / num_rel))", "4.0 * (rr / ret) * (rr / num_rel) / (3.0 * (rr / ret) + (rr / num_rel))")
+    u = O.measure_query("utility").replace(
+        "1.0 * rr - 1.0 * (ret - rr)", f"2.0 * rr - 1.0 * (ret - rr) + 0.5 * (num_rel - rr) - 0.25 * ({n} + rr - ret - num_rel)")
+    half = lambda sql: sql.replace("pow(0.9,", "pow(0.5,").replace("0.1 *", "0.5 *")
+    parts = {"utility": (u, "utility_2,-1,0.5,-0.25"), "set_F": (f, "set_F_3"), "rbp": (half(O.measure_query("rbp")), "rbp_p=0.5"),
+             "rbp_resid": (half(O.measure_query("rbp_resid")), "rbp_resid_p=0.5")}
+    return " union all ".join(f"select * from ({sql.replace(repr(k), repr(name))})" for k, (sql, name) in parts.items())

@@ -376,3 +376,11 @@ def sweep_filters_sql() -> str:
         ("runs_t", "select * from (select *, row_number() over (partition by run_id, qid order by sim desc, docno desc) as rn from rk) where rn <= 1000"),
         passage_qrels_cte()] + _map_sql("runs_t", "pq")
     return _with(ctes) + "select c.run_id, round(coalesce(map, 0), 6) as map from cfg c left join mp on mp.run_id = cast(c.sid as varchar)"
+
+
+def missing_sections_sql() -> str:
+    """The sectioned search over topics that lack some of their sections."""
+    queries = sectioned_queries_cte()
+    gone = lambda c, m, r: f"case when cast(qid as int) % {m} <> {r} then {c} end as {c}"
+    queries[0] = ("topics", f"select qid, {gone('title', 3, 1)}, {gone('desc_text', 6, 1)}, {gone('narr', 2, 1)}, date_text from ({queries[0][1]})")
+    return search_sql("bm25", TUNED, run_id="missing", ctes=index_ctes() + queries)

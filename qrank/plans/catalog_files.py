@@ -124,3 +124,11 @@ def q_leaderboard(spark, sf_dir):
     runs = fx.runs(spark, sf_dir)
     runs = runs.unionByName(runs.where("run_id = 'runB'").withColumn("run_id", F.lit("runD")))
     return ranked(leaderboard(M.evaluate(runs, fx.qrels(spark, sf_dir), ["map"], per_topic=False)))
+
+
+@register("m_params", _o("params_sql"))
+def q_params(spark, sf_dir):
+    """Measures with parameters of their own, and a collection size for the utility of what was not retrieved."""
+    specs = [("utility", (2.0, -1.0, 0.5, -0.25)), ("set_F", (3.0,)), ("rbp", (0.5,)), ("rbp_resid", (0.5,))]
+    ev = M.evaluate(fx.runs(spark, sf_dir), fx.qrels(spark, sf_dir), specs, EvalOptions(num_docs_in_coll=50_000))
+    return ev.select("run_id", "qid", "measure", r6("value").alias("value"))

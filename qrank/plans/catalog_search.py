@@ -137,3 +137,14 @@ def q_search_synonyms(spark, sf_dir):
     topics = TP.topics_from_blocks(inner)
     qt = Q.query_terms(topics, FULL)
     return SE.search_text(qt, fx.corpus(spark, sf_dir), FULL, S.bm25(*S.BM25_TUNED), k=1000, run_id="synonyms")
+
+
+@register("search_missing_sections", _oracle("missing_sections_sql"))
+def q_search_missing_sections(spark, sf_dir):
+    """Topics some of which lack a title, a narrative or every section but the date: what is missing adds nothing."""
+    t = fx.topics(spark, sf_dir)
+    n = F.col("qid").cast("int")
+    gone = lambda c, m, r: F.when(n % m != r, F.col(c)).alias(c)
+    t = t.select("qid", gone("title", 3, 1), gone("desc_text", 6, 1), gone("narr", 2, 1), "date_text")
+    qt = Q.query_terms(Q.prepare_topics(t), PLAIN)
+    return SE.search_text(qt, fx.corpus(spark, sf_dir), PLAIN, S.bm25(0.6, 0.7), run_id="missing")
