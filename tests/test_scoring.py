@@ -56,3 +56,22 @@ def test_a_search_makes_no_row_per_match(spark):
     got = SE.search(qt, index, S.bm25(), k=7).select("qid", "docno", F.col("sim").alias("score"), "rank")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     assert "MapInArrow" in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_subsets_that_mean_the_same_are_searched_once(spark, monkeypatch):
+    from qrank.plans import sweep as SW
+    docs = spark.createDataFrame([(f"d{i:02d}", "c", "Alpha news", "1990", f"alpha Beta w{i % 5} l'alpha") for i in range(30)],
+                                 "docno string, collection string, headline string, date string, text string")
+    topics = spark.createDataFrame([("1", "alpha w1", "beta", "w2", "1990"), ("2", "Beta w3", "x", "w4", "null")],
+                                   "qid string, title string, desc string, narr string, date string")
+    qrels = spark.createDataFrame([("1", f"d{i:02d}", 1) for i in range(0, 30, 4)] + [("2", "d03", 1), ("2", "d08", 1)],
+                                  "qid string, docno string, rel bigint")
+    subsets = [(), ("apostrophe",), ("asciifolding",), ("lowercase",), ("lowercase", "asciifolding")]
+    seen, best = [], SE.best
+    monkeypatch.setattr(SE, "best", lambda postings, side, *a, **kw: seen.append(side) or best(postings, side, *a, **kw))
+    got = {r.run_id: r.map for r in SW.sweep_filters(docs, topics, qrels, subsets).collect()}
+    assert len(seen) == 1 and sorted(r.like for r in seen[0].select("like").distinct().collect()) == [0, 3]
+    assert set(got) == {"none", "apostrophe", "asciifolding", "lowercase", "lowercase-asciifolding"}
+    assert got["none"] == got["asciifolding"] == got["apostrophe"] and got["lowercase"] == got["lowercase-asciifolding"]
+    alone = {r.run_id: r.map for r in SW.sweep_filters(docs, topics, qrels, [("lowercase",)]).collect()}
+    assert alone == {"lowercase": got["lowercase"]}
