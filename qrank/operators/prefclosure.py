@@ -19,8 +19,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..plans.tables import written
+from . import pairblocks
 
 GROUP = ["qid", "jg"]
 
@@ -109,25 +111,36 @@ def preferred(levels: DataFrame, several: bool = True) -> DataFrame:
 def ordered_pairs(docs: DataFrame, keys: list[str], classes: list[str], rank: Column, only: Column | None = None) -> DataFrame:
     """(keys, u, v, pr): for two classes of a group, how many documents of u stand before one of v.
 
-    Two places differ first at some binary digit, above which they agree; the
-    earlier has 0 there and the later 1.  So per digit and leading digits the
-    classes that stand in the first half are counted against those in the
-    second: the work grows with classes times documents, not with pairs of
-    documents, and a class that holds many documents is one row of each half.
-    ``only`` restricts the pairs (over columns ``u`` and ``v``); u and v are
-    structs of the class columns.
+    A ranking is cut into blocks of ``pairblocks.BLOCK`` places.  Inside a
+    block, one task counts from running counts per class; a document is one row
+    of one shuffle.  Between blocks only the sizes of their classes count: two
+    blocks' numbers differ first at some binary digit, above which they agree,
+    and the earlier has 0 there and the later 1.  So per digit and leading
+    digits the classes in the first half are counted against those in the
+    second.  ``only`` restricts the pairs (over columns ``u`` and ``v``); u and
+    v are structs of the class columns.
     """
-    at = docs.select(*keys, F.struct(*classes).alias("cls"), (rank.cast("long") - 1).alias("at"))
-    digits = at.agg(F.max("at")).first()[0]
-    digits = max(1, int(digits or 0).bit_length())
-    halves = at.select(*keys, "cls", "at", F.explode(F.sequence(F.lit(0), F.lit(digits - 1))).alias("digit"))
-    halves = (halves.select(*keys, "cls", "digit", F.expr("shiftright(at, digit + 1)").alias("node"),
-                            F.expr("shiftright(at, digit) & 1").alias("late"))
-              .groupBy(*keys, "digit", "node", "late", "cls").agg(F.count(F.lit(1)).alias("n")))
+    at = docs.select(*keys, *classes, (rank.cast("long") - 1).alias("at")).dropna(subset=[*keys, "at"])
+    at = at.withColumn("block", F.expr(f"at div {pairblocks.BLOCK}"))
+    struct = T.StructType([at.schema[c] for c in classes])
+    schema = T.StructType([*(at.schema[k] for k in keys), T.StructField("u", struct), T.StructField("v", struct), T.StructField("pr", T.LongType())])
+    inside = (at.repartition(*keys, "block").sortWithinPartitions(*keys, "block", "at")
+              .mapInArrow(pairblocks.pairs_of_blocks(keys, classes), schema))
+    if only is not None:
+        inside = inside.where(only)
+    digits = int(at.agg(F.max("block")).first()[0] or 0).bit_length()
+    if not digits:  # every ranking is one block
+        return inside
+    sizes = at.groupBy(*keys, "block", F.struct(*classes).alias("cls")).agg(F.count(F.lit(1)).alias("n"))
+    halves = sizes.select(*keys, "cls", "block", "n", F.explode(F.sequence(F.lit(0), F.lit(digits - 1))).alias("digit"))
+    halves = (halves.select(*keys, "cls", "n", "digit", F.expr("shiftright(block, digit + 1)").alias("node"),
+                            F.expr("shiftright(block, digit) & 1").alias("late"))
+              .groupBy(*keys, "digit", "node", "late", "cls").agg(F.sum("n").alias("n")))
     halves = written(halves, "halves")
     early = halves.where("late = 0").select(*keys, "digit", "node", F.col("cls").alias("u"), F.col("n").alias("nu"))
     late = halves.where("late = 1").select(*keys, "digit", "node", F.col("cls").alias("v"), F.col("n").alias("nv"))
     pairs = early.join(late, [*keys, "digit", "node"])
     if only is not None:
         pairs = pairs.where(only)
-    return pairs.groupBy(*keys, "u", "v").agg(F.sum(F.col("nu") * F.col("nv")).alias("pr"))
+    pairs = pairs.select(*keys, "u", "v", (F.col("nu") * F.col("nv")).alias("pr")).unionByName(inside)
+    return pairs.groupBy(*keys, "u", "v").agg(F.sum("pr").alias("pr"))
