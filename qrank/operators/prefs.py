@@ -16,7 +16,7 @@ documents of the lowest level in compact order.
 A judge group with several sub-groups prefers what a chain of sub-groups
 prefers.  Its documents are counted by class (see :mod:`prefclosure`): the
 closure is a relation of classes, and the ordered counts of two classes are
-taken half by half of the ranking.
+taken block by block of the ranking.
 
 ``prefs_pair*`` (vote share per document pair across judge groups) group
 documents by their classes in all judge groups: a pair's votes depend only on
