@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..plans.tables import written
+from ..plans.tables import shuffled, written
 from . import pairblocks
 
 GROUP = ["qid", "jg"]
@@ -72,9 +72,9 @@ def lifts(levels: DataFrame) -> DataFrame:
         F.max("to_level").alias("to_level"))
     grid = nodes.join(met.select(*GROUP, "jsg", "to_jsg").distinct(), [*GROUP, "jsg"])
     below = Window.partitionBy(*GROUP, "jsg", "to_jsg").orderBy("level").rowsBetween(Window.unboundedPreceding, -1)
-    step = written(
+    step = shuffled(written(
         grid.join(met, [*GROUP, "jsg", "level", "to_jsg"], "left")
-        .withColumn("to_level", F.max("to_level").over(below)).where("to_level is not null"), "lifts")
+        .withColumn("to_level", F.max("to_level").over(below)).where("to_level is not null"), "lifts"))
     while True:
         onward = step.select(*GROUP, F.col("jsg").alias("to_jsg"), F.col("level").alias("to_level"),
                              F.col("to_jsg").alias("last_jsg"), F.col("to_level").alias("last_level"))
@@ -86,7 +86,7 @@ def lifts(levels: DataFrame) -> DataFrame:
         rise = step.withColumn("old", F.col("to_level")).unionByName(longer.withColumn("old", F.lit(None).cast("double")))
         rise = written(rise.groupBy(*GROUP, "jsg", "level", "to_jsg").agg(
             F.max("to_level").alias("to_level"), F.max("old").alias("old")), "lifts")
-        step = rise.drop("old")
+        step = shuffled(rise.drop("old"))
         if rise.where("old is null or to_level > old").isEmpty():
             return step
 
@@ -136,7 +136,7 @@ def ordered_pairs(docs: DataFrame, keys: list[str], classes: list[str], rank: Co
     halves = (halves.select(*keys, "cls", "n", "digit", F.expr("shiftright(block, digit + 1)").alias("node"),
                             F.expr("shiftright(block, digit) & 1").alias("late"))
               .groupBy(*keys, "digit", "node", "late", "cls").agg(F.sum("n").alias("n")))
-    halves = written(halves, "halves")
+    halves = shuffled(written(halves, "halves"))
     early = halves.where("late = 0").select(*keys, "digit", "node", F.col("cls").alias("u"), F.col("n").alias("nu"))
     late = halves.where("late = 1").select(*keys, "digit", "node", F.col("cls").alias("v"), F.col("n").alias("nv"))
     pairs = early.join(late, [*keys, "digit", "node"])

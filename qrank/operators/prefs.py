@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.tables import written
+from ..plans.tables import shuffled, written
 from . import prefclosure as C
 from .judge import EvalOptions
 from .ranking import running
@@ -104,8 +104,8 @@ def judged_ranks(run: DataFrame, prefs: DataFrame, skew_safe: bool) -> DataFrame
 def _closed_counts(run: DataFrame, prefs: DataFrame, all_prefs: DataFrame, skew_safe: bool) -> DataFrame:
     """:func:`prefs_counts` of judge groups with any number of sub-groups, by classes."""
     group, keys = C.GROUP, ["run_id", *C.GROUP]
-    classes = written(C.document_classes(prefs), "classes")
-    pairs = written(C.preferred(C.class_levels(classes)), "class-pairs")
+    classes = shuffled(written(C.document_classes(prefs), "classes"))
+    pairs = shuffled(written(C.preferred(C.class_levels(classes)), "class-pairs"))
     topics = run.select("run_id", "qid").distinct().join(prefs.select("qid").distinct(), "qid")
     members = classes.select(*group, "docno", "cls", "level").join(
         classes.groupBy(*group).agg(F.count_if(F.col("level") > 0).alias("num_rel"), F.count_if(F.col("level") == 0).alias("num_nonrel")), group)
@@ -113,7 +113,7 @@ def _closed_counts(run: DataFrame, prefs: DataFrame, all_prefs: DataFrame, skew_
     ret, zero = F.col("rank").isNotNull(), F.col("level") == 0
     # the recount leaves out documents at level 0 behind the first num_rel of them
     docs = running(docs, keys, [F.desc(ret), F.asc("rank"), F.asc("docno")], {"_zeros": zero.cast("long")}, skew_safe=skew_safe, rank_col=None)
-    docs = written(docs.withColumn("kept", ~zero | (F.col("_zeros") <= F.col("num_rel"))), "judged")
+    docs = shuffled(written(docs.withColumn("kept", ~zero | (F.col("_zeros") <= F.col("num_rel"))), "judged"))
     own = docs.groupBy(*keys, "cls", "kept").agg(F.count(F.lit(1)).alias("n"), F.count_if(ret).alias("r"))
     order = C.ordered_pairs(docs.where(ret), keys, ["cls", "kept"], F.col("rank"))
     order = order.select(*keys, F.col("u.cls").alias("u"), F.col("u.kept").alias("ku"), F.col("v.cls").alias("v"),

@@ -146,3 +146,14 @@ def test_pair_votes_of_5000_vectors(spark):
     some = ret[:, None] | ret[None, :]
     want = (score.sum() / voted.sum(), (score * both).sum() / (voted & both).sum(), score.sum() / (voted & some).sum())
     assert np.allclose((got.prefs_pair, got.prefs_pair_ret, got.prefs_pair_imp), want, rtol=1e-9)
+
+
+def test_closed_counts_broadcast_no_written_table(spark):
+    """Written tables compress so well that Spark would broadcast any number of their rows."""
+    from qrank.operators import prefclosure as C
+    rng = random.Random(5)
+    prefs = spark.createDataFrame(consistent(rng, 20, {"a": 2, "b": 2}), PREFS)
+    run = spark.createDataFrame(ranking(rng, 20), RUN)
+    levels = C.class_levels(C.document_classes(prefs))
+    for df in (C.lifts(levels), P.prefs_counts(run, prefs, False)):
+        assert "BroadcastExchange" not in df._jdf.queryExecution().executedPlan().toString()
