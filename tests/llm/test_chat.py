@@ -115,3 +115,27 @@ def test_the_parse_limit_fits_a_variant(spark):
         text = '{"s":[' + unit * (n // len(unit) - 1) + "0]}"
         row = chat.validate(calls(spark, [(1, 0, "a", None, "f", text)]), tools(spark)).first()
         assert row.errors == ["missing:a", "type:s"] and row.canonical == text
+
+
+def test_long_arguments_are_checked(spark, tmpdir_path):
+    """Arguments over the parse limit, also over what JSON functions take by default, are checked like others."""
+    from qrank.llm import catalog
+    assert chat.PARSED < 5_000_000
+    turns = [(i, 0, "user", "x" * n) for i, n in enumerate((5_000_000, 22_000_000, 5_200_000, 5_000_004))]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(f"{tmpdir_path}/conversations.parquet")
+    got = {r.conv_id: r for r in catalog.op1_chat_formatting(spark, tmpdir_path).collect()}
+    assert [got[i].errors for i in range(4)] == ["range:limit", "range:limit", "json", ""]
+    for i, args in ((0, {"limit": 0, "query": turns[0][3]}), (1, {"limit": 0, "query": turns[1][3]}), (2, None), (3, {"limit": 4, "query": turns[3][3]})):
+        record = {"arguments": args, "id": f"c{i}-0", "name": "search", "result": None, "type": "call", "valid": i == 3}
+        assert got[i].record_md5 == hashlib.md5(json.dumps(record, sort_keys=True, separators=(",", ":")).encode()).hexdigest()
+
+
+def test_long_arguments_are_read_like_short_ones(spark, monkeypatch):
+    cases = ['{"s":"é\\"","a":2}', '{"a":1.50}', '{"a":1,"a":2}', '{"a":NaN}', "{'a':1}", '{"a":1,}', "[1]", "", '{"a":', '{"a":null}', None,
+             '{"a":1,"z":{"y":[1.0,{"c":1e3,"b":-0}]}}', '{"a":12345678901234567890123}', '{"a":"\\u0001\\/"}', ' {"a":01}', "null"]
+    df = calls(spark, [(1, i, f"c{i}", None, "f", a) for i, a in enumerate(cases)])
+    def read():
+        return {r.call_id: (r.canonical, r.errors) for r in chat.validate(df, tools(spark), whole=True).collect()}
+    want = read()
+    monkeypatch.setattr(chat, "PARSED", 0)
+    assert read() == want
