@@ -52,3 +52,16 @@ def test_a_search_counts_in_one_pass_without_a_vocabulary(spark, monkeypatch, fi
     whole = {r.field: (r.N, r.sum_dl) for r in index.field_stats.collect()}
     monkeypatch.undo()
     assert whole == {r.field: (r.N, r.sum_dl) for r in I.build_index(docs, a).field_stats.collect()}
+
+
+def test_whole_index_counts_inside_tasks(spark):
+    """No token is a row of a shuffle; repeated identifiers, nulls and empty texts count as they did."""
+    rows = [("a", "x y x", "x z"), ("b", "", None), ("c", "y", "y y y"), (None, "x", "w")]
+    for twice in (False, True):
+        docs = spark.createDataFrame(rows * (1 + twice), "docno string, headline string, text string")
+        df = I.build_postings(docs, Analyzer("whitespace", ()), fields=("headline", "text"))
+        assert ("Exchange" in df._jdf.queryExecution().executedPlan().toString()) == twice
+        got = {(r.field, r.docno, r.term): (r.tf, r.dl) for r in df.collect()}
+        want = {("headline", "a", "x"): (2, 3), ("headline", "a", "y"): (1, 3), ("text", "a", "x"): (1, 2), ("text", "a", "z"): (1, 2),
+                ("headline", "c", "y"): (1, 1), ("text", "c", "y"): (3, 3), ("headline", None, "x"): (1, 1), ("text", None, "w"): (1, 1)}
+        assert got == {k: (tf * (1 + twice), dl) for k, (tf, dl) in want.items()}
